@@ -11,7 +11,7 @@ place there is only one, so a place that has failed is never tried again and the
 grows in proportion to the piece.
 
 Pieces are what the vocabulary's pattern matches; each is encoded alone. Texts repeat
-pieces, so a task keeps the encodings it has made, up to a bound.
+pieces, so a worker keeps the encodings it has made, up to a bound.
 
 Edge cases: a null text is encoded as the empty one, which has no ids. Rows with
 the same id are each encoded. The whole text is encoded whatever its length; texts
@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 
-#: Pieces, and pairs of tokens, of which a task keeps the answer; beyond that it starts anew.
+#: Pieces, and pairs of tokens, of which a worker keeps the answer; beyond that it starts anew.
 KEPT_PIECES = 1 << 20
 KEPT_PAIRS = 1 << 21
 #: Pieces longer than this are not kept.
@@ -46,7 +47,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Bpe:
-    """Encoder and decoder for one rank file; build one in each task."""
+    """Encoder and decoder for one rank file; build one in each worker."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
@@ -130,11 +131,17 @@ class Bpe:
         return b"".join(map(self.vocab.__getitem__, ids))
 
 
+@lru_cache(maxsize=1)
+def coder(path: str, pattern: str) -> Bpe:
+    """One coder for all tasks that a Python worker runs in turn."""
+    return Bpe(read_ranks(path), pattern)
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Return (id, ids): one row per row of ``docs``; ids are packed little-endian 32-bit."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(read_ranks(path), pattern)
+        bpe = coder(path, pattern)
         for b in batches:
             packed = [bpe.encode_packed(t.as_py() or "") for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], names=[id_col, "ids"])
@@ -147,7 +154,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, id_col: str =
     """Return (id, ids, decoded): the bytes that packed ``ids`` stand for."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(read_ranks(path), pattern)
+        bpe = coder(path, pattern)
         for b in batches:
             got = [bpe.decode(np.frombuffer(x.as_py(), dtype="<u4").tolist()) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.binary())], names=[id_col, "ids", "decoded"])
@@ -160,7 +167,7 @@ def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     """Encode, decode the ids again and return (id, n_tokens, ids_sha256, decoded_sha256)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(read_ranks(path), pattern)
+        bpe = coder(path, pattern)
         for b in batches:
             n, ids_sha, text_sha = [], [], []
             for t in b.column(1):

@@ -1,18 +1,19 @@
-"""Ids of the tokenizers library for whole texts, each distinct word encoded once a task.
+"""Ids of the tokenizers library for whole texts, each distinct word encoded once a worker.
 
 The vocabulary drops white space, so no token spans it: a text's ids are those of its
-words in turn. The library encodes words that a task has not met; ids of met words
+words in turn. The library encodes words that a worker has not met; ids of met words
 are kept, up to a bound. That saves most of the library's work, as words repeat.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words whose ids a task keeps; beyond it the task starts anew.
+#: Words whose ids a worker keeps; beyond that it starts anew.
 KEPT_WORDS = 1 << 20
-LONG_WORD = 256
 
 
 class WordEncoder:
@@ -59,3 +60,9 @@ class WordEncoder:
         self.learn(set().union(*split) if split else set())
         get = self.kept.__getitem__
         return [b"".join(map(get, words)) for words in split]
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks that a Python worker runs in turn."""
+    return WordEncoder(path)
