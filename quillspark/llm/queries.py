@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, token_store, url_filter
+from . import bpe, packing, token_store, toxicity, url_filter
 
 QUERIES = {
     "op4_packing": packing.op4_packing,
     "op7_bpe": bpe.op7_bpe,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_token_store": token_store.op10_token_store,
 }
