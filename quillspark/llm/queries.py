@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, token_store, toxicity, url_filter
+from . import bpe, packing, repetition, token_store, toxicity, url_filter
 
 QUERIES = {
+    "op1_repetition": repetition.op1_repetition,
     "op4_packing": packing.op4_packing,
     "op7_bpe": bpe.op7_bpe,
     "op8_toxicity": toxicity.op8_toxicity,
