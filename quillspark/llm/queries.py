@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, repetition, token_store, toxicity, url_filter
+from . import bpe, packing, repetition, simhash, token_store, toxicity, url_filter
 
 QUERIES = {
     "op1_repetition": repetition.op1_repetition,
+    "op2_simhash": simhash.op2_simhash,
     "op4_packing": packing.op4_packing,
     "op7_bpe": bpe.op7_bpe,
     "op8_toxicity": toxicity.op8_toxicity,
