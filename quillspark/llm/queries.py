@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, repetition, simhash, token_store, toxicity, url_filter
+from . import ann, bpe, packing, repetition, simhash, token_store, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_repetition": repetition.op1_repetition,
     "op2_simhash": simhash.op2_simhash,
+    "op3_ann": ann.op3_ann,
     "op4_packing": packing.op4_packing,
+    "op5_warc": warc.op5_warc,
     "op7_bpe": bpe.op7_bpe,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_url_filter": url_filter.op9_url_filter,
