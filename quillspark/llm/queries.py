@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, packing, repetition, simhash, token_store, toxicity, url_filter, warc
+from . import ann, bpe, line_dedup, packing, repetition, simhash, token_store, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_repetition": repetition.op1_repetition,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_ann": ann.op3_ann,
     "op4_packing": packing.op4_packing,
     "op5_warc": warc.op5_warc,
+    "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_bpe": bpe.op7_bpe,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_url_filter": url_filter.op9_url_filter,
