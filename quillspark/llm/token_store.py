@@ -59,9 +59,10 @@ def restore(data: bytes, width: int) -> bytes:
 def train_dictionary(docs: DataFrame, path: str, width: int, id_col: str, text_col: str) -> bytes:
     """A dictionary from a bounded sample: the TRAIN_DOCS documents of at most TRAIN_CHARS characters
     whose ids hash lowest. Only the compression depends on it, never a result."""
-    short = docs.select(id_col, text_col).filter(F.length(text_col) <= TRAIN_CHARS)
-    rows = short.orderBy(F.xxhash64(id_col), text_col).limit(TRAIN_DOCS).select(text_col).collect()
-    samples = [serialize(x, width) for x in encoder(path).encode_packed([r[0] for r in rows]) if x]
+    short = F.length(text_col) <= TRAIN_CHARS
+    chosen = docs.filter(short).select(F.col(id_col).alias("id")).orderBy(F.xxhash64("id"), "id").limit(TRAIN_DOCS).distinct()
+    rows = docs.filter(short).join(F.broadcast(chosen), F.col(id_col) == F.col("id"), "left_semi").select(text_col).limit(2 * TRAIN_DOCS).collect()
+    samples = [serialize(x, width) for x in encoder(path).encode_packed(sorted(r[0] for r in rows)) if x]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few or too short samples

@@ -63,14 +63,14 @@ _LOOKS = str.maketrans(HOMOGLYPHS)
 _STANDS = str.maketrans(DIGITS)
 _LEET = regex.compile(r"\p{L}[\p{L}013457@8]*[013457@8][\p{L}013457@8]*|[013457@8]+\p{L}[\p{L}013457@8]*")
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
-_WIDE = regex.compile(r"[！-｠​-‍­]")
+_WIDE = regex.compile("[\uff01-\uff60\u200b-\u200d\u00ad]")
 
 
 def fold(text: str) -> str:
     """Folded words with one blank before, between and after them."""
     if not text.isascii():
         if _WIDE.search(text):
-            text = unicodedata.normalize("NFKC", regex.sub("[​-‍­]", "", text))
+            text = unicodedata.normalize("NFKC", regex.sub("[\u200b-\u200d\u00ad]", "", text))
         text = text.lower().translate(_LOOKS)
     else:
         text = text.lower()

@@ -1,65 +1,99 @@
 """Ids of the tokenizers library for whole texts, each distinct word encoded once a worker.
 
 The vocabulary drops white space, so no token spans it: a text's ids are those of its
-words in turn. The library encodes words that a worker has not met; ids of met words
-are kept, up to a bound. That saves most of the library's work, as words repeat.
+words in turn. A word that a worker has not met is normalised and parted as the
+vocabulary's file says, and the library's model encodes the parts; ids of words and parts are
+kept, up to a bound. Words with characters from U+0300 on, where normalisation can do more than lower
+a letter, are given to the library whole.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from functools import lru_cache
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
-#: Words whose ids a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 1 << 20
+#: Words and parts whose ids a worker keeps; beyond that it starts anew.
+KEPT_WORDS = 1_000_000
+KEPT_PARTS = 1_000_000
+#: A full stop or comma that could be one token with what is before it.
+_JOINED_MARK = re.compile("[^0-9a-zªµºß-öø-ÿ][.,]")
+_PARTED = tuple((mark + blank, f" {mark}{blank}") for mark in ".," for blank in " \n")
 
 
-class WordEncoder:
-    """Encodes as ``Tokenizer.encode(text, add_special_tokens=False)`` does for a vocabulary
-    whose white space only parts words. Ids are packed little-endian 32-bit."""
+def _byte_letters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class WordEncoder(dict):
+    """Encodes as ``Tokenizer.encode(text, add_special_tokens=False)`` does for a vocabulary whose white
+    space only parts words. Ids are packed little-endian 32-bit. The dictionary itself holds the words met."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.kept: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-        self.marks = {c: self._library([c])[0] for c in ".,"}
+        self.model = self.tokenizer.model
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+        splits = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        #: Whether parting words here is what the file asks for; otherwise the library gets words whole.
+        self.known = kinds == ["NFC", "Replace", "Lowercase"] and [s.get("type") for s in splits] == ["Split", "ByteLevel"] and splits[0]["invert"]
+        self.find = regex.compile(splits[0]["pattern"]["Regex"]).findall if self.known else None
+        self.letters = _byte_letters()
+        self.parts: dict[str, bytes] = {}
 
-    def _library(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _part(self, part: str) -> bytes:
+        packed = self.parts.get(part)
+        if packed is None:
+            spelled = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.letters)
+            packed = np.array([t.id for t in self.model.tokenize(spelled)], dtype="<u4").tobytes()
+            if len(self.parts) >= KEPT_PARTS:
+                self.parts.clear()
+            self.parts[part] = packed
+        return packed
 
-    def _core(self, word: bytes) -> tuple[str, str]:
-        """A word as the library sees it alike, and a full stop or comma that it ends in.
-
-        A mark after a letter is a token of its own, and letters are lowered anyway. Both hold
-        only where no combining marks can follow, so other words are left as they are.
-        """
+    def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if len(text) > 1 and max(text) < "̀":
-            mark = text[-1] if text[-1] in ".," and text[-2].isalpha() else ""
-            return (text[:-1] if mark else text).encode().lower().decode(), mark
-        return text, ""
-
-    def learn(self, words: set[bytes]) -> None:
-        """Encode the words of ``words`` that are not kept yet."""
-        new = [w for w in words if w not in self.kept]
-        if len(self.kept) + len(new) > KEPT_WORDS:
-            self.kept.clear()
-            self.cores.clear()
-            new = list(words)
-        parts = [self._core(w) for w in new]
-        fresh = list({core for core, _ in parts if core not in self.cores})
-        self.cores.update(zip(fresh, self._library(fresh)))
-        for w, (core, mark) in zip(new, parts):
-            self.kept[w] = self.cores[core] + self.marks[mark] if mark else self.cores[core]
+        if self.known and (word.isascii() or max(text) < "\u0300"):
+            text = text.lower()
+            if text.isalpha():
+                packed = self._part(text)
+            elif text[-1] in ".," and text[:-1].isalpha():
+                packed = self._part(text[:-1]) + self._part(text[-1])
+            else:
+                packed = b"".join(map(self._part, self.find(text)))
+        else:
+            packed = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        self[word] = packed
+        return packed
+
+    def _words(self, text: str) -> list[bytes]:
+        """The words of a text, or of a text that has the same ids and repeats its words more: in
+        Latin-1 letters are only lowered, and marks after a letter or digit are tokens of their own."""
+        if self.known:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text.encode().split()
+            text = text.lower()
+            if not _JOINED_MARK.search(text):
+                for mark, parted in _PARTED:
+                    text = text.replace(mark, parted)
+        return text.encode().split()
 
     def encode_packed(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
-        self.learn(set().union(*split) if split else set())
-        get = self.kept.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        get = self.__getitem__
+        return [b"".join(map(get, self._words(t))) for t in texts]
 
 
 @lru_cache(maxsize=1)

@@ -76,7 +76,7 @@ class Element:
 
 
 def _escaped(text: str, quote: bool = False) -> str:
-    text = text.replace("&", "&amp;").replace(" ", "&nbsp;")
+    text = text.replace("&", "&amp;").replace("\u00a0", "&nbsp;")
     return text.replace('"', "&quot;") if quote else text.replace("<", "&lt;").replace(">", "&gt;")
 
 

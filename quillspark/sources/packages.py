@@ -110,11 +110,28 @@ def stream_records(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.readStream.schema(record_schema(name)).option("mode", "DROPMALFORMED").json(folder)
 
 
+EMPTY_DIGEST = hashlib.sha256(b"").hexdigest()
+
+
+def listing(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Names and sizes of a package's files. Spark's readers pass over empty files, so they are listed by the file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return {f.getPath().getName(): f.getLen() for f in found if f.isFile()}
+
+
+def file_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, actual): the SHA-256 of each file of a package."""
+    full = spark.read.format("binaryFile").load(folder).select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), F.sha2("content", 256).alias("actual"))
+    empty = [(name, EMPTY_DIGEST) for name, size in listing(spark, folder).items() if not size]
+    return full.unionByName(spark.createDataFrame(empty, "name string, actual string"))
+
+
 def checksum_violations(spark: SparkSession, folder: str) -> DataFrame:
     """(kind, key): files that are listed and missing, not as listed, or lines that are no checksum."""
     lines = scan_lines(spark, f"{folder}/checksums.sha256")
     listed = lines.select(F.regexp_extract("value", "^([a-f0-9]{64})  ([a-z0-9.-]+)$", 1).alias("digest"), F.regexp_extract("value", "^([a-f0-9]{64})  ([a-z0-9.-]+)$", 2).alias("name"), "value")
-    files = spark.read.format("binaryFile").load(folder).select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), F.sha2("content", 256).alias("actual"))
+    files = file_digests(spark, folder)
     joined = listed.filter("name <> ''").join(files, "name", "left")
     return (
         listed.filter("name = ''").select(F.lit("bad checksum line").alias("kind"), F.col("value").alias("key"))
@@ -146,7 +163,7 @@ def manifest_violations(manifest: DataFrame, format_name: str | None = None) ->
 def read_package(spark: SparkSession, folder: str, format_name: str | None = None) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
     """(manifest, record sets, violations (kind, key) in the order of the checks by ``step``)."""
     manifest = scan_manifest(spark, folder)
-    present = {r[0] for r in spark.read.format("binaryFile").load(folder).select(F.regexp_extract("path", "([^/]+)$", 1)).collect()}  # at most 14 file names
+    present = listing(spark, folder)
     steps = [checksum_violations(spark, folder), manifest_violations(manifest, format_name)]
     sets, rows = {}, []
     for name, file in FILES.items():
@@ -208,11 +225,8 @@ def write_package(spark: SparkSession, folder: str, manifest: dict, sets: dict[s
         else:
             put(file, b"")
         disk.delete(part, True)
-    files = spark.read.format("binaryFile").load([f"{folder}/manifest.json", *[f"{folder}/{f}" for f in FILES.values()]])
-    digests = sorted((r[0], r[1]) for r in files.select(F.regexp_extract("path", "([^/]+)$", 1), F.sha2("content", 256)).collect())  # 13 rows
-    empty = hashlib.sha256(b"").hexdigest()
-    known = dict(digests)
-    put("checksums.sha256", "".join(f"{known.get(n, empty)}  {n}\n" for n in ["manifest.json", *FILES.values()]).encode())
+    known = {r["name"]: r["actual"] for r in file_digests(spark, folder).collect()}  # 13 rows
+    put("checksums.sha256", "".join(f"{known[n]}  {n}\n" for n in ["manifest.json", *FILES.values()]).encode())
 
 
 def blobs(pages: DataFrame, html: str = "html") -> DataFrame:
