@@ -1,6 +1,6 @@
 """SimHash near-duplicates by an inverted index over the bytes of fingerprints.
 
-Two fingerprints that differ in at most DISTANCE = 2 bits differ in at most two of their eight
+``near_duplicates``: two 64-bit fingerprints that differ in at most DISTANCE = 2 bits differ in at most two of their eight
 bytes, so they agree in at least six byte positions. The index's postings hold four
 positional bytes each: two of the four pairs of neighbouring bytes, six combinations
 a fingerprint. Two differing bytes touch at most two pairs, so a linked pair meets in
@@ -13,6 +13,14 @@ fingerprints are linked exactly another way: two are at most two bits apart just
 both. Each such fingerprint is sent to the 65 values at most one bit away; no value can
 gather more than 65 fingerprints, and each links those it has in a chain.
 
+``near_copies``: texts whose five-word shingles have a Jaccard similarity of 0.8 differ in about 15 % of the bits of any
+SimHash of them, ten of 64, which no guarantee on eight bytes covers. So fingerprints have WIDE_BYTES bytes here, and are of shorter shingles (WIDE_SHINGLE words),
+of which an edit touches fewer. The index has many postings a fingerprint, each of three positional bytes
+(four from LARGE_INPUT fingerprints on); a pair of similarity 0.8 whose edits are scattered meets in at least one with a probability above 0.99, one
+whose edits stand together of about 0.9. Pairs that meet are filtered by their differing bits and verified by the exact Jaccard similarity
+of their shingles. A posting's members are compared with one pivot first and
+merged; only those that then are still in different components are compared with each other.
+
 Equal fingerprints are one node from the start, so copies cost nothing here. Components come from the distributed
 union-find; they are found among fingerprints and joined to documents at the end.
 
@@ -24,7 +32,9 @@ no other row has that component, component_id is null.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+import random
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -32,6 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, table
 from .components import components
@@ -43,40 +54,96 @@ POSTING_ROWS = 64
 _PAIR_BYTES = tuple(0xFFFF << 16 * k for k in range(4))
 #: Masks of the six postings: two of the four pairs of neighbouring bytes.
 MASKS = tuple(a | b for a, b in combinations(_PAIR_BYTES, 2))
+#: Wide fingerprints: their bytes, words of a shingle, postings by the bytes of each, and the fingerprints beyond which a posting holds four bytes and not three.
+WIDE_BYTES = 64
+WIDE_SHINGLE = 3
+WIDE_KEYS = {3: 128, 4: 384}
+LARGE_INPUT = 1 << 25
+_WIDE_WORDS = WIDE_BYTES // 8
+#: Every eighth bit of a word; so many rows can be added before a lane of eight bits overflows.
+_LANES = np.uint64(0x0101010101010101)
+_LANE_ROWS = 255
+WIDE = [f"w{k}" for k in range(_WIDE_WORDS)]
 
 
-def fingerprint(text: str | None, width: int) -> int:
-    """The unsigned 64-bit SimHash of a text's word shingles."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """The unsigned 64-bit hashes of a text's word shingles, repeats included."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     of = xxhash.xxh64_intdigest
     if len(words) <= width:
-        hashes = [of(joined, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        hashes = [of(joined[i:j], SEED) for i, j in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())]
-    ones = np.zeros(64, np.int64)
-    h = np.array(hashes, "<u8")
-    for k in range(0, len(h), 1 << 16):
-        ones += np.unpackbits(h[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
+        return np.array([of(joined, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    return np.array([of(joined[i:j], SEED) for i, j in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())], np.uint64)
+
+
+def _ones(rows: np.ndarray) -> np.ndarray:
+    """(words, 64) from (words, n) unsigned 64-bit numbers: how many have each bit set."""
+    total = np.zeros((len(rows), 64), np.int64)
+    starts = np.arange(0, rows.shape[1], _LANE_ROWS)
+    for shift in range(8):
+        lanes = np.add.reduceat((rows >> np.uint64(shift)) & _LANES, starts, axis=1)
+        total[:, shift::8] += lanes.astype("<u8").view(np.uint8).reshape(len(rows), len(starts), 8).sum(axis=1, dtype=np.int64)
+    return total
+
+
+def _packed(bits: np.ndarray) -> np.ndarray:
+    return np.packbits(bits, axis=-1, bitorder="little").view("<u8")[..., 0]
+
+
+def fingerprint(text: str | None, width: int) -> int:
+    """The unsigned 64-bit SimHash of a text's word shingles."""
+    h = shingle_hashes(text, width)
+    return int(_packed(2 * _ones(h[None, :])[0] > len(h))) if len(h) else 0
+
+
+def _spread(h: np.ndarray) -> np.ndarray:
+    """(_WIDE_WORDS, n): further hashes of each hash, by the finaliser of the SplitMix generator."""
+    x = h[None, :] + (np.arange(_WIDE_WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def wide_fingerprint(text: str | None, width: int) -> np.ndarray:
+    """A SimHash of _WIDE_WORDS unsigned 64-bit words. Where the number of shingles is even the whole text has
+    a vote of its own, so that no bit is tied."""
+    h = shingle_hashes(text, width)
+    if not len(h):
+        return np.zeros(_WIDE_WORDS, np.uint64)
+    if len(h) % 2 == 0:
+        h = np.append(h, np.uint64(xxhash.xxh64_intdigest(h.tobytes(), SEED)))
+    ones = np.zeros((_WIDE_WORDS, 64), np.int64)
+    for k in range(0, len(h), 1 << 14):  # so a very long text takes no more memory than its hashes
+        ones += _ones(_spread(h[k : k + (1 << 14)]))
+    return _packed(2 * ones > len(h))
 
 
 def with_fingerprint(df: DataFrame, text_col: str, width: int, name: str = "fp") -> DataFrame:
     """(all columns but the text, ``name``): the fingerprint as a signed long with the same bits."""
-    rest = [c for c in df.columns if c not in (text_col, name)]
+    return _with_words(df, text_col, [name], lambda text: np.array([fingerprint(text, width)], np.uint64))
+
+
+def with_wide_fingerprint(df: DataFrame, text_col: str, width: int) -> DataFrame:
+    """(all columns but the text, w0, w1, ...): the words of the wide fingerprint as signed longs."""
+    return _with_words(df, text_col, WIDE, lambda text: wide_fingerprint(text, width))
+
+
+def _with_words(df: DataFrame, text_col: str, names: list[str], of: Callable[[str | None], np.ndarray]) -> DataFrame:
+    rest = [c for c in df.columns if c != text_col and c not in names]
     picked = df.select(text_col, *rest)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = np.array([fingerprint(t.as_py(), width) for t in b.column(0)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(got)], names=[*rest, name])
+            if b.num_rows:
+                got = np.stack([of(t.as_py()) for t in b.column(0)]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*b.columns[1:], *map(pa.array, got.T)], names=[*rest, *names])
 
     fields = picked.schema.fields[1:]
-    return picked.mapInArrow(work, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{name}` long"]))
+    return picked.mapInArrow(work, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *(f"`{n}` long" for n in names)]))
 
 
 def _signed(mask: int) -> int:
@@ -119,6 +186,88 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     return marked.join(named, "fp", "left").select(id_col, "fp", "component_id")
 
 
+def allowed_bits(similarity: float) -> int:
+    """Bits in which the wide fingerprints of two texts of this Jaccard similarity differ: the mean and 2.5 deviations."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(8 * WIDE_BYTES * p + 2.5 * math.sqrt(8 * WIDE_BYTES * p * (1 - p)))
+
+
+def wide_postings(nodes: DataFrame, key_bytes: int) -> DataFrame:
+    """(key, node): the postings of nodes (node, w0, w1, ...); a key is its number and ``key_bytes`` positional bytes."""
+    rng = random.Random(SEED)
+    places = np.array([sorted(rng.sample(range(WIDE_BYTES), key_bytes)) for _ in range(WIDE_KEYS[key_bytes])])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = np.column_stack([c.to_numpy() for c in b.columns[1:]]).astype("<i8").view(np.uint8)
+            keys = np.arange(len(places), dtype=np.int64)[None, :].repeat(len(fp), axis=0)
+            for k in range(key_bytes):
+                keys = (keys << 8) | fp[:, places[:, k]]
+            offsets = pa.array(np.arange(len(fp) + 1, dtype=np.int32) * len(places))
+            yield pa.record_batch([b.column(0), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["node", "keys"])
+
+    dtype = nodes.schema["node"].dataType.simpleString()
+    return nodes.select("node", *WIDE).mapInArrow(work, f"node {dtype}, keys array<long>").select(F.explode("keys").alias("key"), "node")
+
+
+def shingle_sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
+    """(all columns but the text, shingles): 32-bit hashes of each text's distinct shingles."""
+    rest = [c for c in df.columns if c != text_col]
+    picked = df.select(text_col, *rest)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [np.unique(shingle_hashes(t.as_py(), width).astype(np.uint32)).view(np.int32) for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(got, pa.list_(pa.int32()))], names=[*rest, "shingles"])
+
+    return picked.mapInArrow(work, T.StructType([*picked.schema.fields[1:], T.StructField("shingles", T.ArrayType(T.IntegerType()))]))
+
+
+def wide_verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float, width: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets are alike; texts: (node, text)."""
+    left = nodes.select(F.col("node").alias("a"), *[F.col(w).alias(f"a{w}") for w in WIDE])
+    right = nodes.select(F.col("node").alias("b"), *[F.col(w).alias(f"b{w}") for w in WIDE])
+    differing = sum((F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in WIDE), F.lit(0))
+    close = cut(pairs.join(left, "a").join(right, "b").filter(differing <= allowed_bits(similarity)).select("a", "b"), "near-pairs")
+    asked = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    rows = with_wide_fingerprint(texts.join(asked, "node", "left_semi").withColumn("copy", F.col("text")), "copy", WIDE_SHINGLE)
+    own = rows.join(nodes, ["node", *WIDE], "left_semi").select("node", "text")  # of rows that repeat an id, those that are the node
+    sets = cut(shingle_sets(own, "text", width).dropDuplicates(["node"]), "near-sets")
+    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    sizes = (F.least(F.size("x"), F.size("y")) >= F.lit(similarity) * F.greatest(F.size("x"), F.size("y")))
+    both = F.size(F.array_intersect("x", "y"))
+    return close.join(x, "a").join(y, "b").filter(sizes).filter(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b")
+
+
+def wide_components(nodes: DataFrame, texts: DataFrame, similarity: float, width: int) -> DataFrame:
+    """(node, root) of nodes (node, w0, w1, ...; fingerprints distinct) that are linked to smaller ones."""
+    postings = wide_postings(nodes, 3 if nodes.count() <= LARGE_INPUT else 4)
+    shared = cut(postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).filter("n > 1"), "near-buckets")
+    crowded = shared.filter("n > 2").select("key", "lo")
+    met = cut(postings.join(crowded, "key"), "near-members")
+    firsts = shared.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(met.select(F.col("node").alias("a"), F.col("lo").alias("b")))
+    linked = cut(wide_verified(firsts.filter("a <> b").distinct(), nodes, texts, similarity, width), "near-links")
+    roots = components(linked)
+    # members of a posting that its pivot has not put into one component
+    placed = met.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    open_ = placed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("key")
+    left = cut(placed.join(open_, "key"), "near-open")
+    other = left.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
+    more = left.select("key", F.col("node").alias("a"), "root").join(other, "key").filter("root < root_b").select("a", "b").distinct()
+    found = cut(wide_verified(more, nodes, texts, similarity, width), "near-more")
+    return roots if found.isEmpty() else components(linked.unionByName(found))
+
+
+def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component_id) for each row of ``docs``: texts whose shingles of ``width`` words have this similarity are linked."""
+    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"))
+    marked = cut(with_wide_fingerprint(texts, "text", WIDE_SHINGLE), "fingerprints")
+    nodes = cut(marked.groupBy(*WIDE).agg(F.min("node").alias("node")).filter("node is not null"), "near-nodes")
+    roots = wide_components(nodes, texts, similarity, width).withColumnRenamed("root", "component_id")
+    named = nodes.join(roots, "node", "left").select(*WIDE, F.coalesce("component_id", "node").alias("component_id"))
+    return marked.join(named, WIDE, "left").select(F.col("node").alias(id_col), "component_id")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), width=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
