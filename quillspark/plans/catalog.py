@@ -51,16 +51,16 @@ _NOW = f"TIMESTAMP '{V.NOW}'"
 
 
 @query("q_coverage", """
-, c AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_orderkey BETWEEN 1 AND 15000),
-m AS (SELECT user_id AS id FROM events WHERE event_type = 'error' AND user_id BETWEEN 1 AND 15000),
-t AS (SELECT id FROM tasks WHERE status = 'retryable_failed' AND id BETWEEN 1 AND 15000),
+, c AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_orderkey BETWEEN 1 AND 10000000),
+m AS (SELECT user_id AS id FROM events WHERE event_type = 'error' AND user_id BETWEEN 1 AND 10000000),
+t AS (SELECT id FROM tasks WHERE status = 'retryable_failed' AND id BETWEEN 1 AND 10000000),
 h AS (SELECT id FROM c UNION SELECT id FROM m UNION SELECT id FROM t)
-SELECT 15000::BIGINT AS total, (SELECT count(*) FROM c) AS collected, (SELECT count(*) FROM m) AS not_found, (SELECT count(DISTINCT id) FROM t) AS attempted,
-(SELECT count(*) FROM h) AS handled, greatest(0, 15000 - (SELECT count(*) FROM h))::BIGINT AS missing""", "tasks")
+SELECT 10000000::BIGINT AS total, (SELECT count(*) FROM c) AS collected, (SELECT count(*) FROM m) AS not_found, (SELECT count(DISTINCT id) FROM t) AS attempted,
+(SELECT count(*) FROM h) AS handled, greatest(0, 10000000 - (SELECT count(*) FROM h))::BIGINT AS missing""", "tasks")
 def q_coverage(spark, sf):
     missing = V.observations(spark, sf).filter("availability = 'not_found'").select("source_work_id")
     attempted = V.tasks(spark, sf).filter("status = 'retryable_failed'").select("source_work_id")
-    return C.coverage(V.work_tags(spark, sf), missing, attempted, 1, 15_000)
+    return C.coverage(V.work_tags(spark, sf), missing, attempted, 1, 10_000_000)
 
 
 @query("q_find_gaps", "SELECT r.range AS id FROM range(1, 10001) r WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = r.range) ORDER BY 1 LIMIT 100")
@@ -80,10 +80,10 @@ def q_filter_uncollected(spark, sf):
     return C.filter_uncollected(V.tasks(spark, sf).select("id"), V.work_tags(spark, sf).select(F.col("source_work_id").alias("id")), gone, queued)
 
 
-@query("q_ordered_minus", "SELECT ord, id FROM (SELECT unnest(range(0, 5)) AS ord, unnest([3, 1, 700001, 3, 700001]) AS id) WHERE id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey < 3)")
+@query("q_ordered_minus", "SELECT ord, id FROM (SELECT unnest(range(0, 5)) AS ord, unnest([3, 1, 90000000001, 3, 90000000001]) AS id) WHERE id NOT IN (SELECT o_orderkey FROM orders)")
 def q_ordered_minus(spark, sf):
-    ids = spark.range(1).select(F.array(*[F.lit(x).cast("bigint") for x in (3, 1, 700_001, 3, 700_001)]).alias("ids"))
-    return R.ordered_minus(ids, "ids", V.tasks(spark, sf).filter("id < 3")).select(F.col("ord").cast("bigint"), "id")
+    ids = spark.range(1).select(F.array(*[F.lit(x).cast("bigint") for x in (3, 1, 90_000_000_001, 3, 90_000_000_001)]).alias("ids"))
+    return R.ordered_minus(ids, "ids", V.tasks(spark, sf)).select(F.col("ord").cast("bigint"), "id")
 
 
 @query("q_not_found_ids", "SELECT DISTINCT source_work_id FROM obs WHERE availability = 'not_found'", "obs")
@@ -212,9 +212,9 @@ def q_rate_limit_grants(spark, sf):
     return usage.rate_limit(_requests(spark, sf), usage.Limiter(600_000, requests=5, hours=(6, 2)))
 
 
-@query("q_work_authors_ordered", "SELECT l_orderkey AS source_work_id, l_linenumber AS position, s_name AS name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_orderkey < 500")
+@query("q_work_authors_ordered", "SELECT l_orderkey AS source_work_id, l_linenumber AS position, s_name AS name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey")
 def q_work_authors_ordered(spark, sf):
-    return V.work_authors(spark, sf).filter("source_work_id < 500").join(V.authors(spark, sf), "source_author_id").orderBy("source_work_id", "position").select("source_work_id", "position", "name")
+    return V.work_authors(spark, sf).join(V.authors(spark, sf), "source_author_id").orderBy("source_work_id", "position").select("source_work_id", "position", "name")
 
 
 @query("q_work_tags_grouped", "SELECT l_orderkey AS source_work_id, p_type AS type, string_agg(DISTINCT p_name, '|' ORDER BY p_name) AS names FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2")
@@ -239,11 +239,11 @@ def q_duplicate_identities(spark, sf):
     return integrity.duplicates(V.work_tags(spark, sf), ["source_work_id", "position"])
 
 
-@query("q_fk_violations", "SELECT DISTINCT 'work' AS kind, l_orderkey::VARCHAR AS key FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM documents WHERE doc_id = l_orderkey) UNION ALL SELECT DISTINCT 'tag', l_partkey::VARCHAR FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_partkey % 50 <> 0)")
+@query("q_fk_violations", "SELECT DISTINCT 'work' AS kind, l_orderkey::VARCHAR AS key FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM documents WHERE doc_id = l_orderkey) UNION ALL SELECT DISTINCT 'tag', l_partkey::VARCHAR FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_type <> 'ECONOMY')")
 def q_fk_violations(spark, sf):
     bridge = V.work_tags(spark, sf)
     w = integrity.orphans(bridge, V.works(spark, sf), "source_work_id", "id").select(F.lit("work").alias("kind"), F.col("source_work_id").cast("string").alias("key")).distinct()
-    t = integrity.orphans(bridge, V.tags(spark, sf).filter("source_tag_id % 50 <> 0"), "source_tag_id").select(F.lit("tag").alias("kind"), F.col("source_tag_id").cast("string").alias("key")).distinct()
+    t = integrity.orphans(bridge, V.tags(spark, sf).filter("type <> 'ECONOMY'"), "source_tag_id").select(F.lit("tag").alias("kind"), F.col("source_tag_id").cast("string").alias("key")).distinct()
     return w.unionByName(t)
 
 
@@ -319,13 +319,13 @@ def q_changed_since_export(spark, sf):
 
 
 def _two_sides(spark, sf):
-    w = V.works(spark, sf).select("source_work_id", "id", "title", "content_hash")
-    old = w.filter("id % 3 <> 0").withColumn("content_hash", F.when(F.col("id") % 4 == 0, "sha256:old").otherwise(F.col("content_hash")))
-    new = w.filter("id % 5 <> 0").withColumn("operation", F.when(F.col("id") % 11 == 0, "hide").otherwise("upsert"))
-    return old, new
+    w = V.works(spark, sf).select("source_work_id", "id", "title", "content_hash", "language", "words")
+    old = w.filter("language <> 'fr'").withColumn("content_hash", F.when(F.col("words") > 1000, "sha256:old").otherwise(F.col("content_hash")))
+    new = w.filter("language <> 'de'").withColumn("operation", F.when(F.col("words") < 100, "hide").otherwise("upsert"))
+    return old.drop("language", "words"), new.drop("language", "words")
 
 
-_SIDES = "o AS (SELECT source_work_id, id, title, CASE WHEN id % 4 = 0 THEN 'sha256:old' ELSE content_hash END AS content_hash FROM works WHERE id % 3 <> 0), n AS (SELECT source_work_id, id, title, content_hash, CASE WHEN id % 11 = 0 THEN 'hide' ELSE 'upsert' END AS operation FROM works WHERE id % 5 <> 0)"
+_SIDES = "o AS (SELECT source_work_id, id, title, CASE WHEN words > 1000 THEN 'sha256:old' ELSE content_hash END AS content_hash FROM works WHERE language <> 'fr'), n AS (SELECT source_work_id, id, title, content_hash, CASE WHEN words < 100 THEN 'hide' ELSE 'upsert' END AS operation FROM works WHERE language <> 'de')"
 
 
 @query("q_incremental_diff", f", {_SIDES} SELECT n.source_work_id, CASE WHEN operation = 'hide' THEN 'hidden' WHEN o.id IS NULL THEN 'created' WHEN o.content_hash = n.content_hash THEN 'skipped' ELSE 'updated' END AS outcome FROM n LEFT JOIN o ON n.source_work_id = o.source_work_id", "works")
@@ -353,13 +353,13 @@ def q_replace_set(spark, sf):
 
 
 @query("q_reconcile_children", """
-WITH l AS (SELECT l_orderkey AS w, l_linenumber AS c, min(l_partkey) AS p, l_orderkey % 2 = 0 AS touched, l_linenumber % 2 = 0 AS stays FROM lineitem GROUP BY 1, 2)
-SELECT w AS source_work_id, c AS source_chapter_id, CASE WHEN touched AND stays THEN p + 1 ELSE p END AS content FROM l l1
-WHERE NOT touched OR stays OR NOT EXISTS (SELECT 1 FROM l l2 WHERE l2.w = l1.w AND l2.stays)""")
+WITH l AS (SELECT l_orderkey AS w, l_linenumber AS c, min(l_partkey) AS p, bool_or(l_returnflag = 'A') AS stays FROM lineitem GROUP BY 1, 2)
+SELECT w AS source_work_id, c AS source_chapter_id, CASE WHEN stays THEN p + 1 ELSE p END AS content FROM l l1
+WHERE stays OR NOT EXISTS (SELECT 1 FROM l l2 WHERE l2.w = l1.w AND l2.stays)""")
 def q_reconcile_children(spark, sf):
-    l = V.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("source_work_id"), F.col("l_linenumber").alias("source_chapter_id")).agg(F.min("l_partkey").alias("content"))
-    new = l.filter("source_work_id % 2 = 0 and source_chapter_id % 2 = 0").withColumn("content", F.col("content") + 1)
-    return merge.reconcile_chapters(l, new)
+    l = V.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("source_work_id"), F.col("l_linenumber").alias("source_chapter_id")).agg(F.min("l_partkey").alias("content"), F.bool_or(F.col("l_returnflag") == "A").alias("stays"))
+    new = l.filter("stays").withColumn("content", F.col("content") + 1)
+    return merge.reconcile_chapters(l.drop("stays"), new.drop("stays"))
 
 
 @query("q_first_write_wins", "SELECT user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1")
@@ -381,12 +381,12 @@ def q_export_lineage(spark, sf):
     return packages.lineage(runs).select("package_id", "source_id", "sequence_number", "previous_package_id")
 
 
-@query("q_import_plan", ", p AS (SELECT id, 'p' || id::VARCHAR AS package_id, CASE WHEN id > 0 THEN 'p' || (id - 1)::VARCHAR END AS previous_package_id FROM works), d AS (SELECT 'p' || id::VARCHAR AS package_id FROM works WHERE id % 3 = 0) SELECT package_id, CASE WHEN package_id IN (SELECT package_id FROM d) THEN 'already_imported' WHEN previous_package_id IS NOT NULL AND previous_package_id NOT IN (SELECT package_id FROM d) THEN 'missing_predecessor' ELSE 'import' END AS decision FROM p", "works")
+@query("q_import_plan", ", p AS (SELECT id, 'p' || id::VARCHAR AS package_id, CASE WHEN id > 0 THEN 'p' || (id - 1)::VARCHAR END AS previous_package_id FROM works), d AS (SELECT 'p' || id::VARCHAR AS package_id FROM works WHERE language = 'en') SELECT package_id, CASE WHEN package_id IN (SELECT package_id FROM d) THEN 'already_imported' WHEN previous_package_id IS NOT NULL AND previous_package_id NOT IN (SELECT package_id FROM d) THEN 'missing_predecessor' ELSE 'import' END AS decision FROM p", "works")
 def q_import_plan(spark, sf):
     name = lambda n: F.concat(F.lit("p"), n.cast("string"))
-    w = V.works(spark, sf).select("id")
+    w = V.works(spark, sf).select("id", "language")
     package = w.select(name(F.col("id")).alias("package_id"), F.when(F.col("id") > 0, name(F.col("id") - 1)).alias("previous_package_id"))
-    done = w.filter("id % 3 = 0").select(name(F.col("id")).alias("package_id"), F.lit("completed").alias("status"))
+    done = w.filter("language = 'en'").select(name(F.col("id")).alias("package_id"), F.lit("completed").alias("status"))
     return packages.import_plan(package, done).select("package_id", "decision")
 
 
