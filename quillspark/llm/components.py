@@ -3,7 +3,8 @@
 Every round hangs the larger neighbours of each node, and then the smaller ones, on
 the smallest node around it, until nothing changes; each component is then a star around
 its smallest node. Minima are aggregated before they are shuffled and joined back, so a node with very many
-neighbours is not gathered in one task. Each round ends in a checkpoint.
+neighbours is not gathered in one task. Each round ends in a table in the shared folder. The minima of a round are
+broadcast where the round has at most BROADCAST_EDGES edges, counted before, and joined by a shuffle otherwise.
 """
 
 from __future__ import annotations
@@ -11,9 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import cut
 
 MAX_ROUNDS = 100
+#: Edges (16 bytes each, and no more minima than twice as many) up to which a round's minima are broadcast.
+BROADCAST_EDGES = 200_000
+#: Edges in one file of a round's table.
+FILE_EDGES = 100_000
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -23,19 +28,20 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of ``edges`` but the roots themselves: root is the smallest node that can be
     reached. Edges may repeat, go either way or lead from a node to itself; those with a null end are ignored."""
-    shared_dir(edges.sparkSession)
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v")))
-    e = e.distinct().checkpoint()
+    e = cut(e.distinct(), "edges")
     state = _state(e)
     for _ in range(MAX_ROUNDS):
         if not state[0]:
             break
+        minima = F.broadcast if state[0] <= BROADCAST_EDGES else lambda df: df
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(minima(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().checkpoint()
+        small = large.join(minima(least), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        hung = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        e = cut(hung.coalesce(1 + state[0] // FILE_EDGES), "edges")  # a round never has more edges than the one before
         state, before = _state(e), state
         if state == before:
             break

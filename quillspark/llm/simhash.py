@@ -255,7 +255,7 @@ def wide_components(nodes: DataFrame, texts: DataFrame, similarity: float, width
     other = left.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
     more = left.select("key", F.col("node").alias("a"), "root").join(other, "key").filter("root < root_b").select("a", "b").distinct()
     found = cut(wide_verified(more, nodes, texts, similarity, width), "near-more")
-    return roots if found.isEmpty() else components(linked.unionByName(found))
+    return roots if found.isEmpty() else components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
 
 
 def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
