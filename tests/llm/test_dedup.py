@@ -184,6 +184,28 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_all_shingles(spark):
+    """Every shingle of five characters counts: edits of one character, lines without blanks, cut ends."""
+    rng = random.Random(21)
+    rows = [(0, "Copyright (c) 2021 The Example Authors and others, rights reserved"), (1, "Copyright (c) 2022 The Example Authors and others, rights reserved")]
+    for n in (46, 58, 66, 88, 118):
+        for blanks in ("", "   "):
+            for _ in range(20):
+                line = list("x" + "".join(rng.choices("abcdefghijklmnopéß文𝒳" + blanks, k=n - 2)) + "x")
+                edited = list(line)
+                edited[rng.randrange(1, n - 1)] = "z"
+                rows += [(len(rows) + k, "".join(x)) for k, x in enumerate((line, edited, line[:-1]))]
+    sets = {}
+    for i, x in rows:
+        x = re.sub(r"\s+", " ", x.lower()).strip()
+        sets[i] = {x[k : k + 5] for k in range(len(x)) if x[k] != " "}
+    root = union(sets, [(a, b) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    want = {i for i in sets if root[i] != i}
+    gone = {r["doc_id"] for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert 1 in want and len(want) > 300
+    assert gone <= want and len(gone) >= 0.98 * len(want) and 1 in gone
+
+
 def test_op6_is_native(spark):
     got = line_dedup.op6_line_dedup(spark, SF)
     plan = got._jdf.queryExecution().toString()
