@@ -17,7 +17,7 @@ gather more than 65 fingerprints, and each links those it has in a chain.
 SimHash of them, ten of 64, which no guarantee on eight bytes covers. So fingerprints have WIDE_BYTES bytes here, and are of shorter shingles (WIDE_SHINGLE words),
 of which an edit touches fewer. The index has many postings a fingerprint, each of three positional bytes
 (four from LARGE_INPUT fingerprints on); a pair of similarity 0.8 whose edits are scattered meets in at least one with a probability above 0.99, one
-whose edits stand together of about 0.9. Pairs that meet are filtered by their differing bits and verified by the exact Jaccard similarity
+whose edits stand together of about 0.9. Fingerprints are of distinct shingles, and all pairs that meet are verified by the exact Jaccard similarity
 of their shingles. A posting's members are compared with one pivot first and
 merged; only those that then are still in different components are compared with each other.
 
@@ -32,7 +32,6 @@ no other row has that component, component_id is null.
 
 from __future__ import annotations
 
-import math
 import random
 from collections.abc import Callable, Iterator
 from itertools import combinations
@@ -109,9 +108,9 @@ def _spread(h: np.ndarray) -> np.ndarray:
 
 
 def wide_fingerprint(text: str | None, width: int) -> np.ndarray:
-    """A SimHash of _WIDE_WORDS unsigned 64-bit words. Where the number of shingles is even the whole text has
+    """A SimHash of _WIDE_WORDS unsigned 64-bit words, of the distinct shingles, as likeness is of sets. Where the number of shingles is even the whole text has
     a vote of its own, so that no bit is tied."""
-    h = shingle_hashes(text, width)
+    h = np.unique(shingle_hashes(text, width))
     if not len(h):
         return np.zeros(_WIDE_WORDS, np.uint64)
     if len(h) % 2 == 0:
@@ -186,12 +185,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     return marked.join(named, "fp", "left").select(id_col, "fp", "component_id")
 
 
-def allowed_bits(similarity: float) -> int:
-    """Bits in which the wide fingerprints of two texts of this Jaccard similarity differ: the mean and 2.5 deviations."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(8 * WIDE_BYTES * p + 2.5 * math.sqrt(8 * WIDE_BYTES * p * (1 - p)))
-
-
 def wide_postings(nodes: DataFrame, key_bytes: int) -> DataFrame:
     """(key, node): the postings of nodes (node, w0, w1, ...); a key is its number and ``key_bytes`` positional bytes."""
     rng = random.Random(SEED)
@@ -224,19 +217,16 @@ def shingle_sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
 
 
 def wide_verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float, width: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingle sets are alike; texts: (node, text)."""
-    left = nodes.select(F.col("node").alias("a"), *[F.col(w).alias(f"a{w}") for w in WIDE])
-    right = nodes.select(F.col("node").alias("b"), *[F.col(w).alias(f"b{w}") for w in WIDE])
-    differing = sum((F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in WIDE), F.lit(0))
-    close = cut(pairs.join(left, "a").join(right, "b").filter(differing <= allowed_bits(similarity)).select("a", "b"), "near-pairs")
-    asked = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    """The pairs (a, b) of nodes whose shingle sets are alike, all of them compared; texts: (node, text)."""
+    pairs = cut(pairs, "near-pairs")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     rows = with_wide_fingerprint(texts.join(asked, "node", "left_semi").withColumn("copy", F.col("text")), "copy", WIDE_SHINGLE)
     own = rows.join(nodes, ["node", *WIDE], "left_semi").select("node", "text")  # of rows that repeat an id, those that are the node
     sets = cut(shingle_sets(own, "text", width).dropDuplicates(["node"]), "near-sets")
     x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     sizes = (F.least(F.size("x"), F.size("y")) >= F.lit(similarity) * F.greatest(F.size("x"), F.size("y")))
     both = F.size(F.array_intersect("x", "y"))
-    return close.join(x, "a").join(y, "b").filter(sizes).filter(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b")
+    return pairs.join(x, "a").join(y, "b").filter(sizes).filter(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
 def wide_components(nodes: DataFrame, texts: DataFrame, similarity: float, width: int) -> DataFrame:

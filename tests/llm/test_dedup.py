@@ -134,6 +134,22 @@ def test_near_copies(spark):
     assert simhash.near_copies(docs.limit(0)).count() == 0
 
 
+def test_near_copies_repeats(spark):
+    """Texts that differ in how often a phrase recurs."""
+    rng, rows = random.Random(31), []
+    for k in range(40):
+        words, phrase = ([f"{rng.choice('abcdef')}{rng.randrange(30000)}" for _ in range(n)] for n in (391, 9))
+        once, often = list(words), list(words)
+        once[90:90] = phrase
+        for at in range(360, 0, -45):
+            often[at:at] = phrase
+        rows += [(2 * k, " ".join(once)), (2 * k + 1, " ".join(often))]
+    sets = {i: shingles(t) for i, t in rows}
+    alike = [i for i in range(0, len(rows), 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])]
+    found = dict(simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert len(alike) >= 30 and sum(found[i] == found[i + 1] for i in alike) >= 0.95 * len(alike)
+
+
 # Lines
 
 def line_shingles(line):
