@@ -7,9 +7,11 @@ timestamp column or literal and never read from the clock.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 # States of tasks and jobs, lease times, thresholds.
 OPEN_TASKS = ("queued", "leased", "retryable_failed")
 TASK_LEASE_SECONDS = 120
@@ -82,37 +84,46 @@ def reclaim_expired(tasks: DataFrame, now: Column) -> DataFrame:
 
 
 def task_stats(tasks: DataFrame) -> DataFrame:
-    """(job_id, total, pending, succeeded, failed, skipped, next_due, last_change) of each job's tasks."""
+    """(job_id, total, pending, succeeded, failed, skipped) of each job's tasks; cancelled and missing ones are skipped."""
     s = F.col("status")
     return tasks.groupBy("job_id").agg(
         F.count("*").alias("total"), F.count_if(s.isin(*OPEN_TASKS)).alias("pending"), F.count_if(s == "succeeded").alias("succeeded"),
-        F.count_if(s == "terminal_failed").alias("failed"), F.count_if(s == "not_found").alias("skipped"),
+        F.count_if(s == "terminal_failed").alias("failed"), F.count_if(s.isin("cancelled", "not_found")).alias("skipped"),
     )
 
 
-def recompute_jobs(jobs: DataFrame, tasks: DataFrame, now: Column) -> DataFrame:
-    """Counters of all jobs from their tasks, and their status: without pending tasks completed (cancelled ones
-    stay cancelled), cancelled ones with pending tasks run on. Jobs that are still being planned keep theirs."""
+def recompute_jobs(jobs: DataFrame, tasks: DataFrame, now: Column, which: Column | None = None) -> DataFrame:
+    """Counters and status of jobs (None: all) from their tasks. A job without open tasks is completed, whatever it was,
+    unless it was cancelled; a cancelled one with open tasks runs on. completed_at is now or null."""
     stats = task_stats(tasks).withColumnRenamed("job_id", "id")
     joined = jobs.join(stats, "id", "left").fillna(0, ["total", "pending", "succeeded", "failed", "skipped"])
-    planned = F.col("planning_status") == "completed"
-    status = (
-        F.when((F.col("status") == "cancelled") & (F.col("pending") == 0), "cancelled")
-        .when(planned & (F.col("pending") == 0) & ~F.col("status").isin("paused", "failed"), "completed")
-        .when((F.col("status") == "cancelled") & (F.col("pending") > 0), "running").otherwise(F.col("status"))
-    )
-    done = F.when(status.isin("completed", "cancelled"), F.coalesce("completed_at", now)).otherwise(F.lit(None))
-    values = {"discovered_count": F.col("total"), "succeeded_count": F.col("succeeded"), "failed_count": F.col("failed"), "skipped_count": F.col("skipped"), "status": status, "completed_at": done}
-    return set_where(joined, F.lit(True), **{k: v for k, v in values.items() if k in jobs.columns}).select(jobs.columns)
+    over, cancelled = F.col("pending") == 0, F.col("status") == "cancelled"
+    status = F.when(cancelled & over, "cancelled").when(over, "completed").when(cancelled, "running").otherwise(F.col("status"))
+    return set_where(
+        joined, F.lit(True) if which is None else which, succeeded_count=F.col("succeeded"), failed_count=F.col("failed"), skipped_count=F.col("skipped"),
+        status=status, completed_at=F.when(over, now), updated_at=now,
+    ).select(jobs.columns)
+
+
+def numbered(df: DataFrame, first: int, *order: str) -> DataFrame:
+    """``df`` with ``id``: its rows numbered from ``first`` on in the given order. They are dealt out by ranges and numbered within them;
+    only the ranges' sizes are added up in one place, so no task needs all rows of one key."""
+    checkpoint_dir(df.sparkSession)
+    place = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("__at", 33)
+    sizes = place.groupBy(part.alias("p")).count().orderBy("p").collect()  # a row a partition
+    bases, at = [], first
+    for r in sizes:
+        bases.append((r["p"], at - (r["p"] << 33)))
+        at += r["count"]
+    base = df.sparkSession.createDataFrame(bases, "p long, base long")
+    return place.join(F.broadcast(base), part == F.col("p")).withColumn("id", F.col("__at") + F.col("base")).drop("__at", "p", "base")
 
 
 def enqueue(tasks: DataFrame, new: DataFrame, now: Column, first_id: int) -> DataFrame:
     """Add tasks (job_id, source_work_id) that are not there yet, each once; ids go on from ``first_id`` by job and work."""
     fresh = new.select("job_id", "source_work_id").distinct().join(tasks.select("job_id", "source_work_id"), ["job_id", "source_work_id"], "left_anti")
-    # ids are made from one number a job, so that no task needs all new rows
-    per_job = fresh.groupBy("job_id").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("job_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    nth = F.row_number().over(Window.partitionBy("job_id").orderBy("source_work_id")) - 1
-    rows = fresh.withColumn("nth", nth).join(per_job, "job_id").select((F.lit(first_id) + F.col("before") + F.col("nth")).alias("id"), "job_id", "source_work_id")
+    rows = numbered(fresh, first_id, "job_id", "source_work_id")
     full = rows.withColumns({"status": F.lit("queued"), "attempts": F.lit(0), "available_at": now, "updated_at": now})
     return tasks.unionByName(full, allowMissingColumns=True).select(tasks.columns)
 
@@ -141,48 +152,63 @@ def retry_planning(jobs: DataFrame, job_id: int) -> DataFrame:
 
 
 def stalled_jobs(jobs: DataFrame, tasks: DataFrame, sources: DataFrame, now: Column) -> DataFrame:
-    """(id, source_id, stall): why running jobs have not changed for STALL_MINUTES: source_paused, planning_stalled,
-    retry_backoff, worker_stalled or none; at most STALL_ROWS, the oldest first."""
+    """(id, source_id, stall): why jobs that are queued or running have not changed for STALL_MINUTES: source_paused,
+    planning_stalled (planned in part or not at all), retry_backoff or worker_stalled (tasks wait, none or some are due). Jobs
+    with none of these are left out; the STALL_ROWS oldest quiet jobs are looked at."""
     s = F.col("status")
-    own = tasks.groupBy("job_id").agg(
-        F.count_if(s.isin(*OPEN_TASKS)).alias("pending"), F.count_if(s.isin("queued", "retryable_failed") & (F.col("available_at") <= now)).alias("due"),
-        F.max("updated_at").alias("task_change"),
-    ).withColumnRenamed("job_id", "id")
+    quiet = jobs.filter(s.isin("queued", "running") & (F.col("updated_at") <= now - F.expr(f"INTERVAL {STALL_MINUTES} MINUTES"))).orderBy("id").limit(STALL_ROWS)
+    own = tasks.filter(s.isin("queued", "retryable_failed")).groupBy("job_id").agg(F.count_if(F.col("available_at") <= now).alias("due")).withColumnRenamed("job_id", "id")
     held = sources.select(F.col("id").alias("source_id"), "paused")
-    joined = jobs.filter(s.isin("queued", "running")).join(own, "id", "left").join(held, "source_id", "left").fillna(0, ["pending", "due"])
-    quiet = F.greatest(F.col("updated_at"), F.coalesce("task_change", "updated_at")) <= now - F.expr(f"INTERVAL {STALL_MINUTES} MINUTES")
+    joined = quiet.join(own, "id", "left").join(held, "source_id", "left")
     why = (
-        F.when(F.coalesce("paused", F.lit(False)), "source_paused").when(F.col("planning_status").isin("queued", "planning"), "planning_stalled")
-        .when((F.col("pending") > 0) & (F.col("due") == 0), "retry_backoff").when(F.col("pending") > 0, "worker_stalled").otherwise("none")
+        F.when(F.coalesce("paused", F.lit(False)), "source_paused").when(F.col("planning_status") != "completed", "planning_stalled")
+        .when(F.col("due") > 0, "worker_stalled").when(F.col("due") == 0, "retry_backoff")
     )
-    return joined.filter(quiet).select("id", "source_id", why.alias("stall")).orderBy("id").limit(STALL_ROWS)
+    return joined.select("id", "source_id", why.alias("stall")).filter("stall is not null")
 
 
-def heal_cancelled(jobs: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Cancelled jobs that never ended although planning or tasks are pending run again."""
-    pending = tasks.filter(F.col("status").isin(*OPEN_TASKS)).select(F.col("job_id").alias("id")).distinct().withColumn("__open", F.lit(True))
-    marked = jobs.join(pending, "id", "left")
-    wrong = (F.col("status") == "cancelled") & F.col("completed_at").isNull() & (F.col("planning_status").isin("queued", "planning") | F.col("__open"))
-    return set_where(marked, wrong, status=F.lit("running")).select(jobs.columns)
+def heal_cancelled(jobs: DataFrame, tasks: DataFrame, now: Column) -> DataFrame:
+    """Cancelled jobs that never ended although a planner held them or tasks wait run again; planning that was not complete is queued."""
+    waiting = tasks.filter(F.col("status").isin("queued", "retryable_failed")).select(F.col("job_id").alias("id")).distinct().withColumn("__open", F.lit(True))
+    marked = jobs.join(waiting, "id", "left")
+    wrong = (F.col("status") == "cancelled") & F.col("completed_at").isNull() & (F.col("planning_status").isin("planning", "leased") | F.coalesce("__open", F.lit(False)))
+    planning = F.when(F.col("planning_status") == "completed", "completed").otherwise("queued")
+    return set_where(marked, wrong, status=F.lit("running"), completed_at=F.lit(None), planning_status=planning, planning_error=F.lit(None), updated_at=now).select(jobs.columns)
 
 
-def pause_job(jobs: DataFrame, job_id: int) -> DataFrame:
-    return set_where(jobs, (F.col("id") == job_id) & F.col("status").isin("queued", "running"), status=F.lit("paused"))
+def pause_job(jobs: DataFrame, job_id: int, now: Column) -> DataFrame:
+    """A planner that holds the job loses it."""
+    held = F.col("planning_status").isin("leased", "planning")
+    return set_where(
+        jobs, (F.col("id") == job_id) & F.col("status").isin("queued", "running"), status=F.lit("paused"), updated_at=now,
+        planning_status=F.when(held, "queued").otherwise(F.col("planning_status")), **{c: F.when(~held, F.col(c)) for c in ("planning_lease_token", "planning_lease_expires_at") if c in jobs.columns},
+    )
 
 
-def resume_job(jobs: DataFrame, job_id: int) -> DataFrame:
-    return set_where(jobs, (F.col("id") == job_id) & (F.col("status") == "paused"), status=F.lit("running"))
+def resume_job(jobs: DataFrame, job_id: int, now: Column) -> DataFrame:
+    return set_where(jobs, F.col("id") == job_id, status=F.lit("running"), updated_at=now)
 
 
 def retry_failures(tasks: DataFrame, job_id: int | None, now: Column) -> DataFrame:
-    """Failed tasks of a job (None: of all) are queued again with no attempts made."""
-    failed = F.col("status") == "terminal_failed"
-    return set_where(tasks, failed if job_id is None else failed & (F.col("job_id") == job_id), status=F.lit("queued"), attempts=F.lit(0), available_at=now, last_error_code=F.lit(None), last_error_message=F.lit(None), updated_at=now)
+    """Failed tasks of a job (None: of all) are queued again with no attempts made; ``reopen_job`` is the job's part of it."""
+    failed, empty = F.col("status") == "terminal_failed", F.lit(None)
+    return set_where(
+        tasks, failed if job_id is None else failed & (F.col("job_id") == job_id), status=F.lit("queued"), attempts=F.lit(0), available_at=now,
+        lease_expires_at=empty, leased_by=empty, last_error_code=empty, last_error_message=empty, updated_at=now,
+    )
+
+
+def reopen_job(jobs: DataFrame, job_id: int, now: Column) -> DataFrame:
+    again = (F.col("id") == job_id) & F.col("status").isin("completed", "failed", "paused", "running")
+    return set_where(jobs, again, status=F.lit("running"), completed_at=F.lit(None), updated_at=now)
 
 
 def cancel_job(jobs: DataFrame, tasks: DataFrame, job_id: int, now: Column) -> tuple[DataFrame, DataFrame]:
-    stopped = set_where(tasks, (F.col("job_id") == job_id) & F.col("status").isin(*OPEN_TASKS), status=F.lit("cancelled"), updated_at=now)
-    return set_where(jobs, F.col("id") == job_id, status=F.lit("cancelled"), completed_at=now), stopped
+    """The job ends, planning too; tasks that wait are cancelled, those that a worker holds are left to it."""
+    empty = F.lit(None)
+    stopped = set_where(tasks, (F.col("job_id") == job_id) & F.col("status").isin("queued", "retryable_failed"), status=F.lit("cancelled"), lease_expires_at=empty, leased_by=empty, updated_at=now)
+    ended = set_where(jobs, F.col("id") == job_id, status=F.lit("cancelled"), planning_status=F.lit("completed"), planning_lease_token=empty, planning_lease_expires_at=empty, completed_at=now, updated_at=now)
+    return ended, stopped
 
 
 def delete_job(jobs: DataFrame, tasks: DataFrame, job_id: int) -> tuple[DataFrame, DataFrame, DataFrame]:

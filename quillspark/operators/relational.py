@@ -120,23 +120,36 @@ def counts_by_status(df: DataFrame, key: str, status: str = "status") -> DataFra
     return per.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(status, "n")))).alias("counts"))
 
 
-def thread_depth(df: DataFrame, key: Sequence[str], ident: str, parent: str, limit: int = 1000) -> DataFrame:
-    """``df`` with ``depth``: the ancestors of each row within its group; a missing parent or a cycle ends the walk.
+def thread_depth(df: DataFrame, key: Sequence[str], ident: str, parent: str) -> DataFrame:
+    """``df`` with ``depth``: the ancestors of each row within its group, however many; a missing parent ends the walk, and
+    in a cycle each ancestor counts once. Of rows that repeat an id the least parent counts.
 
-    Parents are doubled each round, so a thread of depth d takes log2(d) joins, each keyed by group and id.
+    Each row points to an ancestor and knows how far it is; pointers are doubled each round, so a thread of depth d takes log2(d)
+    joins of rows of constant size. Rows that are further from their pointer than their group has rows are in cycles or below them; only
+    those are walked with their paths.
     """
     checkpoint_dir(df.sparkSession)
-    base = df.select(*key, F.col(ident).alias("__id"), F.col(parent).alias("__up"))
-    known = base.select(*key, F.col("__id").alias("__up")).distinct()
-    links = base.join(known, [*key, "__up"], "left_semi").select(*key, "__id", F.array("__up").alias("path"))
-    size = 1
-    while size < limit:
-        ahead = links.select(*key, F.col("__id").alias("__top"), F.col("path").alias("more"))
-        grown = links.withColumn("__top", F.element_at("path", -1)).join(ahead, [*key, "__top"], "left")
-        joined = F.concat("path", F.coalesce("more", F.slice("path", 1, 0)))
-        links = grown.select(*key, "__id", F.array_distinct(joined).alias("path")).checkpoint()
-        size *= 2
-        if links.filter(F.size("path") >= size).isEmpty():
+    at = [*key, "__top"]
+    base = df.groupBy(*key, F.col(ident).alias("__id")).agg(F.min(parent).alias("__top"))
+    known = base.select(*key, F.col("__id").alias("__top"))
+    links = base.join(known, at, "left_semi").withColumns({"n": F.lit(1).cast("bigint"), "moved": F.lit(True)}).checkpoint()
+    sizes = base.groupBy(*key).agg(F.count("*").alias("rows"))
+    first = links.select(*key, "__id", "__top")
+    while True:
+        ahead = links.select(*key, F.col("__id").alias("__top"), F.col("__top").alias("__next"), F.col("n").alias("more"))
+        grown = links.drop("moved").join(ahead, at, "left").select(*key, "__id", F.coalesce("__next", "__top").alias("__top"), (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"), F.col("__next").isNotNull().alias("moved"))
+        links = grown.checkpoint()
+        moving = links.filter("moved")
+        if moving.join(sizes, list(key)).filter("n <= rows").isEmpty():
             break
-    depth = links.select(*key, F.col("__id").alias(ident), F.size("path").alias("depth"))
-    return df.join(depth, [*key, ident], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
+    depth = links.filter("not moved").select(*key, F.col("__id").alias(ident), F.col("n").alias("depth"))
+    if not moving.isEmpty():
+        paths = first.join(moving.select(*key, "__id"), [*key, "__id"], "left_semi").select(*key, "__id", F.array("__top").alias("path")).checkpoint()
+        total, before = paths.agg(F.sum(F.size("path"))).first()[0], -1
+        while total != before:
+            ahead = paths.select(*key, F.col("__id").alias("__top"), F.col("path").alias("more"))
+            grown = paths.withColumn("__top", F.element_at("path", -1)).join(ahead, at, "left")
+            paths = grown.select(*key, "__id", F.array_distinct(F.concat("path", F.coalesce("more", F.slice("path", 1, 0)))).alias("path")).checkpoint()
+            total, before = paths.agg(F.sum(F.size("path"))).first()[0], total
+        depth = depth.unionByName(paths.select(*key, F.col("__id").alias(ident), F.size("path").cast("bigint").alias("depth")))
+    return df.join(depth, [*key, ident], "left").withColumn("depth", F.coalesce("depth", F.lit(0)).cast("int"))

@@ -51,26 +51,38 @@ _NOW = f"TIMESTAMP '{V.NOW}'"
 
 
 @query("q_coverage", """
-, c AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_orderkey BETWEEN 1 AND 10000000),
-m AS (SELECT user_id AS id FROM events WHERE event_type = 'error' AND user_id BETWEEN 1 AND 10000000),
-t AS (SELECT id FROM tasks WHERE status = 'retryable_failed' AND id BETWEEN 1 AND 10000000),
+, e AS (SELECT max(o_orderkey) AS hi FROM orders),
+c AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_orderkey BETWEEN 1 AND (SELECT hi FROM e)),
+m AS (SELECT user_id AS id FROM events WHERE event_type = 'error' AND user_id BETWEEN 1 AND (SELECT hi FROM e)),
+t AS (SELECT id FROM tasks WHERE status = 'retryable_failed' AND id BETWEEN 1 AND (SELECT hi FROM e)),
 h AS (SELECT id FROM c UNION SELECT id FROM m UNION SELECT id FROM t)
-SELECT 10000000::BIGINT AS total, (SELECT count(*) FROM c) AS collected, (SELECT count(*) FROM m) AS not_found, (SELECT count(DISTINCT id) FROM t) AS attempted,
-(SELECT count(*) FROM h) AS handled, greatest(0, 10000000 - (SELECT count(*) FROM h))::BIGINT AS missing""", "tasks")
+SELECT hi AS total, (SELECT count(*) FROM c) AS collected, (SELECT count(*) FROM m) AS not_found, (SELECT count(DISTINCT id) FROM t) AS attempted,
+(SELECT count(*) FROM h) AS handled, greatest(0, hi - (SELECT count(*) FROM h))::BIGINT AS missing FROM e""", "tasks")
 def q_coverage(spark, sf):
+    last = V.table(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0]
     missing = V.observations(spark, sf).filter("availability = 'not_found'").select("source_work_id")
     attempted = V.tasks(spark, sf).filter("status = 'retryable_failed'").select("source_work_id")
-    return C.coverage(V.work_tags(spark, sf), missing, attempted, 1, 10_000_000)
+    return C.coverage(V.work_tags(spark, sf), missing, attempted, 1, last)
 
 
-@query("q_find_gaps", "SELECT r.range AS id FROM range(1, 10001) r WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = r.range) ORDER BY 1 LIMIT 100")
+_GAPS = "gaps AS (SELECT r.id FROM (SELECT unnest(range(1, least(10000, (SELECT max(l_orderkey) FROM lineitem)) + 1)) AS id) r WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = r.id) ORDER BY 1 LIMIT 100)"
+
+
+def _last_work(spark, sf) -> int:
+    return V.work_tags(spark, sf).agg(F.max("source_work_id")).first()[0]
+
+
+@query("q_find_gaps", f"WITH {_GAPS} SELECT id FROM gaps")
 def q_find_gaps(spark, sf):
-    return C.find_gaps(spark, V.work_tags(spark, sf).select(F.col("source_work_id").alias("id")), 1, 15_000, 100)
+    return C.find_gaps(spark, V.work_tags(spark, sf).select(F.col("source_work_id").alias("id")), 1, _last_work(spark, sf), 100)
 
 
-@query("q_gap_cursor", "SELECT CASE WHEN n >= 100 THEN CASE WHEN least(10000, 1 + (floor((hi - 1) / 3000) + 1) * 3000 - 1) + 1 <= 15000 THEN least(10000, 1 + (floor((hi - 1) / 3000) + 1) * 3000 - 1) + 1 END ELSE 10001 END::BIGINT AS next_cursor FROM (SELECT count(*) AS n, max(id) AS hi FROM (SELECT r.range AS id FROM range(1, 10001) r WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = r.range) ORDER BY 1 LIMIT 100))")
+@query("q_gap_cursor", f"""
+WITH {_GAPS}, e AS (SELECT max(l_orderkey) AS hi, least(10000, max(l_orderkey)) AS last FROM lineitem),
+s AS (SELECT CASE WHEN (SELECT count(*) FROM gaps) >= 100 THEN least(last, (floor(((SELECT max(id) FROM gaps) - 1) / 3000) + 1) * 3000) ELSE last END + 1 AS c, hi FROM e)
+SELECT CASE WHEN c <= hi THEN c END::BIGINT AS next_cursor FROM s""")
 def q_gap_cursor(spark, sf):
-    return C.next_cursor(q_find_gaps(spark, sf), 1, 15_000, 100).select(F.col("next_cursor").cast("bigint"))
+    return C.next_cursor(q_find_gaps(spark, sf), 1, _last_work(spark, sf), 100).select(F.col("next_cursor").cast("bigint"))
 
 
 @query("q_filter_uncollected", "SELECT o_orderkey AS id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) AND o_orderkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error') AND o_orderkey NOT IN (SELECT id FROM tasks WHERE status IN ('queued', 'retryable_failed'))", "tasks")
@@ -169,9 +181,14 @@ def q_statistics(spark, sf):
 _STATS = f"st AS (SELECT job_id, count(*) AS total, count(*) FILTER (status IN {_OPEN}) AS pending, count(*) FILTER (status = 'succeeded') AS succeeded, count(*) FILTER (status = 'terminal_failed') AS failed FROM tasks GROUP BY job_id)"
 
 
-@query("q_job_recompute", f", {_STATS} SELECT j.id, coalesce(total, 0) AS discovered_count, coalesce(succeeded, 0) AS succeeded_count, coalesce(failed, 0) AS failed_count, CASE WHEN status = 'cancelled' AND coalesce(pending, 0) = 0 THEN 'cancelled' WHEN planning_status = 'completed' AND coalesce(pending, 0) = 0 AND status NOT IN ('paused', 'failed') THEN 'completed' WHEN status = 'cancelled' AND coalesce(pending, 0) > 0 THEN 'running' ELSE status END AS status FROM jobs j LEFT JOIN st ON j.id = st.job_id", "tasks", "jobs")
+@query("q_job_recompute", f"""
+SELECT id, (SELECT count(*) FROM tasks WHERE job_id = jobs.id AND status = 'succeeded') AS succeeded_count, (SELECT count(*) FROM tasks WHERE job_id = jobs.id AND status = 'terminal_failed') AS failed_count,
+       (SELECT count(*) FROM tasks WHERE job_id = jobs.id AND status IN ('cancelled', 'not_found')) AS skipped_count,
+       CASE WHEN EXISTS (SELECT 1 FROM tasks WHERE job_id = jobs.id AND status IN {_OPEN}) THEN CASE status WHEN 'cancelled' THEN 'running' ELSE status END WHEN status = 'cancelled' THEN 'cancelled' ELSE 'completed' END AS status,
+       CASE WHEN NOT EXISTS (SELECT 1 FROM tasks WHERE job_id = jobs.id AND status IN {_OPEN}) THEN {_NOW} END AS completed_at, {_NOW} AS updated_at
+FROM jobs""", "tasks", "jobs")
 def q_job_recompute(spark, sf):
-    return queue.recompute_jobs(V.jobs(spark, sf), V.tasks(spark, sf), V.now()).select("id", "discovered_count", "succeeded_count", "failed_count", "status")
+    return queue.recompute_jobs(V.jobs(spark, sf), V.tasks(spark, sf), V.now()).select("id", "succeeded_count", "failed_count", "skipped_count", "status", "completed_at", "updated_at")
 
 
 @query("q_sources_usage", ", u AS (SELECT user_id AS id, count(*) AS n FROM events WHERE ts::DATE = DATE '2024-01-10' GROUP BY 1) SELECT s.id, source_key, coalesce(n, 0) AS today FROM sources s LEFT JOIN u ON s.id = u.id", "sources")
@@ -239,11 +256,11 @@ def q_duplicate_identities(spark, sf):
     return integrity.duplicates(V.work_tags(spark, sf), ["source_work_id", "position"])
 
 
-@query("q_fk_violations", "SELECT DISTINCT 'work' AS kind, l_orderkey::VARCHAR AS key FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM documents WHERE doc_id = l_orderkey) UNION ALL SELECT DISTINCT 'tag', l_partkey::VARCHAR FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_type <> 'ECONOMY')")
+@query("q_fk_violations", "SELECT DISTINCT 'work' AS kind, l_orderkey::VARCHAR AS key FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM documents WHERE doc_id = l_orderkey) UNION ALL SELECT DISTINCT 'tag', l_partkey::VARCHAR FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)")
 def q_fk_violations(spark, sf):
     bridge = V.work_tags(spark, sf)
     w = integrity.orphans(bridge, V.works(spark, sf), "source_work_id", "id").select(F.lit("work").alias("kind"), F.col("source_work_id").cast("string").alias("key")).distinct()
-    t = integrity.orphans(bridge, V.tags(spark, sf).filter("type <> 'ECONOMY'"), "source_tag_id").select(F.lit("tag").alias("kind"), F.col("source_tag_id").cast("string").alias("key")).distinct()
+    t = integrity.orphans(bridge, V.tags(spark, sf), "source_tag_id").select(F.lit("tag").alias("kind"), F.col("source_tag_id").cast("string").alias("key")).distinct()
     return w.unionByName(t)
 
 
@@ -265,12 +282,20 @@ def q_jobs_without_pending(spark, sf):
     return R.minus_keys(V.jobs(spark, sf), pending, "id").select("id")
 
 
-@query("q_self_heal_jobs", f"SELECT id, CASE WHEN status = 'cancelled' AND (planning_status IN ('queued', 'planning') OR EXISTS (SELECT 1 FROM tasks t WHERE t.job_id = jobs.id AND t.status IN {_OPEN})) THEN 'running' ELSE status END AS status FROM jobs", "jobs", "tasks")
+@query("q_self_heal_jobs", f"""
+, h AS (SELECT id FROM jobs WHERE status = 'cancelled' AND (planning_status IN ('planning', 'leased') OR EXISTS (SELECT 1 FROM tasks t WHERE t.job_id = jobs.id AND t.status IN ('queued', 'retryable_failed'))))
+SELECT id, CASE WHEN id IN (SELECT id FROM h) THEN 'running' ELSE status END AS status, CASE WHEN id IN (SELECT id FROM h) AND planning_status <> 'completed' THEN 'queued' ELSE planning_status END AS planning_status,
+       CASE WHEN id IN (SELECT id FROM h) THEN {_NOW} ELSE updated_at END AS updated_at FROM jobs""", "jobs", "tasks")
 def q_self_heal_jobs(spark, sf):
-    return queue.heal_cancelled(V.jobs(spark, sf), V.tasks(spark, sf)).select("id", "status")
+    return queue.heal_cancelled(V.jobs(spark, sf), V.tasks(spark, sf), V.now()).select("id", "status", "planning_status", "updated_at")
 
 
-@query("q_stalled_jobs", f", a AS (SELECT job_id, count(*) FILTER (status IN {_OPEN}) AS pending, count(*) FILTER (status IN ('queued', 'retryable_failed') AND available_at <= {_NOW}) AS due, max(updated_at) AS tc FROM tasks GROUP BY 1) SELECT j.id, j.source_id, CASE WHEN s.paused THEN 'source_paused' WHEN planning_status IN ('queued', 'planning') THEN 'planning_stalled' WHEN coalesce(pending, 0) > 0 AND coalesce(due, 0) = 0 THEN 'retry_backoff' WHEN coalesce(pending, 0) > 0 THEN 'worker_stalled' ELSE 'none' END AS stall FROM jobs j LEFT JOIN a ON a.job_id = j.id LEFT JOIN sources s ON s.id = j.source_id WHERE j.status IN ('queued', 'running') AND greatest(j.updated_at, coalesce(tc, j.updated_at)) <= {_NOW} - INTERVAL 30 MINUTE ORDER BY j.id LIMIT 200", "jobs", "tasks", "sources")
+@query("q_stalled_jobs", f"""
+, quiet AS (SELECT * FROM jobs WHERE status IN ('queued', 'running') AND updated_at <= {_NOW} - INTERVAL 30 MINUTE ORDER BY id LIMIT 200),
+why AS (SELECT id, source_id, CASE WHEN (SELECT paused FROM sources s WHERE s.id = source_id) THEN 'source_paused' WHEN planning_status <> 'completed' THEN 'planning_stalled'
+  WHEN NOT EXISTS (SELECT 1 FROM tasks t WHERE t.job_id = quiet.id AND t.status IN ('queued', 'retryable_failed')) THEN NULL
+  WHEN EXISTS (SELECT 1 FROM tasks t WHERE t.job_id = quiet.id AND t.status IN ('queued', 'retryable_failed') AND t.available_at <= {_NOW}) THEN 'worker_stalled' ELSE 'retry_backoff' END AS stall FROM quiet)
+SELECT id, source_id, stall FROM why WHERE stall IS NOT NULL""", "jobs", "tasks", "sources")
 def q_stalled_jobs(spark, sf):
     return queue.stalled_jobs(V.jobs(spark, sf), V.tasks(spark, sf), V.sources(spark, sf), V.now())
 

@@ -26,10 +26,12 @@ def session(name: str = "quillspark", master: str | None = None, **conf: str) ->
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which the driver and all executors share. Only where it is
-    unset, as in tests on one machine, a temporary folder takes its place."""
+    unset and the master is local, as in tests on one machine, a temporary folder takes its place."""
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="quillspark-")
         spark.conf.set("spark.checkpoint.dir", at)
     if not sc._jsc.sc().getCheckpointDir().isDefined():

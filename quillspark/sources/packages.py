@@ -208,10 +208,16 @@ def write_package(spark: SparkSession, folder: str, manifest: dict, sets: dict[s
     disk.delete(root, True)
     disk.mkdirs(root)
 
+    def bare(name: str) -> None:
+        """Local file systems keep a checksum beside a file; a package's own are in checksums.sha256, and a reader must
+        see a file that was changed as it is."""
+        disk.delete(fs.Path(root, f".{name}.crc"), False)
+
     def put(name: str, data: bytes) -> None:
         out = disk.create(fs.Path(root, name), True)
         out.write(bytearray(data))
         out.close()
+        bare(name)
 
     counts = {r["name"]: r["n"] for r in integrity.record_counts(sets).collect()}
     put("manifest.json", (json.dumps(manifest | {"records": {name: counts.get(name, 0) for name in FILES}}, indent=2, ensure_ascii=False) + "\n").encode())
@@ -222,6 +228,7 @@ def write_package(spark: SparkSession, folder: str, manifest: dict, sets: dict[s
         made = [s.getPath() for s in disk.listStatus(part) if s.getPath().getName().startswith("part-")]
         if made:
             disk.rename(made[0], fs.Path(root, file))
+            bare(file)
         else:
             put(file, b"")
         disk.delete(part, True)
