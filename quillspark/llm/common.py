@@ -3,32 +3,21 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from ..session import checkpoint_dir
 
 #: Text bytes that a Python task takes at a time from an Arrow batch.
 SLICE_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    It is what the session's ``spark.checkpoint.dir`` names. Only where that is
-    unset, as in tests on one machine, a temporary folder takes its place.
-    """
-    sc = spark.sparkContext
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="quillspark-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(at)
-    return at.rstrip("/")
+    """The folder of ``spark.checkpoint.dir``, which the driver and all executors share."""
+    return checkpoint_dir(spark)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -78,7 +67,8 @@ def slices(texts: list, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def with_row(df: DataFrame, name: str = "__row") -> DataFrame:
-    """Number rows for keys that hold even where ids repeat. ``df`` comes straight from
-    files, whose splits and row order a second attempt finds again."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as no column of ``df`` has."""
+    while name in df.columns:
+        name = "_" + name
+    return name

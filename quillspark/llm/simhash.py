@@ -5,28 +5,23 @@ bytes, so they agree in at least six byte positions. The index's postings hold f
 positional bytes each: two of the four pairs of neighbouring bytes, six combinations
 a fingerprint. Two differing bytes touch at most two pairs, so a linked pair meets in
 at least one posting, while unrelated fingerprints rarely do (one posting of a single positional byte would
-hold every 256th fingerprint, and its pairs would grow with the square of the input). For each pair
-that meets, the shared positional bytes are tallied; pairs with at least six are kept and verified bit by bit.
-
-Postings of more than POSTING_ROWS fingerprints (variants of one text) emit no pairs. Their
-fingerprints are linked exactly another way: two are at most two bits apart just if some value is at most one bit from
-both. Each such fingerprint is sent to the 65 values at most one bit away; no value can
-gather more than 65 fingerprints, and each links those it has in a chain.
+hold every 256th fingerprint, and its pairs would grow with the square of the input). A posting vouches for four
+bytes of each pair that meets in it; the other four are tallied, pairs that share fewer than six in all are dropped, and the rest are verified bit
+by bit. All that happens within the join, which emits verified links alone.
 
 ``near_copies``: texts whose five-word shingles have a Jaccard similarity of 0.8 differ in about 15 % of the bits of any
-SimHash of them, ten of 64, which no guarantee on eight bytes covers. So fingerprints have WIDE_BYTES bytes here, and are of shorter shingles (WIDE_SHINGLE words),
-of which an edit touches fewer. The index has many postings a fingerprint, each of three positional bytes
-(four from LARGE_INPUT fingerprints on); a pair of similarity 0.8 whose edits are scattered meets in at least one with a probability above 0.99, one
-whose edits stand together of about 0.9. Fingerprints are of distinct shingles, and all pairs that meet are verified by the exact Jaccard similarity
-of their shingles. A posting's members are compared with one pivot first and
-merged; only those that then are still in different components are compared with each other.
+SimHash of them, ten of 64, which no guarantee on eight bytes covers. So fingerprints have WIDE_BYTES bytes here, of distinct
+shingles of WIDE_SHINGLE words, of which a scattered edit touches fewer. The index has WIDE_KEYS postings a fingerprint, each of
+three positional bytes; pairs that meet share 6 of the 64 bytes at least (a pair right at 0.8 shares 17 on average,
+unrelated ones a quarter of one) and are then verified by the exact Jaccard similarity of their five-word shingles.
 
-Equal fingerprints are one node from the start, so copies cost nothing here. Components come from the distributed
-union-find; they are found among fingerprints and joined to documents at the end.
+In both a posting's members are compared with one pivot first, its least node, and merged; then those that still are in different
+components are compared with each other, dealt out in blocks, so a crowded posting is neither cut off nor expanded in one task. Equal fingerprints are
+one node from the start, so copies cost nothing here. Components come from the distributed union-find.
 
 Edge cases: null and empty texts, and texts without words, have fingerprint zero and are linked like any
-other; fewer words than a shingle has are one shingle. Rows that repeat a doc_id are fingerprinted each. Rows with
-a null doc_id have a fingerprint and belong to its component, but are never what a component is named by; where
+other; fewer words than a shingle has are one shingle. Rows that repeat a doc_id are fingerprinted each, and are linked by their fingerprints
+alone, not by the id. Rows with a null doc_id have a fingerprint and belong to its component, but never name it; where
 no other row has that component, component_id is null.
 """
 
@@ -48,16 +43,17 @@ from .components import components
 
 SEED = 42
 DISTANCE = 2
-#: A posting with more fingerprints than this is linked through values one bit away.
-POSTING_ROWS = 64
+#: Members of one posting that a task compares with the others at a time.
+BLOCK = 4096
 _PAIR_BYTES = tuple(0xFFFF << 16 * k for k in range(4))
 #: Masks of the six postings: two of the four pairs of neighbouring bytes.
 MASKS = tuple(a | b for a, b in combinations(_PAIR_BYTES, 2))
-#: Wide fingerprints: their bytes, words of a shingle, postings by the bytes of each, and the fingerprints beyond which a posting holds four bytes and not three.
+#: Wide fingerprints: their bytes, words of a shingle, postings of each, bytes of a posting, and bytes that a pair shares at least.
 WIDE_BYTES = 64
 WIDE_SHINGLE = 3
-WIDE_KEYS = {3: 128, 4: 384}
-LARGE_INPUT = 1 << 25
+WIDE_KEYS = 256
+KEY_BYTES = 3
+WIDE_SHARED = 6
 _WIDE_WORDS = WIDE_BYTES // 8
 #: Every eighth bit of a word; so many rows can be added before a lane of eight bits overflows.
 _LANES = np.uint64(0x0101010101010101)
@@ -149,113 +145,153 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def shared_bytes(a: Column, b: Column) -> Column:
-    """In how many of the eight byte positions two fingerprints agree."""
-    x = a.bitwiseXOR(b)
-    return sum((F.when(x.bitwiseAND(F.lit(_signed(0xFF << 8 * k))) == 0, 1).otherwise(0) for k in range(8)), F.lit(0))
-
-
-def links(nodes: DataFrame) -> DataFrame:
-    """Links (a, b) between nodes that are at most DISTANCE bits apart: all pairs of small postings, and for
-    large ones links that connect the same nodes. ``nodes``: (node, fp), fingerprints distinct."""
-    postings = nodes.select("node", "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in MASKS])).alias("at", "key"))
-    sizes = postings.groupBy("at", "key").count().filter("count > 1")
-    met = cut(postings.join(sizes, ["at", "key"]), "postings")
-    few = met.filter(F.col("count") <= POSTING_ROWS).groupBy("at", "key").agg(F.collect_list(F.struct("node", "fp")).alias("x"))
-    pairs = few.select(F.explode("x").alias("p"), "x").select("p", F.explode("x").alias("q")).filter("p.node < q.node")
-    verified = (
-        pairs.filter(shared_bytes(F.col("p.fp"), F.col("q.fp")) >= 8 - DISTANCE)
-        .filter(F.bit_count(F.col("p.fp").bitwiseXOR(F.col("q.fp"))) <= DISTANCE)
-        .select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
-    )
-    many = met.filter(F.col("count") > POSTING_ROWS).select("node", "fp").distinct()
-    flips = F.array(F.lit(0).cast("long"), *[F.lit(_signed(1 << k)).cast("long") for k in range(64)])
-    near = many.select("node", "fp", F.explode(flips).alias("flip")).select("node", F.col("fp").bitwiseXOR(F.col("flip")).alias("value"))
-    hubs = near.groupBy("value").agg(F.collect_list("node").alias("x")).filter(F.size("x") > 1)  # 65 nodes at most
-    through = hubs.select(F.explode("x").alias("a"), F.array_min("x").alias("b")).filter("a <> b")
-    return verified.unionByName(through).distinct()
+def shared_bytes(a: str, b: str, words: list[str]) -> Column:
+    """In how many byte positions two fingerprints, structs ``a`` and ``b`` of long ``words``, agree."""
+    same = []
+    for w in words:
+        x = F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))
+        same += [F.when(x.bitwiseAND(F.lit(_signed(0xFF << 8 * k))) == 0, 1).otherwise(0) for k in range(8)]
+    return sum(same[1:], same[0])
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp, component_id) for each row of ``docs``; fp is the signed fingerprint."""
-    marked = cut(with_fingerprint(docs.select(id_col, text_col), text_col, width), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min(id_col).alias("node")).filter("node is not null")
-    roots = components(links(nodes)).withColumnRenamed("root", "component_id")
-    named = nodes.join(roots, "node", "left").select("fp", F.coalesce("component_id", "node").alias("component_id"))
-    return marked.join(named, "fp", "left").select(id_col, "fp", "component_id")
+def close(a: str, b: str) -> Column:
+    """Whether two 64-bit fingerprints share enough bytes and are at most DISTANCE bits apart."""
+    return (shared_bytes(a, b, ["fp"]) >= 8 - DISTANCE) & (F.bit_count(F.col(f"{a}.fp").bitwiseXOR(F.col(f"{b}.fp"))) <= DISTANCE)
+
+
+def met_by(postings: DataFrame, name: str) -> DataFrame:
+    """(key, node, pivot): the postings (key, node) of more than one node, and the least node of each. They are
+    dealt out by key once."""
+    dealt = postings.repartition("key")
+    shared = dealt.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot <> last").select("key", "pivot")
+    return cut(dealt.join(shared, "key"), name)
+
+
+def open_members(met: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (key, node, root) besides the pivots of postings in which they are in different components, and those postings (key, blocks)."""
+    own = met.filter("node <> pivot").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    own = cut(own, "open-members")
+    sizes = own.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    return own, cut(sizes.filter("lo <> hi").select("key", "blocks"), "open-postings")
+
+
+def in_blocks(left: DataFrame, like: Column) -> DataFrame:
+    """Links (a, b) among the members of each posting that are in different components and meet ``like``. left: (key, blocks, node, root, x);
+    one side is dealt out in blocks, the other goes to all of them. ``like`` compares columns p.x and q.x."""
+    one = left.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).drop("blocks")
+    all_ = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    p = one.select("key", "block", F.struct("node", "root", "x").alias("p"))
+    q = all_.select("key", "block", F.struct("node", "root", "x").alias("q"))
+    found = p.join(q, ["key", "block"]).filter((F.col("p.root") < F.col("q.root")) & like)
+    return found.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+
 
+def merged(roots: DataFrame, more: DataFrame) -> DataFrame:
+    return roots if more.isEmpty() else components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
-def wide_postings(nodes: DataFrame, key_bytes: int) -> DataFrame:
-    """(key, node): the postings of nodes (node, w0, w1, ...); a key is its number and ``key_bytes`` positional bytes."""
+
+def close_components(nodes: DataFrame) -> DataFrame:
+    """(node, root) of fingerprints that are linked to smaller ones; nodes: (node), distinct signed fingerprints."""
+    keys = F.array(*[F.xxhash64(F.lit(k), F.col("node").bitwiseAND(F.lit(_signed(m)))) for k, m in enumerate(MASKS)])
+    met = met_by(nodes.select("node", F.explode(keys).alias("key")), "postings")
+    firsts = met.filter("node <> pivot").select(F.struct(F.col("node").alias("fp")).alias("p"), F.struct(F.col("pivot").alias("fp")).alias("q"))
+    roots = components(firsts.filter(close("p", "q")).select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b")))
+    own, open_ = open_members(met, roots)
+    if open_.isEmpty():
+        return roots
+    left = own.join(open_, "key").withColumn("x", F.struct(F.col("node").alias("fp")))
+    return merged(roots, cut(in_blocks(left, close("p.x", "q.x")), "more-links"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fp, component_id) for each row of ``docs``; fp is the signed fingerprint."""
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marked = cut(with_fingerprint(own, "text", width), "fingerprints")
+    nodes = cut(marked.groupBy("fp").agg(F.min("id").alias("id")), "fingerprint-nodes")
+    roots = close_components(nodes.select(F.col("fp").alias("node")))
+    grouped = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
+    named = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
+    found = cut(grouped.join(named, "root").select("fp", "component_id"), "fingerprint-components")
+    return marked.join(found, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def wide_postings(nodes: DataFrame) -> DataFrame:
+    """(key, node): the postings of nodes (node, w0, w1, ...); a key is its number and KEY_BYTES positional bytes."""
     rng = random.Random(SEED)
-    places = np.array([sorted(rng.sample(range(WIDE_BYTES), key_bytes)) for _ in range(WIDE_KEYS[key_bytes])])
+    places = np.array([sorted(rng.sample(range(WIDE_BYTES), KEY_BYTES)) for _ in range(WIDE_KEYS)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.column_stack([c.to_numpy() for c in b.columns[1:]]).astype("<i8").view(np.uint8)
             keys = np.arange(len(places), dtype=np.int64)[None, :].repeat(len(fp), axis=0)
-            for k in range(key_bytes):
+            for k in range(KEY_BYTES):
                 keys = (keys << 8) | fp[:, places[:, k]]
             offsets = pa.array(np.arange(len(fp) + 1, dtype=np.int32) * len(places))
             yield pa.record_batch([b.column(0), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["node", "keys"])
 
-    dtype = nodes.schema["node"].dataType.simpleString()
-    return nodes.select("node", *WIDE).mapInArrow(work, f"node {dtype}, keys array<long>").select(F.explode("keys").alias("key"), "node")
+    return nodes.select("node", *WIDE).mapInArrow(work, "node long, keys array<long>").select(F.explode("keys").alias("key"), "node")
 
 
 def shingle_sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
-    """(all columns but the text, shingles): 32-bit hashes of each text's distinct shingles."""
+    """(all columns but the text, shingles): 64-bit hashes of each text's distinct shingles."""
     rest = [c for c in df.columns if c != text_col]
     picked = df.select(text_col, *rest)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [np.unique(shingle_hashes(t.as_py(), width).astype(np.uint32)).view(np.int32) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(got, pa.list_(pa.int32()))], names=[*rest, "shingles"])
+            got = [np.unique(shingle_hashes(t.as_py(), width)).view(np.int64) for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(got, pa.list_(pa.int64()))], names=[*rest, "shingles"])
 
-    return picked.mapInArrow(work, T.StructType([*picked.schema.fields[1:], T.StructField("shingles", T.ArrayType(T.IntegerType()))]))
+    return picked.mapInArrow(work, T.StructType([*picked.schema.fields[1:], T.StructField("shingles", T.ArrayType(T.LongType()))]))
 
 
-def wide_verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float, width: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingle sets are alike, all of them compared; texts: (node, text)."""
-    pairs = cut(pairs, "near-pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    rows = with_wide_fingerprint(texts.join(asked, "node", "left_semi").withColumn("copy", F.col("text")), "copy", WIDE_SHINGLE)
-    own = rows.join(nodes, ["node", *WIDE], "left_semi").select("node", "text")  # of rows that repeat an id, those that are the node
-    sets = cut(shingle_sets(own, "text", width).dropDuplicates(["node"]), "near-sets")
-    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    sizes = (F.least(F.size("x"), F.size("y")) >= F.lit(similarity) * F.greatest(F.size("x"), F.size("y")))
-    both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(x, "a").join(y, "b").filter(sizes).filter(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b")
+def alike(x: Column, y: Column, similarity: float) -> Column:
+    """Whether two shingle sets are alike; their sizes are looked at first."""
+    both = F.size(F.array_intersect(x, y))
+    sized = F.least(F.size(x), F.size(y)) >= F.lit(similarity) * F.greatest(F.size(x), F.size(y))
+    return sized & (both >= F.lit(similarity) * (F.size(x) + F.size(y) - both))
 
 
 def wide_components(nodes: DataFrame, texts: DataFrame, similarity: float, width: int) -> DataFrame:
-    """(node, root) of nodes (node, w0, w1, ...; fingerprints distinct) that are linked to smaller ones."""
-    postings = wide_postings(nodes, 3 if nodes.count() <= LARGE_INPUT else 4)
-    shared = cut(postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).filter("n > 1"), "near-buckets")
-    crowded = shared.filter("n > 2").select("key", "lo")
-    met = cut(postings.join(crowded, "key"), "near-members")
-    firsts = shared.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(met.select(F.col("node").alias("a"), F.col("lo").alias("b")))
-    linked = cut(wide_verified(firsts.filter("a <> b").distinct(), nodes, texts, similarity, width), "near-links")
-    roots = components(linked)
-    # members of a posting that its pivot has not put into one component
-    placed = met.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    open_ = placed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("key")
-    left = cut(placed.join(open_, "key"), "near-open")
-    other = left.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    more = left.select("key", F.col("node").alias("a"), "root").join(other, "key").filter("root < root_b").select("a", "b").distinct()
-    found = cut(wide_verified(more, nodes, texts, similarity, width), "near-more")
-    return roots if found.isEmpty() else components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
+    """(node, root) of nodes that are linked to smaller ones. nodes: (node, w0, w1, ..., id, th), fingerprints distinct; texts: (id, th, text)."""
+    met = met_by(wide_postings(nodes), "near-postings")
+    words = nodes.select("node", F.struct(*WIDE).alias("w"))
+    pairs = met.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    tallied = pairs.join(words.select(F.col("node").alias("a"), F.col("w").alias("p")), "a").join(words.select(F.col("node").alias("b"), F.col("w").alias("q")), "b")
+    pairs = cut(tallied.filter(shared_bytes("p", "q", WIDE) >= WIDE_SHARED).select("a", "b"), "near-pairs")
+    roots = components(_verified(pairs, nodes, texts, similarity, width))
+    own, open_ = open_members(met, roots)
+    if open_.isEmpty():
+        return roots
+    # the pairs that share enough bytes are found within the join; only their texts are asked for
+    left = own.join(open_, "key").join(words, "node").withColumnRenamed("w", "x")
+    more = cut(in_blocks(left, shared_bytes("p.x", "q.x", WIDE) >= WIDE_SHARED), "more-pairs")
+    return merged(roots, _verified(more, nodes, texts, similarity, width))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float, width: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets are alike, all of them compared."""
+    asked = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", F.col("id").alias("i"), F.col("th").alias("t"))
+    own = texts.join(asked, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))).select("node", "text")
+    sets = cut(shingle_sets(own, "text", width).dropDuplicates(["node"]), "near-sets")
+    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    return cut(pairs.join(x, "a").join(y, "b").filter(alike(F.col("x"), F.col("y"), similarity)).select("a", "b"), "near-links")
 
 
 def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, component_id) for each row of ``docs``: texts whose shingles of ``width`` words have this similarity are linked."""
-    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"))
+    """(id, th, component_id, first) for each row of ``docs``: texts whose shingles of ``width`` words have this similarity are
+    linked. th is the hash of the text; first says whether the row is the one its component is named by (lowest id, then th)."""
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     marked = cut(with_wide_fingerprint(texts, "text", WIDE_SHINGLE), "fingerprints")
-    nodes = cut(marked.groupBy(*WIDE).agg(F.min("node").alias("node")).filter("node is not null"), "near-nodes")
-    roots = wide_components(nodes, texts, similarity, width).withColumnRenamed("root", "component_id")
-    named = nodes.join(roots, "node", "left").select(*WIDE, F.coalesce("component_id", "node").alias("component_id"))
-    return marked.join(named, WIDE, "left").select(F.col("node").alias(id_col), "component_id")
+    place = F.struct(F.col("id").isNull().alias("late"), "id", "th")
+    nodes = marked.groupBy(*WIDE).agg(F.min(place).alias("place")).select(*WIDE, "place.id", "place.th")
+    nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
+    roots = wide_components(nodes, texts, similarity, width)
+    grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = grouped.groupBy("root").agg(F.min(place).alias("best"))
+    found = cut(grouped.join(named, "root").select(*WIDE, "best"), "near-components")
+    same = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("th") == F.col("best.th"))
+    return marked.join(found, WIDE).select(F.col("id").alias(id_col), "th", F.col("best.id").alias("component_id"), same.alias("first"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

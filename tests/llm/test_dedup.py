@@ -67,24 +67,25 @@ def brute_simhash(rows, width=3):
     fps = {}
     for i, t in rows:
         fps.setdefault(brute_fingerprint(t, width), set()).add(i)
-    node = {fp: min(ids) for fp, ids in fps.items()}
-    root = union(set(node.values()), [(node[a], node[b]) for a, b in combinations(fps, 2) if bin(a ^ b).count("1") <= 2])
-    return sorted((i, f"{fp:016x}", root[node[fp]]) for fp, ids in fps.items() for i in ids)
+    root = union(fps, [(a, b) for a, b in combinations(fps, 2) if bin(a ^ b).count("1") <= 2])
+    least = {r: min(i for fp in fps if root[fp] == r for i in fps[fp]) for r in set(root.values())}
+    return sorted((i, f"{fp:016x}", least[root[fp]]) for fp, ids in fps.items() for i in ids)
 
 
-@pytest.mark.parametrize("most", [64, 2])
-def test_simhash_links_are_exact(spark, monkeypatch, most):
-    monkeypatch.setattr(simhash, "POSTING_ROWS", most)
-    rows = list(enumerate(near_texts()))
+@pytest.mark.parametrize("block", [4096, 2])
+def test_simhash_links_are_exact(spark, monkeypatch, block):
+    """Ids repeat with other texts: each fingerprint is a node of its own."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rows = [(i * 7 % 97, t) for i, t in enumerate(near_texts())]
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, component_id string")
     got = simhash.near_duplicates(docs, width=3).collect()
     assert sorted((r["doc_id"], f"{r['fp'] & (1 << 64) - 1:016x}", r["component_id"]) for r in got) == brute_simhash(rows)
 
 
-@pytest.mark.parametrize("most", [64, 4])
-def test_links_of_close_fingerprints(spark, monkeypatch, most):
-    monkeypatch.setattr(simhash, "POSTING_ROWS", most)
-    rng = random.Random(most)
+@pytest.mark.parametrize("block", [4096, 4])
+def test_links_of_close_fingerprints(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(block)
     fps = {0, 1, 1 << 63}
     for _ in range(12):
         at = rng.getrandbits(64)
@@ -92,10 +93,8 @@ def test_links_of_close_fingerprints(spark, monkeypatch, most):
             at ^= 1 << rng.randrange(64)
             fps.add(at)
     signed = [fp - (1 << 64) if fp >> 63 else fp for fp in sorted(fps)]
-    nodes = spark.createDataFrame(list(enumerate(signed)), "node long, fp long")
-    got = {r["node"]: r["root"] for r in components(simhash.links(nodes)).collect()}
-    order = sorted(fps)
-    want = union(range(len(order)), [(i, j) for i, j in combinations(range(len(order)), 2) if bin(order[i] ^ order[j]).count("1") <= 2])
+    got = {r["node"]: r["root"] for r in simhash.close_components(spark.createDataFrame([(x,) for x in signed], "node long")).collect()}
+    want = union(signed, [(a, b) for a, b in combinations(signed, 2) if bin((a ^ b) & (1 << 64) - 1).count("1") <= 2])
     assert {n: got.get(n, n) for n in want} == want
 
 
@@ -124,6 +123,7 @@ def test_near_copies(spark):
     got = simhash.near_copies(docs).collect()
     assert len(got) == len(rows) + 3
     found = {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None}
+    assert sum(r["first"] for r in got) == len(set(found.values())) + 1
     assert sorted((r["component_id"] for r in got if r["doc_id"] is None), key=str) == sorted([found[rows[7][0]], None], key=str)
     sets = {i: shingles(t) for i, t in rows}
     alike = [(a, b) for a, b in combinations(sets, 2) if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
@@ -146,10 +146,33 @@ def test_near_copies_repeats(spark):
         rows += [(2 * k, " ".join(once)), (2 * k + 1, " ".join(often))]
     sets = {i: shingles(t) for i, t in rows}
     alike = [i for i in range(0, len(rows), 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])]
-    found = dict(simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(alike) >= 30 and sum(found[i] == found[i + 1] for i in alike) >= 0.95 * len(alike)
 
 
+def test_near_copies_block_edits(spark):
+    """An appended, a cut or a replaced block, right above the similarity asked for."""
+    rng, rows, pairs = random.Random(33), [], []
+    word = lambda: f"{rng.choice('abcdef')}{rng.randrange(30000)}"
+    for k in range(180):
+        words = [word() for _ in range(400)]
+        more = {0: words + [word() for _ in range(97)], 1: words[76:], 2: words[:200] + [word() for _ in range(40)] + words[240:]}[k % 3]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(more))]
+    sets = {i: shingles(t) for i, t in rows}
+    pairs = [i for i in range(0, len(rows), 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])]
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(pairs) >= 150 and sum(found[i] == found[i + 1] for i in pairs) >= 0.9 * len(pairs)
+
+
+def test_drop_near_copies_by_row(spark):
+    """Rows that repeat an id with another text are judged each; of rows that repeat both one stays."""
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    docs = spark.createDataFrame([(5, a, "x"), (5, b, "y"), (5, b, "y"), (1, a, "z"), (None, a, "w"), (None, None, "v")], "doc_id long, text string, i string")
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [(5, b, "y"), (1, a, "z"), (None, None, "v")]))
+
+
 # Lines
 
 def line_shingles(line):
