@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm import line_dedup, packing, repetition, simhash, toxicity
-from quillspark.llm.common import cut, table
+from quillspark.llm.common import cut, table, unused
 
 #: Documents at this score or above are toxic. Tokens of a sequence, and the id that ends a document.
 TOXIC = 0.5
@@ -26,12 +26,14 @@ WIDTH = 5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the lexicon, trained on the folder's labels, scores as toxic. Null texts are not toxic."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.with_score(docs, model, name="__score").filter(F.col("__score") < TOXIC).drop("__score")
+    name = unused(docs, "score")
+    return toxicity.with_score(docs, model, name=name).filter(F.col(name) < TOXIC).drop(name)
 
 
 def drop_repetitive(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the base rules or repeat themselves; null and very short texts fail."""
-    return repetition.with_repetition(docs, prefix="__", fields=("kept",)).filter("__kept").drop("__kept")
+    name = unused(docs, "kept")
+    return repetition.with_repetition(docs, prefix=name.removesuffix("kept"), fields=("kept",)).filter(F.col(name)).drop(name)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,11 +45,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that of smallest doc_id, of each group of near-duplicates. Of rows that repeat
-    it one stays; documents without an id all stay."""
-    found = simhash.near_copies(docs, SIMILARITY, WIDTH).filter("doc_id is not null and doc_id = component_id").select("doc_id").distinct()
-    first = docs.filter("doc_id is not null").join(found, "doc_id", "left_semi")
-    return first.dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    """Keep one document of each group of near-duplicates, that of smallest doc_id. Rows that repeat an id with other
+    texts are judged each; of rows that repeat both one stays. Rows without an id come last."""
+    found = simhash.near_copies(docs, SIMILARITY, WIDTH).filter("first").select(F.col("doc_id").alias("i"), F.col("th").alias("t"))
+    counted = cut(found.groupBy("i", "t").agg(F.count("*").alias("n")), "near-kept")
+    row, own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("text").alias("own")
+    kept = docs.select(row, own).join(counted, F.col("row.doc_id").eqNullSafe(F.col("i")) & (F.col("own") == F.col("t"))).select("row", "i", "t", "n")
+    if not counted.filter("n > 1").isEmpty():
+        kept = kept.filter("n = 1").unionByName(kept.filter("n > 1").dropDuplicates(["i", "t"]))
+    return kept.select([F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
