@@ -2,10 +2,12 @@
 
 The tree is fitted on a bounded sample (SAMPLE_ROWS vectors, lowest hashes of the id first) by
 splitting nodes with spherical k-means until they hold LEAF_ROWS of the sample. Every vector is then filed in the leaf
-that it reaches from the root. A query walks the tree best bin first: a priority queue
+that it reaches from the root. A leaf that more than LEAF_LIMIT vectors reach is split further in the tasks, by a tree fitted on
+about SAMPLE_ROWS of its own vectors, until none is (copies of one vector excepted), so leaves do not grow with the table. A query walks the tree best bin first: a priority queue
 holds the branches not taken, and the most similar one is opened next, until enough leaves
 are visited. How many are enough is calibrated on the sample: visits are
-widened until queries from the sample find TARGET_RECALL of their true neighbours in it.
+widened until queries from the sample find TARGET_RECALL of their true neighbours in it. A query goes on beyond
+that until its leaves hold k + 1 vectors.
 
 Leaves and the queries that visit them meet by leaf. A crowded leaf is split into blocks of vectors and of
 queries, so a vector that very many rows repeat is spread over tasks. Each block keeps each query's best; ties are broken
@@ -19,6 +21,7 @@ repeat an id count once (the smallest vector by its bytes); candidates that repe
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +36,9 @@ from .common import cut, table
 SAMPLE_ROWS = 16_384
 BRANCHES = 16
 LEAF_ROWS = 64
+#: Vectors of the whole table beyond which a leaf is split, and rounds of such splits.
+LEAF_LIMIT = 16_384
+SPLITS = 8
 ROUNDS = 12
 #: Recall that visits are widened to on the sample, and queries that it is measured with.
 TARGET_RECALL = 0.98
@@ -48,7 +54,6 @@ class Tree:
     def __init__(self, centers: np.ndarray, children: list[list[int]]):
         self.centers = centers
         self.children = children
-        self.leaves = [i for i, c in enumerate(children) if not c]
 
     def file(self, units: np.ndarray) -> np.ndarray:
         """The leaf that each vector reaches from the root."""
@@ -64,6 +69,13 @@ class Tree:
                 todo += kids
         return node
 
+    def graft(self, leaf: int, centers: np.ndarray, children: list[list[int]]) -> None:
+        """Hang another tree's nodes, all but its root, under a leaf."""
+        base = len(self.centers) - 1  # its node n becomes base + n
+        self.centers = np.concatenate([self.centers, centers[1:]])
+        self.children[leaf] = [base + c for c in children[0]]
+        self.children += [[base + c for c in kids] for kids in children[1:]]
+
     def walk(self, unit: np.ndarray) -> Iterator[int]:
         """Leaves in the order of a best-bin-first traversal."""
         queue = [(-2.0, 0)]
@@ -92,14 +104,15 @@ def _kmeans(units: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return np.argmax(units @ centers.T, axis=1)
 
 
-def fit_tree(units: np.ndarray, seed: int = 7) -> Tree:
+def fit_tree(units: np.ndarray, seed: int = 7, leaf_rows: int | None = None) -> Tree:
+    most = leaf_rows or LEAF_ROWS
     rng = np.random.default_rng(seed)
     centers, children, todo = [np.zeros(units.shape[1])], [[]], [(0, np.arange(len(units)))]
     while todo:
         i, rows = todo.pop()
-        if len(rows) <= LEAF_ROWS:
+        if len(rows) <= most:
             continue
-        own = _kmeans(units[rows], min(BRANCHES, 1 + len(rows) // LEAF_ROWS), rng)
+        own = _kmeans(units[rows], min(BRANCHES, 1 + len(rows) // most), rng)
         parts = [rows[own == c] for c in np.unique(own)]
         if len(parts) < 2:
             continue  # copies of one vector
@@ -142,16 +155,24 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _scaled(m: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, largest components from 0.5 to 1: no square of them is too large or too small,
+    and cosines are those of the vectors as they are."""
+    return np.ldexp(m, -np.frexp(np.abs(m).max(axis=1, keepdims=True))[1])
+
+
 def _units(m: np.ndarray) -> np.ndarray:
-    scaled = m / np.abs(m).max(axis=1, keepdims=True)
+    scaled = _scaled(m)
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def _best(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
     """Each query's k nearest of one block. A matrix product finds who can be among them; their
     scores are then summed vector by vector, so equal vectors have equal scores whatever their block."""
-    q = np.frombuffer(b"".join(queries["vec"]), np.float64).reshape(len(queries), -1)
-    v = np.frombuffer(b"".join(vectors["vec"]), np.float64).reshape(len(vectors), -1)
+    if not len(queries) or not len(vectors):
+        return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+    q = _scaled(np.frombuffer(b"".join(queries["vec"]), np.float64).reshape(len(queries), -1))
+    v = _scaled(np.frombuffer(b"".join(vectors["vec"]), np.float64).reshape(len(vectors), -1))
     qn, vn = np.sqrt((q * q).sum(axis=1)), np.sqrt((v * v).sum(axis=1))
     rough = (q @ v.T) / np.outer(qn, vn)
     qid, vid = queries["query_id"].to_numpy(), vectors["vec_id"].to_numpy()
@@ -165,7 +186,41 @@ def _best(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
         score = (v[at] * q[r]).sum(axis=1) / (qn[r] * vn[at])
         top = np.argsort(-score, kind="stable")[:k]  # ids are in order, so ties fall to the smaller
         found.append(pd.DataFrame({"query_id": qid[r], "vec_id": vid[at][top], "score": score[top]}))
-    return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    return pd.concat(found)
+
+
+def _filer(tree: Tree):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                m = _matrix(b.column(1))
+                packed = pa.array([r.tobytes() for r in m], pa.binary())
+                yield pa.record_batch([b.column(0), packed, pa.array(tree.file(_units(m)))], names=["vec_id", "vec", "leaf"])
+
+    return work
+
+
+def _leaf_counts(filed: DataFrame) -> dict[int, int]:
+    """Vectors filed in each leaf; one row for each LEAF_ROWS to LEAF_LIMIT vectors, eight bytes of a vector's centre to a row."""
+    return {r[0]: r[1] for r in filed.groupBy("leaf").count().collect()}
+
+
+def _split(filed: DataFrame, over: dict[int, int]) -> list[tuple[int, np.ndarray, list[list[int]]]]:
+    """A tree for each overfull leaf (leaf: vectors) whose vectors are not all alike, fitted in the tasks on about SAMPLE_ROWS
+    vectors of the leaf, by hashes of their ids; its leaves hold LEAF_LIMIT / 4 of the leaf's vectors."""
+    if not over:
+        return []
+    sizes = filed.sparkSession.createDataFrame(list(over.items()), "leaf long, n long")
+    chosen = filed.join(F.broadcast(sizes), "leaf").filter(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("n")) < SAMPLE_ROWS)  # one row a leaf
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        units = _units(np.frombuffer(b"".join(rows["vec"]), np.float64).reshape(len(rows), -1))
+        sub = fit_tree(units, leaf_rows=max(2, int(LEAF_LIMIT / 4 * len(units) / rows["n"].iloc[0])))
+        return pd.DataFrame({"leaf": rows["leaf"].iloc[:1], "tree": [pickle.dumps((sub.centers, sub.children))]})
+
+    found = chosen.groupBy("leaf").applyInPandas(fit, "leaf long, tree binary").orderBy("leaf").collect()  # trees of some hundred centres
+    trees = [(r["leaf"], *pickle.loads(bytes(r["tree"]))) for r in found]
+    return [x for x in trees if x[2][0]]
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -180,16 +235,24 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     size = int(np.bincount(lengths).argmax())
     units = _units(np.array([x.as_py() for x in sample if len(x) == size], np.float64))
     tree = fit_tree(units)
-    visits = calibrate(tree, units, k)
     own = own.filter(F.size("vec") == size)
     asked = usable(queries, id_col, vec_col).filter(F.size("vec") == size).groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
-    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                m = _matrix(b.column(1))
-                packed = pa.array([r.tobytes() for r in m], pa.binary())
-                yield pa.record_batch([b.column(0), packed, pa.array(tree.file(_units(m)))], names=["vec_id", "vec", "leaf"])
+    def filed_by(tree: Tree) -> DataFrame:
+        return cut(own.mapInArrow(_filer(tree), "vec_id long, vec binary, leaf long"), "ann-vectors")
+
+    filed = filed_by(tree)
+    counts = _leaf_counts(filed)
+    for _ in range(SPLITS):
+        over = {leaf: n for leaf, n in counts.items() if n > LEAF_LIMIT}
+        trees = _split(filed, over)
+        if not trees:
+            break
+        for leaf, centers, children in trees:
+            tree.graft(leaf, centers, children)
+        filed = filed_by(tree)
+        counts = _leaf_counts(filed)
+    visits = calibrate(tree, units, k)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -197,10 +260,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
                 m = _matrix(b.column(1))
                 rows = []
                 for i, r, u in zip(b.column(0).to_pylist(), m, _units(m)):
-                    rows += [(i, r.tobytes(), leaf) for leaf, _ in zip(tree.walk(u), range(visits))]
+                    seen = 0
+                    for n, leaf in enumerate(tree.walk(u)):
+                        if n >= visits and seen > k:
+                            break
+                        seen += counts.get(leaf, 0)
+                        rows.append((i, r.tobytes(), leaf))
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.int64()))], names=["query_id", "vec", "leaf"])
 
-    filed = cut(own.mapInArrow(file, "vec_id long, vec binary, leaf long"), "ann-vectors")
     probes = cut(asked.mapInArrow(probe, "query_id long, vec binary, leaf long"), "ann-probes")
     # one row for each leaf of the tree: bounded by the sample
     blocks = filed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("nv")).join(
