@@ -2,32 +2,39 @@
 
 A rule ``(host, path, verdict)`` fits its host and all subdomains, where the url's
 path starts with the rule's. The host's labels, reversed and each ended by a
-separator, form a canonical key in which a host and its subdomains are one interval.
-The rule's path stands before it, so the key space falls into one region per rule
-path and a rule is one interval of it; intervals nest or are disjoint. A url sends one
-probe to each region whose path could start its own (one per length of rule paths).
-Probes and interval ends are sorted together and swept; every end carries the stack of
-rules active after it, so the last end before a probe gives the rules around it and
-the top of the stack is the most specific.
-
-The key space is cut into ranges at quantiles of the rules' and probes' own keys. The
-stack active at the start of a range is carried into it. A crowded range is dealt over
-several tasks by a salt and its few interval ends are repeated in each. Urls are reduced to
-distinct (host, path) before the sweep and rejoined after it.
+separator, form a canonical key in which a host and its subdomains are one interval; paths that start alike are one
+interval of the keys that begin with their rule's host. Intervals of one kind nest or are disjoint.
+
+Two sweeps find the rules around each url. In the first the keys of the distinct hosts and the ends of the
+rule hosts' intervals are sorted together; the sweep keeps a stack with one slot a level (labels of the rule host), filled by an
+interval's opening end and emptied by its closing one, so each host finds the rule hosts around it. In the second the probes are (rule
+host, path) and the intervals are path prefixes, the level being how deep a prefix lies in others of its host; the top of the stack
+is the longest path that fits. Of these, one for each rule host around the url, the longest rule wins.
+
+The key space is cut into ranges at quantiles of the probes' and ends' own keys. An interval is entered in every range that it
+reaches, clipped to it. A crowded range is dealt over
+several tasks by a salt and its interval ends are repeated in each. Urls are reduced to
+distinct hosts and (host, path) before the sweeps and rejoined after them.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path and no
 rule. No rules: every url takes the default verdict. Rules with a null or empty host,
 null path or null verdict are ignored; rules that repeat count once (of two verdicts for one
 (host, path), ``block`` holds). The longest of the fitting rules by host and path
-together wins, between equals the one with the longer host.
+together wins, between equals the one with the longer host. Columns named host, path, rule or verdict are replaced.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 SEP = "\x01"
+#: Between a rule host and a path in the keys of the second sweep.
+PATH_SEP = "\x02"
 #: Sorts after every text that continues a key.
 LAST = "\U0010ffff"
 #: Ranges of the key space, and probes that one task sweeps.
@@ -54,68 +61,42 @@ def order_number(key: Column) -> Column:
     return F.conv(F.rpad(F.substring(F.hex(F.encode(key, "UTF-8")), 1, 14), 14, "0"), 16, 10).cast("long")
 
 
-def rule_ends(rules: DataFrame) -> DataFrame:
-    """Interval ends (key, kind, stack): kind 0 opens a rule, 2 closes one. ``stack`` holds the rules
-    active after the end, outermost first; ancestors are found by equality on label prefixes."""
-    r = (
-        rules.select(F.lower("host").alias("host"), F.col("path").alias("path"), F.col("verdict").alias("verdict"))
-        .filter("host is not null and host <> '' and path is not null and verdict is not null")
-        .groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-        .withColumn("rule_path", F.when(F.col("path") == "", F.lit("")).otherwise(F.concat(F.lit("/"), F.col("path"))))
-        .withColumn("lo", F.concat("rule_path", F.lit("\x02"), host_key(F.col("host"))))
-        .withColumn("rule", F.struct(F.length("lo").alias("depth"), F.concat_ws("/", "host", "path").alias("rule"), F.col("verdict")))
-    )
-    labels = F.reverse(F.split("host", r"\."))
-    above = (
-        r.select("lo", "rule_path", F.explode(F.sequence(F.lit(1), F.size(labels))).alias("n"), labels.alias("labels"))
-        .select("lo", F.concat("rule_path", F.lit("\x02"), F.array_join(F.slice("labels", 1, F.col("n")), SEP), F.lit(SEP)).alias("up"))
-    )
-    stacks = (
-        above.join(r.select(F.col("lo").alias("up"), "rule"), "up")
-        .groupBy("lo").agg(F.array_sort(F.collect_list("rule")).alias("stack"))
-    )
-    opened = stacks.select(F.col("lo").alias("key"), F.lit(0).alias("kind"), "stack")
-    closed = stacks.select(F.concat("lo", F.lit(LAST)).alias("key"), F.lit(2).alias("kind"), F.slice("stack", 1, F.size("stack") - 1).alias("stack"))
-    return opened.unionByName(closed)
-
-
-def sweep(probes: DataFrame, ends: DataFrame) -> DataFrame:
-    """Add to ``probes`` (column ``key``) the innermost rule around each key, or null."""
+def clean_rules(rules: DataFrame) -> DataFrame:
+    """(rule_host, rule_path, verdict, host_level): each rule once; paths of urls start with a slash, so those of rules do, too."""
+    r = rules.select(F.lower("host").alias("rule_host"), F.col("path").alias("path"), F.col("verdict").alias("verdict"))
+    r = r.filter("rule_host is not null and rule_host <> '' and path is not null and verdict is not null")
+    r = r.groupBy("rule_host", "path").agg(F.max("verdict").alias("verdict"))
+    return r.select("rule_host", F.when(F.col("path") == "", "").otherwise(F.concat(F.lit("/"), "path")).alias("rule_path"), "verdict", F.size(F.split("rule_host", r"\.")).alias("host_level"))
+
+
+def sweep(probes: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Add to ``probes`` (column key and others) the column ``stack``: what the intervals around each key carry, outermost first.
+    intervals: (lo, hi, level, carried), nested or disjoint; those of one level are disjoint and level grows inwards."""
+    levels = intervals.agg(F.max("level")).first()[0] or 0
+    if not levels:
+        return probes.withColumn("stack", F.array().cast(f"array<{dict(intervals.dtypes)['carried']}>"))
     num = order_number(F.col("key"))
-    probes, ends = probes.withColumn("num", num), ends.withColumn("num", num)
-    cuts = (
-        probes.select("num").unionByName(ends.select("num"))
-        .agg(F.array_distinct(F.percentile_approx("num", [k / RANGES for k in range(1, RANGES)], 1000)).alias("cuts"))
-    )
-    at = F.size(F.filter("cuts", lambda c: c <= F.col("num")))
-
-    def ranged(df: DataFrame) -> DataFrame:
-        return df.crossJoin(F.broadcast(cuts)).withColumn("range", at).drop("cuts", "num")
-
-    probes, ends = ranged(probes), ranged(ends)  # one row of cuts: no rows are multiplied
-    salts = probes.groupBy("range").agg(F.ceil(F.count("*") / SWEEP_ROWS).cast("int").alias("salts"))  # at most RANGES rows
-    after = ends.groupBy("range").agg(F.max_by("stack", F.struct("key", "kind")).alias("stack"))
-    carried = (
-        salts.select("range").join(F.broadcast(after.select(F.col("range").alias("before"), "stack")), F.col("before") < F.col("range"))
-        .groupBy("range").agg(F.max_by("stack", "before").alias("stack"))
-        .select("range", F.lit("").alias("key"), F.lit(-1).alias("kind"), "stack")
-    )
-    ends = (
-        ends.select("range", "key", "kind", "stack").unionByName(carried)
-        .join(F.broadcast(salts), "range").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    )
-    probes = (
-        probes.join(F.broadcast(salts), "range").withColumn("salt", F.pmod(F.xxhash64("key", "host", "path"), F.col("salts")).cast("int"))
-        .drop("salts").withColumn("kind", F.lit(1))
-    )
+    ends = intervals.select(F.explode(F.array("lo", "hi")).alias("key"))
+    cuts = probes.select(num.alias("num")).unionByName(ends.select(num.alias("num"))).agg(F.percentile_approx("num", [k / RANGES for k in range(1, RANGES)], 1000)).first()[0]
+    cuts = sorted(set(cuts or []))  # RANGES numbers at most
+
+    def range_of(key: str) -> Column:
+        return reduce(Column.__add__, [(order_number(F.col(key)) >= F.lit(c)).cast("int") for c in cuts], F.lit(0))
+
+    dealt = probes.withColumn("range", range_of("key"))
+    salts = cut(dealt.groupBy("range").agg(F.ceil(F.count("*") / SWEEP_ROWS).cast("int").alias("salts")), "url-ranges")  # at most RANGES rows
+    dealt = dealt.join(F.broadcast(salts), "range").withColumn("salt", F.pmod(F.xxhash64(*probes.columns), F.col("salts")).cast("int")).drop("salts")
+    # an interval in each range that it reaches: its opening end there or at the range's start, its closing end only where it lies
+    reached = intervals.withColumns({"first": range_of("lo"), "last": range_of("hi")}).withColumn("range", F.explode(F.sequence("first", "last")))
+    opens = F.struct(F.when(F.col("range") == F.col("first"), F.col("lo")).otherwise("").alias("key"), F.lit(0).alias("kind"), F.col("carried"))
+    closes = F.struct(F.col("hi").alias("key"), F.lit(2).alias("kind"), F.lit(None).cast(dict(intervals.dtypes)["carried"]).alias("carried"))
+    events = reached.select("range", "level", F.explode(F.when(F.col("range") == F.col("last"), F.array(opens, closes)).otherwise(F.array(opens))).alias("e")).select("range", "level", "e.*")
+    events = events.join(F.broadcast(salts), "range").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+
+    rows = dealt.withColumn("kind", F.lit(1)).unionByName(events.withColumn("slot", F.struct("carried")).drop("carried"), allowMissingColumns=True)
     w = Window.partitionBy("range", "salt").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        probes.unionByName(ends, allowMissingColumns=True)
-        .withColumn("active", F.last("stack", ignorenulls=True).over(w))
-        .filter("kind = 1")
-        .withColumn("top", F.when(F.size("active") > 0, F.element_at("active", -1)))
-        .drop("kind", "range", "salt", "stack", "active")
-    )
+    slots = [F.last(F.when(F.col("level") == n, F.col("slot")), ignorenulls=True).over(w).getField("carried") for n in range(1, levels + 1)]
+    return rows.withColumn("stack", F.array_compact(F.array(*slots))).filter("kind = 1").select(*probes.columns, "stack")
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
@@ -123,21 +104,28 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
 
     Columns of ``pages`` with one of these names are replaced; all others and all rows stay.
     """
-    pages = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))}).drop("rule", "verdict")
-    ends = rule_ends(rules)
-    lengths = ends.select(F.instr("key", "\x02").alias("n")).agg(F.array_sort(F.collect_set(F.col("n") - 1)).alias("lengths"))
-    distinct = pages.select("host", "path").distinct()
-    probes = (
-        distinct.crossJoin(F.broadcast(lengths))  # one row
-        .withColumn("n", F.explode("lengths")).filter(F.col("n") <= F.length("path"))
-        .select("host", "path", F.concat(F.substring("path", F.lit(1), F.col("n")), F.lit("\x02"), host_key(F.col("host"))).alias("key"))
-    )
-    best = (
-        sweep(probes, ends).filter("top is not null")
-        .groupBy("host", "path")
-        .agg(F.max_by("top", F.struct(F.length("top.rule"), F.length(F.substring_index("top.rule", "/", 1)), F.col("top.rule"))).alias("top"))
-        .select("host", "path", F.col("top.rule").alias("rule"), F.col("top.verdict").alias("verdict"))
-    )
+    host, path = host_of(F.col(url)), path_of(F.col(url))
+    pages = pages.withColumns({"host": host, "path": path}).drop("rule", "verdict")
+    rules = cut(clean_rules(rules), "url-rules")
+    urls = cut(pages.select("host", "path").distinct(), "urls")
+    hosts = rules.select(host_key(F.col("rule_host")).alias("lo"), F.col("host_level").alias("level"), F.col("rule_host").alias("carried")).distinct().withColumn("hi", F.concat("lo", F.lit(LAST)))
+    around = sweep(urls.select("host").distinct().withColumn("key", host_key(F.col("host"))), hosts)
+    around = cut(around.select("host", F.explode("stack").alias("rule_host")), "url-hosts")
+
+    def path_key(rest: str) -> Column:
+        return F.concat(host_key(F.col("rule_host")), F.lit(PATH_SEP), F.col(rest))
+
+    own = rules.select("rule_host", path_key("rule_path").alias("lo"), F.struct("rule_host", "rule_path", "verdict").alias("carried")).withColumn("hi", F.concat("lo", F.lit(LAST)))
+    turns = own.select("rule_host", "lo", F.explode(F.array(F.struct(F.col("lo").alias("at"), F.lit(1).alias("turn")), F.struct(F.col("hi").alias("at"), F.lit(-1).alias("turn")))).alias("e")).select("rule_host", "lo", "e.*")
+    depth = F.sum("turn").over(Window.partitionBy("rule_host").orderBy("at", F.desc("turn")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    levels = turns.withColumn("level", depth.cast("int")).filter("turn = 1").select("lo", "level")
+    paths = cut(own.join(levels, "lo").select("lo", "hi", "level", "carried"), "url-paths")
+    probes = cut(urls.join(around, "host").select("host", "path", path_key("path").alias("key")), "url-probes")
+    top = sweep(probes, paths).withColumn("top", F.try_element_at("stack", F.lit(-1))).filter("top is not null")
+    size = F.struct(F.length("top.rule_host") + F.greatest(F.length("top.rule_path") - 1, F.lit(0)), F.length("top.rule_host"))
+    best = top.groupBy("host", "path").agg(F.max_by("top", size).alias("top"))
+    shown = F.concat("top.rule_host", F.lit("/"), F.substring("top.rule_path", 2, 1 << 30))
+    best = cut(best.select("host", "path", shown.alias("rule"), F.col("top.verdict").alias("verdict")), "url-verdicts")
     return pages.join(best, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
 
 
@@ -152,7 +140,8 @@ CONTRACT_RULES = (
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(list(CONTRACT_RULES), "host string, path string, verdict string")
+    rows = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("host", "path", "verdict"), r)]) for r in CONTRACT_RULES])
+    rules = spark.range(1).select(F.inline(rows))
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
