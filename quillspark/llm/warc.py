@@ -202,7 +202,9 @@ def write_bundles(pages: DataFrame, store: str, least_bytes: int = 0, id_col: st
             close()
         yield pa.record_batch([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int64())], names=["bundle", "n_records"])
 
-    joined.select("page_id", "url", "payload", "refers_to").mapInArrow(work, "bundle string, n_records long").write.parquet(f"{store}/bundles")
+    # in order, so that a second attempt of a task parts its rows and names its bundles alike
+    ordered = joined.sortWithinPartitions("page_id", "sha", "url")
+    ordered.select("page_id", "url", "payload", "refers_to").mapInArrow(work, "bundle string, n_records long").write.parquet(f"{store}/bundles")
     return spark.read.parquet(f"{store}/bundles")
 
 
