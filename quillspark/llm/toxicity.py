@@ -119,9 +119,18 @@ def hits(model: Model, folded: str) -> float:
             spared.append((start, end))
         elif w > words.get(start, 0.0):
             words[start] = w
-    if spared:
-        return sum(w for at, w in words.items() if not any(a <= at < b for a, b in spared))
-    return sum(words.values())
+    if not spared:
+        return sum(words.values())
+    # words and spans by their starts: a word lies in a span if it starts before the furthest end of those that began
+    spared.sort()
+    total, reach, k = 0.0, -1, 0
+    for at in sorted(words):
+        while k < len(spared) and spared[k][0] <= at:
+            reach = max(reach, spared[k][1])
+            k += 1
+        if at >= reach:
+            total += words[at]
+    return total
 
 
 def features(model: Model, text: str) -> tuple[float, float]:
@@ -214,9 +223,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             got = [features(model, t or "") for t in b.column(1).to_pylist()]
             yield pa.record_batch([b.column(0).cast(pa.int64()), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.float64())], names=["y", "density", "total"])
 
-    got = rows.mapInArrow(measure, "y long, density double, total double").orderBy("y", "density", "total").collect()  # at most TRAIN_ROWS rows
-    x = np.array([(r[1], r[2]) for r in got])
-    return Model(weights, _fit_curve(x, np.array([float(r[0]) for r in got])))
+    got = rows.mapInArrow(measure, "y long, density double, total double").toArrow()  # at most TRAIN_ROWS rows
+    m = np.column_stack([c.to_numpy().astype(np.float64) for c in got.columns])
+    m = m[np.lexsort(m.T[::-1])]  # the fit adds in one order whatever the partitions
+    return Model(weights, _fit_curve(m[:, 1:], m[:, 0]))
 
 
 def with_score(df: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:

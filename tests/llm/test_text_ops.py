@@ -108,6 +108,22 @@ def test_toxicity_folding():
     assert score("the idiot proof box") == score("the plain box")
 
 
+def test_toxicity_hits_by_a_naive_matcher():
+    """Every word by its heaviest entry at its start, none within an exception phrase."""
+    rng = random.Random(17)
+    weights = {" idiot ": 4.0, " idi": 1.5, " scum": 3.0, " trash ": 4.0, " tras": 2.0, " clown ": 2.5, " can ": 0.5}
+    model = toxicity._load(toxicity.Model(weights, toxicity.SEED_CURVE).dump())
+
+    def naive(folded):
+        spans = [(m.start(), m.start() + len(p) + 1) for p in toxicity.EXCEPTIONS for m in re.finditer(f"(?={re.escape(f' {p} ')})", folded)]
+        starts = {k: max([w for e, w in weights.items() if folded.startswith(e, k)], default=0.0) for k in range(len(folded))}
+        return sum(w for k, w in starts.items() if not any(a <= k < b for a, b in spans))
+
+    for _ in range(400):
+        text = toxicity.fold(" ".join(rng.choices(["idiot", "idiotic", "proof", "scum", "line", "trash", "can", "class", "clown", "fish", "x"], k=rng.randrange(12))))
+        assert abs(toxicity.hits(model, text) - (naive(text) if len(text) > 2 else 0.0)) < 1e-9, text
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
