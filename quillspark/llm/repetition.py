@@ -1,21 +1,20 @@
 """Quality rules on repetition, by suffix arrays over words.
 
 The suffixes of a document's word sequence are sorted by prefix doubling: ranks by the
-first 2^j words come from pairs of ranks by 2^(j-1) words. The common prefix of two
-neighbours in that order follows from the same ranks, from the longest power of two
-down. The intervals of the order with a common prefix are the maximal repeated
+first 2^j words come from pairs of ranks by 2^(j-1) words. The intervals of the order with a common prefix are the maximal repeated
 substrings; a suffix lies deepest in the interval of its longer common prefix with a neighbour, so
 the union of the intervals' spans is the union of [start, start + that prefix). A
 document is rejected if the covered fraction of its words or its longest repeat is over
 a limit.
 
 All documents of a slice are sorted in one array; ranks begin from pairs of document and
-word, so no suffix matches one of another document. Only documents in which a window
+word, so no suffix matches one of another document. Common prefixes of neighbours are found by Kasai's scan,
+so only one array of ranks is kept. Only documents in which a window
 of three words is repeated so often that a repeat of MIN_WORDS words is possible are sorted.
 
 Edge cases: a null text has no words and fails the base rule. A document without words has a
 covered fraction of zero. Repeats may overlap themselves. Texts are judged whole; memory
-grows with the longest text of a slice, about 100 bytes a word. Repeated rows are judged each.
+grows with the longest text of a slice, about 200 bytes a word, however often it repeats itself. Repeated rows are judged each.
 """
 
 from __future__ import annotations
@@ -90,26 +89,32 @@ def longest_matches(words: np.ndarray, doc: np.ndarray, end: np.ndarray) -> np.n
     """
     n = len(words)
     at = np.arange(n)
-    levels = [_ranks(_paired(doc, words, int(words.max()) + 1))]
+    rank = _ranks(_paired(doc, words, int(words.max()) + 1))
     step = 1
-    while levels[-1].max() < n - 1:
+    while rank.max() < n - 1:
         after = at + step
-        second = np.where(after < end, levels[-1][np.minimum(after, n - 1)] + 1, 0)
-        levels.append(_ranks(_paired(levels[-1], second, n + 1)))
+        second = np.where(after < end, rank[np.minimum(after, n - 1)] + 1, 0)
+        rank = _ranks(_paired(rank, second, n + 1))
         step *= 2
     order = np.empty(n, np.int64)
-    order[levels[-1]] = at
-    a, b = order[:-1], order[1:]
-    common = np.zeros(n - 1, np.int64)
-    for j in range(len(levels) - 1, -1, -1):
-        x, y = a + common, b + common
-        fits = (x + (1 << j) <= end[a]) & (y + (1 << j) <= end[b])
-        fits &= levels[j][np.minimum(x, n - 1)] == levels[j][np.minimum(y, n - 1)]
-        common[fits] += 1 << j
-    longest = np.zeros(n, np.int64)
-    longest[a] = common
-    longest[b] = np.maximum(longest[b], common)
-    return longest
+    order[rank] = at
+    # Kasai's scan in text order: the prefix that a suffix shares with the one before it in the order shrinks by one word at most
+    common = np.zeros(n, np.int64)
+    before = np.where(rank > 0, order[rank - 1], -1).tolist()
+    ids, ends, shared = words.tolist(), end.tolist(), 0
+    for i in range(n):
+        j, stop = before[i], ends[i]
+        if j < 0 or ends[j] != stop:  # the first of a document: documents do not share suffixes
+            shared = 0
+            continue
+        most = stop - max(i, j)
+        while shared < most and ids[i + shared] == ids[j + shared]:
+            shared += 1
+        common[rank[i]] = shared
+        shared = max(0, shared - 1)
+    longest = common.copy()  # by place in the order: the longer of the prefixes shared with the neighbours
+    longest[:-1] = np.maximum(longest[:-1], common[1:])
+    return longest[rank]
 
 
 def _dup_lines(text: str) -> int:
