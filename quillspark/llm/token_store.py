@@ -122,9 +122,10 @@ class Shard:
 
     def find(self, doc_id: int) -> list[int] | None:
         """Ids of a document by its id, or None: one binary search, one seek, one frame."""
-        ids = self.index["doc_id"].to_numpy(zero_copy_only=False)
+        ids = self.index["doc_id"]
+        ids = ids.slice(ids.null_count).to_numpy()  # nulls come first
         k = int(np.searchsorted(ids, doc_id))
-        return np.frombuffer(self.packed(k), "<u4").tolist() if k < self.n and ids[k] == doc_id else None
+        return np.frombuffer(self.packed(self.n - len(ids) + k), "<u4").tolist() if k < len(ids) and ids[k] == doc_id else None
 
 
 @lru_cache(maxsize=2)

@@ -5,6 +5,8 @@ words in turn. A word that a worker has not met is normalised and parted as the
 vocabulary's file says, and the library's model encodes the parts; ids of words and parts are
 kept, up to a bound. Words with characters from U+0300 on, where normalisation can do more than lower
 a letter, are given to the library whole.
+
+Special tokens are what they are for the library as loaded: their strings in a text are parted off first and are one id each.
 """
 
 from __future__ import annotations
@@ -38,7 +40,6 @@ class WordEncoder(dict):
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             parts = json.load(f)
@@ -48,6 +49,11 @@ class WordEncoder(dict):
         self.known = kinds == ["NFC", "Replace", "Lowercase"] and [s.get("type") for s in splits] == ["Split", "ByteLevel"] and splits[0]["invert"]
         self.find = regex.compile(splits[0]["pattern"]["Regex"]).findall if self.known else None
         self.letters = _byte_letters()
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        #: Whether cutting a text at the bare strings of its special tokens is all that the library does about them.
+        self.plain_special = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
@@ -91,9 +97,15 @@ class WordEncoder(dict):
                     text = text.replace(mark, parted)
         return text.encode().split()
 
+    def _text(self, text: str) -> bytes:
+        if self.cut and self.cut.search(text):
+            if not self.plain_special:
+                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            return b"".join(self.special.get(x) or self._text(x) for x in self.cut.split(text))
+        return b"".join(map(self.__getitem__, self._words(text)))
+
     def encode_packed(self, texts: list[str]) -> list[bytes]:
-        get = self.__getitem__
-        return [b"".join(map(get, self._words(t))) for t in texts]
+        return list(map(self._text, texts))
 
 
 @lru_cache(maxsize=1)

@@ -166,14 +166,41 @@ def test_neighbours_edges(spark):
     assert ann.search(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_neighbours_extreme_components(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e200, 1e200]), (2, [1e-200, 1e-200]), (3, [5e-324, 0.0]), (4, [-1e308, 1e308])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["score"] for r in ann.search(v, v.filter("vec_id = 0"), k=5).collect()}
+    want = {1: 3 / 10**0.5, 2: 3 / 10**0.5, 3: 1 / 5**0.5, 4: 1 / 10**0.5}
+    assert set(got) == set(want) and all(abs(got[i] - want[i]) < 1e-12 for i in want)
+
+
+def test_neighbours_beyond_the_sample(spark, monkeypatch):
+    """A table larger than the sample: full leaves are split in the tasks, and recall holds."""
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 400)
+    monkeypatch.setattr(ann, "LEAF_LIMIT", 80)
+    rng = np.random.default_rng(5)
+    centers = rng.standard_normal((60, 16))
+    m = centers[rng.integers(0, 60, 6000)] + 0.4 * rng.standard_normal((6000, 16))
+    rows = [(i, x.tolist()) for i, x in enumerate(m)] + [(10_001, m[0].tolist())] * 100
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    filed = {}
+    monkeypatch.setattr(ann, "_leaf_counts", lambda df, f=ann._leaf_counts: filed.setdefault(len(filed), f(df)))
+    got = {}
+    for r in ann.search(v, v.filter("vec_id % 50 = 0"), k=5).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = brute_neighbours(rows[:6000], [rows[i] for i in range(50, 6000, 50)], 5)
+    assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) / (5 * len(want)) >= 0.9
+    assert all(len(got[q]) == 5 for q in want) and len(filed) > 1
+    assert sum(n > ann.LEAF_LIMIT for n in filed[len(filed) - 1].values()) <= 1  # the copies of one vector
+
+
 # Packing and the token store
 
-TEXTS = [None, "", " ", "a", "Hello, World. Hello", "x" * 5000, "word " * 5000, "É\u0301 ﬁ Ⅷ 中文 ª. º, İ ǅ", "<|endoftext|> a", "it's. we're, 12.5", "a\u00a0b\u2028c\u200bd", "ß. À, ÿ.", "été, naïve. über"]
+TEXTS = [None, "", " ", "a", "Hello, World. Hello", "x" * 5000, "word " * 5000, "É\u0301 ﬁ Ⅷ 中文 ª. º, İ ǅ", "<|endoftext|> a", "a <|endoftext|> b<|startoftext|><|EndOfText|>", "it's. we're, 12.5", "a\u00a0b\u2028c\u200bd", "ß. À, ÿ.", "été, naïve. über"]
 
 
 def encoded(texts, end):
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     return [[*e.ids, end] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -270,6 +297,13 @@ def test_token_store(spark, monkeypatch):
     last = rows[len(TEXTS) - 1]
     assert shard.find(last[0]) == encoded([last[1]], 1)[0] and shard.find(-5) is None
     store = scratch(spark, "tokens-test")
+    monkeypatch.setattr(token_store, "SHARD_BYTES", 1 << 20)
+    large = spark.createDataFrame([(None, "no id"), ((1 << 53) + 1, "odd"), ((1 << 53) + 2, "even")], "doc_id long, text string").coalesce(1)
+    for r in token_store.write_store(large, store, WORDS, 1, 49408).collect():
+        shard = token_store.Shard(r["shard"], store)
+        for k, i in enumerate(shard.index["doc_id"].to_pylist()):
+            assert i is None or shard.find(i) == np.frombuffer(shard.packed(k), "<u4").tolist()
+    store = scratch(spark, "tokens-test")
     token_store.write_store(docs.limit(0), store, WORDS, 1, 49408)
     assert token_store.read_store(spark, store).count() == 0
 
