@@ -91,8 +91,8 @@ def record_observations(old: DataFrame, new: DataFrame, columns: Sequence[str] =
 
 
 def propagate_availability(works: DataFrame, observations: DataFrame) -> DataFrame:
-    """Works with the availability of their latest observation."""
-    last = observations.groupBy("source_id", "source_work_id").agg(F.max_by("availability", "observed_at").alias("__now"))
+    """Works with the availability of their latest observation; of several of one instant that of highest id, else the last by name."""
+    last = observations.groupBy("source_id", "source_work_id").agg(F.max_by("availability", F.struct("observed_at", *(["id"] if "id" in observations.columns else []), "availability")).alias("__now"))
     joined = works.join(last, ["source_id", "source_work_id"], "left")
     return joined.withColumn("availability", F.coalesce("__now", "availability")).drop("__now").select(works.columns)
 
@@ -107,7 +107,9 @@ def add_snapshots(old: DataFrame, new: DataFrame) -> DataFrame:
     Fetches without a body are all kept."""
     keys = ["source_id", "url_hash", "body_hash"]
     empty = old.filter("body_hash is null").unionByName(new.filter("body_hash is null").select(old.columns))
-    first = first_by_key(new.filter("body_hash is not null"), keys, "fetched_at")
+    fetched = new.filter("body_hash is not null")
+    latest = fetched.groupBy(*keys).agg(F.max_by("parser_version", F.struct("fetched_at", "parser_version")).alias("__latest"))
+    first = first_by_key(fetched, keys, "fetched_at").join(latest, keys).withColumn("parser_version", F.col("__latest")).drop("__latest")
     return merge(old.filter("body_hash is not null"), first, keys, {"parser_version": "new"}, default="keep").unionByName(empty)
 
 

@@ -48,11 +48,10 @@ class Element:
         return "".join(out)
 
     def inner_html(self) -> str:
-        return "".join(x.html() if isinstance(x, Element) else x if self.tag in RAW else _escaped(x) for x in self.items)
+        return _written([(x, self) for x in reversed(self.items)])
 
     def html(self) -> str:
-        attrs = "".join(f' {k}="{_escaped(v, quote=True)}"' for k, v in self.attrs.items())
-        return f"<{self.tag}{attrs}>" + ("" if self.tag in VOID else f"{self.inner_html()}</{self.tag}>")
+        return _written([(self, None)])
 
     def closest(self, *tags: str) -> Element | None:
         e = self
@@ -80,6 +79,23 @@ def _escaped(text: str, quote: bool = False) -> str:
     return text.replace('"', "&quot;") if quote else text.replace("<", "&lt;").replace(">", "&gt;")
 
 
+def _written(stack: list[tuple[Element | str, Element | None]]) -> str:
+    """Markup of a stack of items with their parents, the first on top; an item without a parent that is a text is written as it is.
+    A stack of its own, as pages may be nested deeper than calls can be."""
+    out = []
+    while stack:
+        x, parent = stack.pop()
+        if isinstance(x, str):
+            out.append(x if parent is None or parent.tag in RAW else _escaped(x))
+            continue
+        attrs = "".join(f' {k}="{_escaped(v, quote=True)}"' for k, v in x.attrs.items())
+        out.append(f"<{x.tag}{attrs}>")
+        if x.tag not in VOID:
+            stack.append((f"</{x.tag}>", None))
+            stack += [(item, x) for item in reversed(x.items)]
+    return "".join(out)
+
+
 def _steps(selector: str) -> list[tuple[bool, str | None, list[tuple]]]:
     """(is it a child of the step before?, tag, marks) for each step."""
     steps, child = [], False
