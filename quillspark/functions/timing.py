@@ -106,3 +106,22 @@ def duration_text(ms: Column | str) -> Column:
     return F.when(s >= 3600, F.concat(F.floor(s / 3600).cast("string"), F.lit("h "), F.floor(s % 3600 / 60).cast("string"), F.lit("m"))).when(
         s >= 60, F.concat(F.floor(s / 60).cast("string"), F.lit("m "), (s % 60).cast("string"), F.lit("s"))
     ).otherwise(F.concat(s.cast("string"), F.lit("s")))
+
+
+def long_duration_text(ms: Column | str) -> Column:
+    """The one unit that fits, rounded up: minutes below an hour, hours below two days, days below a year, else years."""
+    minutes = F.ceil(_col(ms) / 60_000)
+    hours, days = minutes / 60, minutes / 1440
+    return (
+        F.when(minutes < 60, F.concat(minutes.cast("string"), F.lit(" min"))).when(hours < 48, F.concat(F.ceil(hours).cast("string"), F.lit(" h")))
+        .when(days < 365, F.concat(F.ceil(days).cast("string"), F.lit(" days"))).otherwise(F.concat(F.format_string("%.1f", days / 365), F.lit(" years")))
+    )
+
+
+def byte_text(size: Column | str) -> Column:
+    """Bytes in the largest unit up to GB of which there is at least one; a decimal place from KB on."""
+    n = _col(size).cast("double")
+    text = F.concat(F.format_string("%.0f", n), F.lit(" B"))
+    for k, unit in enumerate(("KB", "MB", "GB"), 1):
+        text = F.when(n >= 1024.0**k, F.concat(F.format_string("%.1f", n / 1024.0**k), F.lit(f" {unit}"))).otherwise(text)
+    return text

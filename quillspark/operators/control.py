@@ -10,7 +10,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import queue
+from ..sources.packages import raw_pages
+from . import extract, queue
 from .coverage import MAX_TAG_PENDING, PENDING, filter_uncollected
 
 #: Most ids that one planning request may span.
@@ -187,3 +188,37 @@ def describe_error(error: object) -> str:
         if known:
             return f"{text} ({': '.join(known)})"
     return text
+
+
+def range_configuration(jobs: DataFrame) -> DataFrame:
+    """(id, start, end, batch_size, problem): what the JSON of each range job's configuration says, 250 ids a batch by
+    default; problem is null where a job can be planned."""
+    c = F.from_json("configuration", "start bigint, end bigint, batchSize bigint")
+    read = jobs.filter("type = 'id_range'").select("id", c["start"].alias("start"), c["end"].alias("end"), F.coalesce(c["batchSize"], F.lit(DEFAULT_BATCH)).alias("batch_size"))
+    problem = (
+        F.when(F.col("start").isNull() | F.col("end").isNull(), "no range").when(F.col("end") < F.col("start"), "the range ends before it starts")
+        .when(~F.col("batch_size").between(1, 1000), "batches hold 1 to 1000 ids")
+    )
+    return read.withColumn("problem", problem)
+
+
+def plan_range(jobs: DataFrame, tasks: DataFrame, job_id: int, token: str, first_task: int, now: Column) -> tuple[DataFrame, DataFrame]:
+    """Plan a range job that ``token`` holds from its cursor on: all ids that have no task yet are queued at once, and the job
+    is planned. A range that cannot be planned fails. Returns jobs and tasks."""
+    held = jobs.filter((F.col("id") == job_id) & (F.col("planning_lease_token") == token))
+    found = range_configuration(held).join(held.select("id", "planning_cursor"), "id").first()
+    if found is None:
+        return jobs, tasks
+    if found["problem"]:
+        return queue.finish_planning(jobs, job_id, token, ok=False), tasks
+    begin = found["start"] if found["planning_cursor"] is None else max(found["start"], found["planning_cursor"])
+    ids = jobs.sparkSession.range(begin, found["end"] + 1).select(F.lit(job_id).cast("bigint").alias("job_id"), F.col("id").cast("string").alias("source_work_id"))
+    grown = queue.enqueue(tasks, ids, now, first_task)
+    total = grown.filter(F.col("job_id") == job_id).count()
+    moved = queue.set_where(jobs, F.col("id") == job_id, planning_cursor=F.lit(found["end"] + 1), discovered_count=F.lit(total), updated_at=now)
+    return queue.finish_planning(moved, job_id, token), grown
+
+
+def reparse(spark: SparkSession, folder: str, origin: str, now: Column) -> DataFrame:
+    """Works of a folder of saved pages ``<id>.html`` as ``extract.parse_works`` gives them; pages that cannot be read have an error."""
+    return extract.parse_works(raw_pages(spark, folder).select(F.concat(F.lit(f"{origin}/works/"), "work_id").alias("url"), "html", now.alias("captured_at")))

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import extract, transfer
+from ..functions import timing as TM
+from ..operators import control, extract, transfer
 from . import views as V
 from .catalog import query
 
@@ -122,3 +123,41 @@ def q_import_outcome_of_works(spark, sf):
         "workTags": none, "workAuthors": none, "tags": none.select("sourceTagId"), "authors": none.select("sourceAuthorId"),
     }
     return transfer.import_outcomes(had, sets).withColumnRenamed("sourceWorkId", "work")
+
+
+@query("q_range_configuration", """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey END AS start, c_custkey + c_nationkey - 3 AS "end", CASE WHEN c_custkey % 3 = 0 THEN 250 ELSE c_custkey % 1500 END AS batch_size,
+CASE WHEN c_custkey % 5 = 0 THEN 'no range' WHEN c_nationkey < 3 THEN 'the range ends before it starts' WHEN c_custkey % 3 <> 0 AND NOT c_custkey % 1500 BETWEEN 1 AND 1000 THEN 'batches hold 1 to 1000 ids' END AS problem FROM customer""")
+def q_range_configuration(spark, sf):
+    k, n = F.col("c_custkey").cast("bigint"), F.col("c_nationkey").cast("bigint")
+    config = F.to_json(F.struct(F.when(k % 5 != 0, k).alias("start"), (k + n - 3).alias("end"), F.when(k % 3 != 0, k % 1500).alias("batchSize")))
+    jobs = V.table(spark, sf, "customer").select(k.alias("id"), F.lit("id_range").alias("type"), config.alias("configuration"))
+    return control.range_configuration(jobs)
+
+
+@query("q_byte_text", """
+SELECT o_orderkey AS id, CASE WHEN n >= 1073741824 THEN printf('%.1f GB', floor(n / 1073741824 * 10 + 0.5) / 10) WHEN n >= 1048576 THEN printf('%.1f MB', floor(n / 1048576 * 10 + 0.5) / 10) WHEN n >= 1024 THEN printf('%.1f KB', floor(n / 1024 * 10 + 0.5) / 10) ELSE printf('%.0f B', n) END AS size,
+CASE WHEN m < 60 THEN m || ' min' WHEN m / 60.0 < 48 THEN ceil(m / 60.0)::BIGINT || ' h' WHEN m / 1440.0 < 365 THEN ceil(m / 1440.0)::BIGINT || ' days' ELSE printf('%.1f years', floor(m / 1440.0 / 365 * 10 + 0.5) / 10) END AS span
+FROM (SELECT o_orderkey, (o_orderkey * o_orderkey)::DOUBLE AS n, ceil(o_orderkey * o_orderkey * 10 / 60000.0)::BIGINT AS m FROM orders)""")
+def q_byte_text(spark, sf):
+    n = F.col("o_orderkey").cast("bigint")
+    return V.table(spark, sf, "orders").select(n.alias("id"), TM.byte_text(n * n).alias("size"), TM.long_duration_text(n * n * 10).alias("span"))
+
+
+@query("q_source_by_key", "SELECT n_nationkey::BIGINT AS id, n_name AS source_key FROM nation WHERE n_name = (SELECT min(n_name) FROM nation) LIMIT 1")
+def q_source_by_key(spark, sf):
+    s = V.sources(spark, sf)
+    return s.join(s.agg(F.min("source_key").alias("source_key")), "source_key", "left_semi").limit(1).select("id", "source_key")
+
+
+@query("q_subscribed_tags", "SELECT p_partkey AS id, p_partkey IN (SELECT s_suppkey FROM supplier) AS subscribed FROM part")
+def q_subscribed_tags(spark, sf):
+    subs = V.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("tag_slug"))
+    tags = V.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_partkey").cast("string").alias("slug"))
+    return control.with_subscribed(tags, subs).select("id", "subscribed")
+
+
+@query("q_capture_report", "SELECT count(*) AS requested, count(*) FILTER (doc_id % 9 <> 0) AS parsed, count(*) FILTER (doc_id % 9 = 0) AS failed FROM documents")
+def q_capture_report(spark, sf):
+    pages = _works(spark, sf).withColumn("html", F.when(F.regexp_extract("url", r"(\d+)$", 1).cast("bigint") % 9 == 0, "<p>gone</p>").otherwise(F.col("html")))
+    return control.capture_report(extract.parse_works(pages).select("error"))

@@ -151,6 +151,22 @@ def test_subscriptions(spark):
     assert {r["slug"]: r["subscribed"] for r in control.with_subscribed(tags, subs).collect()} == {"a": True, "b": False}
 
 
+def test_planning_and_reparse(spark, tmp_path):
+    jobs = spark.createDataFrame([(1, 7, "id_range", "running", "planning", '{"start":3,"end":9}', 0, 5, "tok", None), (2, 7, "id_range", "running", "planning", '{"start":9,"end":3}', 0, None, "bad", None)],
+        "id long, source_id long, type string, status string, planning_status string, configuration string, discovered_count long, planning_cursor long, planning_lease_token string, planning_lease_expires_at timestamp_ntz")
+    tasks = spark.createDataFrame([(1, 1, "3", "queued", 0, None, None), (2, 1, "6", "succeeded", 0, None, None)], TASKS)
+    j, t = control.plan_range(jobs, tasks, 1, "tok", 10, F.lit(AT))
+    assert sorted(r["source_work_id"] for r in t.filter("id >= 10").collect()) == ["5", "7", "8", "9"]
+    row = j.filter("id = 1").first()
+    assert (row["planning_status"], row["planning_cursor"], row["discovered_count"], row["planning_lease_token"]) == ("completed", 10, 6, None)
+    assert control.plan_range(jobs, tasks, 2, "bad", 10, F.lit(AT))[0].filter("id = 2").first()["planning_status"] == "failed"
+    assert control.plan_range(jobs, tasks, 1, "other", 10, F.lit(AT))[1].count() == 2
+    (tmp_path / "11.html").write_text("<div id=workskin><h2 class='title heading'>T</h2><div id=chapters><div class=userstuff>x</div></div></div>")
+    (tmp_path / "12.html").write_text("<p>gone")
+    got = {r["work_id"]: r["error"] for r in control.reparse(spark, str(tmp_path), "https://a.example", F.lit(AT)).collect()}
+    assert got == {"11": None, "12": "title missing: work 12"}
+
+
 def test_settings_reports_errors(spark, tmp_path):
     def settings(text):
         at = tmp_path / f"s{abs(hash(text))}.json"
