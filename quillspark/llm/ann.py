@@ -46,6 +46,8 @@ CALIBRATION_QUERIES = 256
 #: Vectors and queries in one block of a leaf.
 BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 512
+#: Candidates beyond k that are scored exactly for every query; where more are nearly tied all of them are.
+SPARE = 8
 
 
 class Tree:
@@ -177,16 +179,22 @@ def _best(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
     rough = (q @ v.T) / np.outer(qn, vn)
     qid, vid = queries["query_id"].to_numpy(), vectors["vec_id"].to_numpy()
     rough[qid[:, None] == vid[None, :]] = -np.inf
-    order = np.argsort(vid, kind="stable")
-    found = []
-    for r in range(len(q)):
-        row = rough[r]
-        kth = np.partition(row, -k)[-k] if len(row) > k else -np.inf
-        at = order[(row[order] >= kth - 1e-9) & (row[order] > -np.inf)]
-        score = (v[at] * q[r]).sum(axis=1) / (qn[r] * vn[at])
-        top = np.argsort(-score, kind="stable")[:k]  # ids are in order, so ties fall to the smaller
-        found.append(pd.DataFrame({"query_id": qid[r], "vec_id": vid[at][top], "score": score[top]}))
-    return pd.concat(found)
+    m = min(len(v), k + SPARE)
+    at = np.argpartition(-rough, m - 1, axis=1)[:, :m]
+    kth = np.sort(np.take_along_axis(rough, at, axis=1), axis=1)[:, max(0, m - k)]
+    crowded = (rough >= kth[:, None] - 1e-9).sum(axis=1) > m  # more near ties than there is room for: these queries look at all of them
+    score = (v[at] * q[:, None, :]).sum(axis=2) / (qn[:, None] * vn[at])
+    score[np.take_along_axis(rough, at, axis=1) == -np.inf] = -np.inf
+    top = np.lexsort((vid[at], -score), axis=1)[:, :k]  # ties fall to the smaller id
+    near, score = np.take_along_axis(vid[at], top, axis=1), np.take_along_axis(score, top, axis=1)
+    good = (score > -np.inf) & ~crowded[:, None]
+    parts = [(np.repeat(qid, good.sum(axis=1)), near[good], score[good])]
+    for r in np.flatnonzero(crowded):
+        some = np.flatnonzero((rough[r] >= kth[r] - 1e-9) & (rough[r] > -np.inf))
+        own = (v[some] * q[r]).sum(axis=1) / (qn[r] * vn[some])
+        best = np.lexsort((vid[some], -own))[:k]
+        parts.append((np.full(len(best), qid[r]), vid[some][best], own[best]))
+    return pd.DataFrame({name: np.concatenate(x) for name, x in zip(("query_id", "vec_id", "score"), zip(*parts))})
 
 
 def _filer(tree: Tree):
