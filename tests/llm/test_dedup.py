@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from quillspark.llm import components as components_module
 from quillspark.llm import line_dedup, simhash
 from quillspark.llm.components import components
 
@@ -30,8 +31,11 @@ def union(nodes, links):
     return {n: find(n) for n in nodes}
 
 
+@pytest.mark.parametrize("broadcast, hub", [(200_000, 1_000_000), (0, 5)])
 @pytest.mark.parametrize("kind", ["chain", "star", "random", "none"])
-def test_components(spark, kind):
+def test_components(spark, monkeypatch, kind, broadcast, hub):
+    monkeypatch.setattr(components_module, "BROADCAST_EDGES", broadcast)
+    monkeypatch.setattr(components_module, "HUB_EDGES", hub)
     rng = random.Random(8)
     edges = {
         "chain": [(i, i + 1) for i in range(60)], "star": [(0, i) for i in range(1, 300)] + [(500, 501), (7, 7)],
