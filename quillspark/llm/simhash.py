@@ -164,7 +164,8 @@ def met_by(postings: DataFrame, name: str) -> DataFrame:
     dealt out by key once."""
     dealt = postings.repartition("key")
     shared = dealt.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot <> last").select("key", "pivot")
-    return cut(dealt.join(shared, "key"), name)
+    # by a hash table of a partition's shared postings, one row each however many nodes are in it: the many lone ones need no sort
+    return cut(dealt.join(shared.hint("shuffle_hash"), "key"), name)
 
 
 def open_members(met: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
