@@ -5,8 +5,9 @@ Lengths are whole numbers up to the capacity, so the lengths of all pieces are o
 pattern at a time: the longest length that is left opens the bin, and a subset-sum
 dynamic program over the lengths left, held as one bitset, finds the fullest feasible
 combination for the rest, read back from larger lengths to smaller. The pattern found is removed
-as often as the counts allow, as each further bin would be filled by the same one. Every pattern uses up a
-length, so there are at most ``capacity`` patterns, and the plan's size does not grow with the data.
+as often as the counts allow, as each further bin would be filled by the same one. After it some length x has fewer pieces left than
+the pattern needs, capacity / x at most, so x can be the one that ends a pattern at most 1 + capacity / x times. Over all lengths that makes
+at most capacity * (2 + ln capacity) patterns: the plan's size does not grow with the data.
 
 The plan is then dealt out: pieces of a length are numbered (within blocks of documents
 first, then block after block) and the n-th piece of a length takes the n-th place that
@@ -134,7 +135,7 @@ def pack(parts: DataFrame, capacity: int) -> DataFrame:
     within = Window.partitionBy("length", "block").orderBy(*parts.columns)
     numbered = own.withColumn("nth", F.row_number().over(within) - 1).join(bases, ["length", "block"]).withColumn("nth", F.col("nth") + F.col("base"))
     ranges = grid.groupBy(F.col("length").alias("l")).agg(F.array_sort(F.collect_list(F.struct("first", "last", "per", "sequence", "at"))).alias("ranges"))
-    # at most `capacity` lengths and fewer than two places a pattern and length: bounded by the capacity
+    # a place a pattern and length of it: bounded by the capacity, as the module says
     placed = numbered.join(F.broadcast(ranges), F.col("length") == F.col("l")).withColumn(
         "r", F.element_at(F.filter("ranges", lambda r: (r["first"] <= F.col("nth")) & (F.col("nth") <= r["last"])), 1)
     )
