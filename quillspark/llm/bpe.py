@@ -46,6 +46,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+class _Matches:
+    """The same as ``Bpe._options`` for a long piece, in flat arrays: some dozen bytes a match instead of a list a place."""
+
+    def __init__(self, found: Iterator[tuple[int, tuple[int, int]]], n: int):
+        rows = np.fromiter(((end + 1 - size, size, token) for end, (size, token) in found), dtype=[("at", "<i8"), ("size", "<i4"), ("id", "<i4")])
+        self.rows = rows[np.argsort(rows["at"], kind="stable")]
+        self.first = np.searchsorted(self.rows["at"], np.arange(n + 1))
+
+    def __getitem__(self, place: int) -> list[tuple[int, int]]:
+        rows = self.rows[self.first[place] : self.first[place + 1]]
+        return list(zip(rows["size"].tolist(), rows["id"].tolist()))
+
+
 class Bpe:
     """Encoder and decoder for one rank file; build one in each worker."""
 
@@ -82,14 +95,19 @@ class Bpe:
             self.pairs[a, b] = fits
         return fits
 
+    def _options(self, data: bytes) -> list[list[tuple[int, int]]]:
+        """For each place the tokens (size, id) that begin there; ends come in order, so the longest is last."""
+        options: list[list[tuple[int, int]]] = [[] for _ in data]
+        for end, token in self.auto.iter(data.decode("latin-1")):
+            options[end + 1 - token[0]].append(token)
+        return options
+
     def encode_piece(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
         n = len(data)
-        options: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, token in self.auto.iter(data.decode("latin-1")):
-            options[end + 1 - token[0]].append(token)  # ends come in order: the longest is last
+        options = self._options(data) if n <= LONG_PIECE else _Matches(self.auto.iter(data.decode("latin-1")), n)
         alive = bytearray(b"\x01") * (n + 1)
         ids: list[int] = []
         tried: list[int] = []
