@@ -8,11 +8,14 @@ from collections.abc import Iterator
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
 #: Text bytes that a Python task takes at a time from an Arrow batch.
 SLICE_BYTES = 4 << 20
+#: Rows from which on a key's row is broadcast instead of being joined by a shuffle.
+HEAVY_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -72,3 +75,14 @@ def unused(df: DataFrame, name: str) -> str:
     while name in df.columns:
         name = "_" + name
     return name
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """``rows`` with the columns of ``keyed``: (keys, n, ...), one row a key, n being how many of ``rows`` have it. A key that very many rows
+    have is not gathered in one task: keys of HEAVY_ROWS rows or more, of which there are at most the rows divided by it, are broadcast.
+    ``rows`` must be cheap to read twice. No key is null."""
+    heavy = keyed.filter(F.col("n") >= HEAVY_ROWS).drop("n")
+    if heavy.isEmpty():
+        return rows.join(keyed.drop("n"), keys, how)
+    heavy = F.broadcast(heavy)
+    return rows.join(heavy, keys).unionByName(rows.join(heavy, keys, "left_anti").join(keyed.filter(F.col("n") < HEAVY_ROWS).drop("n"), keys, how))
