@@ -155,8 +155,8 @@ OP12_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest([array_to_string(words[i:i + 3], ' ') FOR i IN range(1, greatest(1, len(words) - 3) + 1)]) AS shingle FROM w WHERE len(words) > 0),
 sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
-shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n + y.n - both)),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
 least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
