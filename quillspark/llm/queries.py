@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, filter_audit, line_dedup, minhash, packing, repetition, simhash, token_store, toxicity, url_filter, warc
+from . import ann, bpe, conversations, filter_audit, line_dedup, minhash, packing, repetition, simhash, token_store, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_repetition": repetition.op1_repetition,
@@ -15,12 +15,14 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_token_store": token_store.op10_token_store,
+    "op11_conversations": conversations.op11_conversations,
     "op12_minhash": minhash.op12_minhash,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 ORACLE_SQL = {
     "op9_url_filter": url_filter.OP9_SQL,
+    "op11_conversations": conversations.OP11_SQL,
     "op12_minhash": minhash.OP12_SQL,
     "op13_filter_audit": filter_audit.OP13_SQL,
 }
