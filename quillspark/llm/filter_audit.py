@@ -2,8 +2,8 @@
 
 Every document gets a mask of the filters that it fails. A table of 32 masks by 120 orders holds the step at which a document
 with that mask is removed. Documents are counted by part, mask and labels first, so a part of any size is at most 128 rows;
-``mapInArrow`` looks these up in the table, ``np.bincount`` adds their counts up by part, order and step, and the partial arrays
-of all tasks are summed.
+``mapInArrow`` looks these up in the table, ``np.bincount`` adds their counts up by part, order and step, and a part's partial arrays
+are summed.
 
 Filters: A: under LEAST_WORDS words; B: fewer than LEAST_DISTINCT percent of the words are distinct; C: more than MOST_CAPITALS
 percent of the code points are A to Z; D: holds one of MARKS; E: a row of smaller doc_id has the same text (by 128 bits of hash).
@@ -15,7 +15,7 @@ texts they don't make each other fail E. Of several label rows of a doc_id any t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import permutations
 
 import numpy as np
@@ -86,37 +86,51 @@ def failures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     return join_counted(judged, repeated, ["k1", "k2"]).select("id", "part", F.col("mask").bitwiseOR(copied).alias("mask"))
 
 
+def _partial(b: pa.RecordBatch) -> tuple[list[str], np.ndarray]:
+    """The parts of counted rows (part, mask, good, toxic, n) in order, and (COUNTS, parts, CELLS): what these rows add to each."""
+    part = b.column(0).dictionary_encode()
+    codes, parts = part.indices.to_numpy(), len(part.dictionary)
+    mask, good, toxic, n = (b.column(k).to_numpy().astype(np.int64) for k in range(1, 5))
+    place = (codes[:, None] * len(ORDERS) + np.arange(len(ORDERS))) * (STEPS + 1) + FIRST[mask]
+
+    def removals(weights: np.ndarray) -> np.ndarray:
+        found = np.bincount(place.ravel(), np.repeat(weights, len(ORDERS)), parts * len(ORDERS) * (STEPS + 1))
+        return found.reshape(parts, len(ORDERS), STEPS + 1)[:, :, :STEPS]
+
+    def each(holds: Callable[[int], np.ndarray]) -> np.ndarray:
+        """Counts by part of the rows that hold for a filter's bit, at the cells of that filter."""
+        by_filter = np.stack([np.bincount(codes, n * holds(1 << k), parts) for k in range(STEPS)], axis=1)
+        return by_filter[:, np.log2(_BITS).astype(int)]
+
+    total = np.broadcast_to(np.bincount(codes, n, parts)[:, None, None], (parts, len(ORDERS), STEPS))
+    found = [total, each(lambda bit: mask & bit > 0), removals(n), each(lambda bit: mask == bit), removals(n * good), removals(n * toxic)]
+    return part.dictionary.to_pylist(), np.stack([f.reshape(parts, CELLS) for f in found]).astype(np.int64)
+
+
 def _cells(counted: DataFrame) -> DataFrame:
-    """(part, COUNTS as arrays of CELLS numbers): partial sums for the rows (part, mask, good, toxic, n) of each task."""
+    """(part, COUNTS as arrays of CELLS numbers) of counted rows (part, mask, good, toxic, n). A part's rows, 128 at most, are read one after another; the partial arrays of
+    the slices that they are in are added up."""
+
+    def batch(part: str, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([part]), *[pa.array([row], pa.list_(pa.int64())) for row in sums]], names=["part", *COUNTS])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                b = batch.slice(at, SLICE_ROWS)
-                part = b.column(0).dictionary_encode()
-                codes, parts = part.indices.to_numpy(), len(part.dictionary)
-                mask, good, toxic, n = (b.column(k).to_numpy().astype(np.int64) for k in range(1, 5))
-                step = FIRST[mask]
-                place = (codes[:, None] * len(ORDERS) + np.arange(len(ORDERS))) * (STEPS + 1) + step
-
-                def removals(weights: np.ndarray) -> np.ndarray:
-                    found = np.bincount(place.ravel(), np.repeat(weights, len(ORDERS)), parts * len(ORDERS) * (STEPS + 1))
-                    return found.reshape(parts, len(ORDERS), STEPS + 1)[:, :, :STEPS]
-
-                def each(rows: np.ndarray) -> np.ndarray:
-                    """Counts by part of the rows that hold for a filter's bit, at the cells of that filter."""
-                    by_filter = np.stack([np.bincount(codes, n * rows(1 << k), parts) for k in range(STEPS)], axis=1)
-                    return by_filter[:, np.log2(_BITS).astype(int)]
-
-                found = [
-                    np.broadcast_to(np.bincount(codes, n, parts)[:, None, None], (parts, len(ORDERS), STEPS)), each(lambda bit: mask & bit > 0), removals(n),
-                    each(lambda bit: mask == bit), removals(n * good), removals(n * toxic),
-                ]
-                offsets = pa.array(np.arange(parts + 1, dtype=np.int32) * CELLS)
-                arrays = [pa.ListArray.from_arrays(offsets, pa.array(f.reshape(-1).astype(np.int64))) for f in found]
-                yield pa.record_batch([part.dictionary, *arrays], names=["part", *COUNTS])
-
-    return counted.select("part", "mask", "good", "toxic", "n").mapInArrow(work, "part string, " + ", ".join(f"{c} array<long>" for c in COUNTS))
+        held, sums = None, None
+        for b in batches:
+            for at in range(0, b.num_rows, SLICE_ROWS):
+                parts, partial = _partial(b.slice(at, SLICE_ROWS))
+                for k, part in enumerate(parts):
+                    if part == held:
+                        sums = sums + partial[:, k]
+                    else:
+                        if held is not None:
+                            yield batch(held, sums)
+                        held, sums = part, partial[:, k]
+        if held is not None:
+            yield batch(held, sums)
+
+    rows = counted.select("part", "mask", "good", "toxic", "n").repartition("part").sortWithinPartitions("part")
+    return rows.mapInArrow(work, "part string, " + ", ".join(f"{c} array<long>" for c in COUNTS))
 
 
 def interactions(failed: DataFrame, labels: DataFrame, label_id: str = "doc_id") -> DataFrame:
@@ -125,10 +139,9 @@ def interactions(failed: DataFrame, labels: DataFrame, label_id: str = "doc_id")
     known = labels.groupBy(F.col(label_id).alias("id")).agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     marked = failed.join(known, "id", "left").select("part", "mask", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
     counted = marked.groupBy("part", "mask", "good", "toxic").agg(F.count("*").alias("n"))
-    cells = _cells(counted).select("part", F.posexplode(F.arrays_zip(*COUNTS)).alias("cell", "x"))
-    summed = cells.groupBy("part", "cell").agg(*[F.sum(f"x.{c}").alias(c) for c in COUNTS])
+    cells = _cells(counted).select("part", F.posexplode(F.arrays_zip(*COUNTS)).alias("cell", "x")).select("part", "cell", "x.*")
     order = F.get(F.lit(ORDERS), F.floor(F.col("cell") / STEPS).cast("int"))
-    named = summed.withColumns({"filter_order": order, "step": (F.col("cell") % STEPS + 1).cast("int")})
+    named = cells.withColumns({"filter_order": order, "step": (F.col("cell") % STEPS + 1).cast("int")})
     so_far = Window.partitionBy("part", "filter_order").orderBy("step")
     own = Window.partitionBy("part", F.substring("filter_order", F.col("step"), F.lit(1)))
     return named.select(
