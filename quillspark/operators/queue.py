@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from .relational import unused
 
 # States of tasks and jobs, lease times, thresholds.
 OPEN_TASKS = ("queued", "leased", "retryable_failed")
@@ -20,6 +21,8 @@ STALL_MINUTES = 30
 STALL_ROWS = 200
 DELETABLE = ("completed", "cancelled", "failed")
 LEASE_EXPIRED = "worker_lease_expired"
+LEASE_EXPIRED_MESSAGE = "The worker lease expired before completion."
+OUTCOMES = ("succeeded", "not_found", "retryable_failed", "terminal_failed")
 
 
 def _after(now: Column, seconds: int) -> Column:
@@ -62,25 +65,51 @@ def heartbeat(tasks: DataFrame, task_id: int, token: str, now: Column) -> DataFr
 
 
 def complete(tasks: DataFrame, task_id: int, token: str, now: Column, outcome: str, code: str | None = None, message: str | None = None, available_at: Column | None = None) -> DataFrame:
-    """End a held task as succeeded, not_found, retryable_failed (due again at ``available_at``) or terminal_failed. A token that does not hold it changes nothing."""
+    """End a held task as succeeded, not_found, retryable_failed (due again at ``available_at``) or terminal_failed. Only a task that is to be tried
+    again has a time to come, the others have now; one that succeeded has no error. A token that does not hold the task changes nothing."""
+    if outcome not in OUTCOMES or (outcome == "retryable_failed") != (available_at is not None):
+        raise ValueError("an outcome is one of OUTCOMES, and only retryable_failed has a time")
+    empty, good = F.lit(None), outcome == "succeeded"
+    return set_where(
+        tasks, _held(task_id, token), status=F.lit(outcome), leased_by=empty, lease_token=empty, lease_expires_at=empty, available_at=now if available_at is None else available_at, updated_at=now,
+        last_error_code=F.lit(None if good else code), last_error_message=F.lit(None if good else message),
+    )
+
+
+def complete_task(tasks: DataFrame, jobs: DataFrame, task_id: int, token: str, now: Column, outcome: str, **more) -> tuple[DataFrame, DataFrame]:
+    """``complete``, and the counters and status of the task's job. Returns tasks and jobs, as they were if the token does not hold the task."""
+    held = tasks.filter(_held(task_id, token)).select("job_id").first()
+    if held is None:
+        return tasks, jobs
+    done = complete(tasks, task_id, token, now, outcome, **more)
+    return done, recompute_jobs(jobs, done.filter(F.col("job_id") == held["job_id"]), now, F.col("id") == held["job_id"])
+
+
+def defer(tasks: DataFrame, task_id: int, token: str, until: Column, reason: str, now: Column) -> DataFrame:
+    """Give a held task back, due later, with the reason as its last error; the attempt counts."""
     empty = F.lit(None)
     return set_where(
-        tasks, _held(task_id, token), status=F.lit(outcome), leased_by=empty, lease_token=empty, lease_expires_at=empty, last_error_code=F.lit(code), last_error_message=F.lit(message),
-        available_at=available_at if available_at is not None else F.col("available_at"), updated_at=now,
+        tasks, _held(task_id, token), status=F.lit("queued"), leased_by=empty, lease_token=empty, lease_expires_at=empty, available_at=until, updated_at=now, last_error_code=F.lit(reason), last_error_message=empty,
     )
 
 
-def defer(tasks: DataFrame, task_id: int, token: str, until: Column, now: Column) -> DataFrame:
-    """Give a held task back, due later; the attempt does not count."""
+def reclaim_expired(tasks: DataFrame, jobs: DataFrame, now: Column) -> DataFrame:
+    """Tasks of queued and running jobs whose lease has run out may be tried again at once; those of other jobs stay as they are."""
     empty = F.lit(None)
-    return set_where(tasks, _held(task_id, token), status=F.lit("queued"), leased_by=empty, lease_token=empty, lease_expires_at=empty, available_at=until, attempts=F.greatest(F.lit(0), F.col("attempts") - 1), updated_at=now)
+    live = jobs.filter(F.col("status").isin("queued", "running")).select(F.col("id").alias("job_id"), F.lit(True).alias("__live"))
+    gone = (F.col("status") == "leased") & (F.col("lease_expires_at") <= now) & F.col("__live")
+    return set_where(
+        tasks.join(live, "job_id", "left"), gone, status=F.lit("retryable_failed"), leased_by=empty, lease_token=empty, lease_expires_at=empty, available_at=now, updated_at=now,
+        last_error_code=F.lit(LEASE_EXPIRED), last_error_message=F.lit(LEASE_EXPIRED_MESSAGE),
+    ).select(tasks.columns)
 
 
-def reclaim_expired(tasks: DataFrame, now: Column) -> DataFrame:
-    """Tasks whose lease has run out may be tried again."""
+def reclaim_planning(jobs: DataFrame, now: Column) -> DataFrame:
+    """Planning of queued and running jobs whose planner's lease has run out waits again."""
     empty = F.lit(None)
-    gone = (F.col("status") == "leased") & (F.col("lease_expires_at") <= now)
-    return set_where(tasks, gone, status=F.lit("retryable_failed"), leased_by=empty, lease_token=empty, lease_expires_at=empty, last_error_code=F.lit(LEASE_EXPIRED), available_at=now, updated_at=now)
+    gone = F.col("planning_status").isin("planning", "leased") & (F.col("planning_lease_expires_at") <= now) & F.col("status").isin("queued", "running")
+    values = {"planning_status": F.lit("queued"), "planning_lease_token": empty, "planning_lease_expires_at": empty, "planning_error": empty, "updated_at": now}
+    return set_where(jobs, gone, **{c: v for c, v in values.items() if c in jobs.columns})
 
 
 def task_stats(tasks: DataFrame) -> DataFrame:
@@ -106,18 +135,19 @@ def recompute_jobs(jobs: DataFrame, tasks: DataFrame, now: Column, which: Column
 
 
 def numbered(df: DataFrame, first: int, *order: str) -> DataFrame:
-    """``df`` with ``id``: its rows numbered from ``first`` on in the given order. They are dealt out by ranges and numbered within them;
+    """``df`` with ``id`` (in place of its own): its rows numbered from ``first`` on in the given order. They are dealt out by ranges and numbered within them;
     only the ranges' sizes are added up in one place, so no task needs all rows of one key."""
     checkpoint_dir(df.sparkSession)
-    place = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()).checkpoint()
-    part = F.shiftright("__at", 33)
-    sizes = place.groupBy(part.alias("p")).count().orderBy("p").collect()  # a row a partition
-    bases, at = [], first
+    place, part, base = unused(df, "__at"), unused(df, "__part"), unused(df, "__base")
+    at = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(place, F.monotonically_increasing_id()).checkpoint()
+    own = F.shiftright(place, 33)
+    sizes = at.groupBy(own.alias("p")).count().orderBy("p").collect()  # a row a partition
+    bases, number = [], first
     for r in sizes:
-        bases.append((r["p"], at - (r["p"] << 33)))
-        at += r["count"]
-    base = df.sparkSession.createDataFrame(bases, "p long, base long")
-    return place.join(F.broadcast(base), part == F.col("p")).withColumn("id", F.col("__at") + F.col("base")).drop("__at", "p", "base")
+        bases.append((r["p"], number - (r["p"] << 33)))
+        number += r["count"]
+    known = df.sparkSession.createDataFrame(bases, f"{part} long, {base} long")
+    return at.join(F.broadcast(known), own == F.col(part)).withColumn("id", F.col(place) + F.col(base)).drop(place, part, base)
 
 
 def enqueue(tasks: DataFrame, new: DataFrame, now: Column, first_id: int) -> DataFrame:
@@ -237,22 +267,57 @@ def job_advice(count: Column, collect_ms: Column, planning_ms: Column, batch: Co
     )
 
 
+def _waits(now: Column) -> Column:
+    """Whether an export run can be taken: it is queued, or its lease ran out."""
+    return (F.col("status") == "queued") | (F.col("status").isin("leased", "writing") & (F.col("lease_expires_at") <= now))
+
+
 def claim_export(runs: DataFrame, sources: DataFrame, now: Column, token: str) -> tuple[DataFrame, DataFrame]:
-    """For each source that is free and has queued runs: lease the oldest, number it and name its predecessor,
-    the completed run of highest number. Returns runs and sources."""
-    free = sources.filter(F.col("export_lease_token").isNull() | (F.col("export_lease_expires_at") <= now)).select(F.col("id").alias("source_id"), "next_export_sequence")
-    first = runs.filter("status = 'queued'").groupBy("source_id").agg(F.min("id").alias("id")).join(free, "source_id")
+    """For each source that is free and has runs that wait: lease the oldest. A run that never was leased gets the source's next number and
+    is told its predecessor, the completed run of highest number; one whose lease ran out keeps both. Returns runs and sources."""
+    free = sources.filter(F.col("export_lease_expires_at").isNull() | (F.col("export_lease_expires_at") <= now)).select(F.col("id").alias("source_id"), "next_export_sequence")
+    first = runs.filter(_waits(now)).groupBy("source_id").agg(F.min("id").alias("id"), F.min_by(F.col("sequence_number").isNull(), "id").alias("__new")).join(free, "source_id")
     last = runs.filter("status = 'completed'").groupBy("source_id").agg(F.max_by("package_id", "sequence_number").alias("__previous"))
-    picked = first.join(last, "source_id", "left").select("id", F.col("next_export_sequence").alias("__sequence"), "__previous", F.lit(True).alias("__got"))
-    leased = set_where(runs.join(picked, "id", "left"), F.col("__got"), status=F.lit("leased"), sequence_number=F.col("__sequence"), previous_package_id=F.col("__previous"))
-    marked = sources.join(first.select(F.col("source_id").alias("id"), F.lit(True).alias("__got")), "id", "left")
-    held = set_where(marked, F.col("__got"), export_lease_token=F.lit(token), export_lease_expires_at=_after(now, EXPORT_LEASE_SECONDS), next_export_sequence=F.col("next_export_sequence") + 1)
+    picked = first.join(last, "source_id", "left").select("id", "__new", F.col("next_export_sequence").alias("__sequence"), "__previous", F.lit(True).alias("__got"))
+    until = _after(now, EXPORT_LEASE_SECONDS)
+    leased = set_where(
+        runs.join(picked, "id", "left"), F.col("__got"), status=F.lit("leased"), lease_token=F.lit(token), lease_expires_at=until,
+        sequence_number=F.when(F.col("__new"), F.col("__sequence")).otherwise(F.col("sequence_number")), previous_package_id=F.when(F.col("__new"), F.col("__previous")).otherwise(F.col("previous_package_id")),
+    )
+    marked = sources.join(first.select(F.col("source_id").alias("id"), F.col("__new").cast("int").alias("__more"), F.lit(True).alias("__got")), "id", "left")
+    held = set_where(marked, F.col("__got"), export_lease_token=F.lit(token), export_lease_expires_at=until, next_export_sequence=F.col("next_export_sequence") + F.col("__more"))
     return leased.select(runs.columns), held.select(sources.columns)
 
 
-def finish_export(runs: DataFrame, run_id: int, now: Column, works: int, digest: str | None, failed: bool = False) -> DataFrame:
-    status = "failed" if failed else "completed" if works else "empty"
-    return set_where(runs, (F.col("id") == run_id) & F.col("status").isin("leased", "writing"), status=F.lit(status), work_count=F.lit(works), archive_hash=F.lit(digest), completed_at=now)
+def _holds_export(run_id: int, token: str) -> Column:
+    return (F.col("id") == run_id) & (F.col("lease_token") == token)
+
+
+def heartbeat_export(runs: DataFrame, sources: DataFrame, run_id: int, token: str, now: Column) -> tuple[DataFrame, DataFrame]:
+    """A run that is held and its source keep their leases longer. Returns runs and sources."""
+    until, held = _after(now, EXPORT_LEASE_SECONDS), _holds_export(run_id, token) & F.col("status").isin("leased", "writing")
+    known = runs.filter(held).select(F.lit(True).alias("__held")).limit(1)
+    marked = sources.join(F.broadcast(known), F.col("export_lease_token") == token, "left")
+    return set_where(runs, held, lease_expires_at=until), set_where(marked, F.col("__held"), export_lease_expires_at=until).select(sources.columns)
+
+
+def begin_writing(runs: DataFrame, run_id: int, token: str) -> DataFrame:
+    return set_where(runs, _holds_export(run_id, token) & (F.col("status") == "leased"), status=F.lit("writing"))
+
+
+def finish_export(runs: DataFrame, sources: DataFrame, run_id: int, token: str, now: Column, works: int = 0, path: str | None = None, digest: str | None = None, size: int | None = None, error: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """A run that the token holds ends: failed with its error, completed with its archive, or empty without works. The source is free again
+    for the next export. Returns runs and sources."""
+    empty = F.lit(None)
+    values = {"status": F.lit("failed" if error is not None else "completed" if works else "empty"), "completed_at": now, "lease_token": empty, "lease_expires_at": empty}
+    if error is not None:
+        values["error_message"] = F.lit(error)
+    else:
+        values["work_count"] = F.lit(works)
+    if works and error is None:
+        values |= {"archive_path": F.lit(path), "archive_hash": F.lit(digest), "archive_bytes": F.lit(size), "verified_at": now}
+    ended = set_where(runs, _holds_export(run_id, token), **{c: v for c, v in values.items() if c in runs.columns})
+    return ended, set_where(sources, F.col("export_lease_token") == token, export_lease_token=empty, export_lease_expires_at=empty)
 
 
 def set_import_status(runs: DataFrame, package_id: str, status: str, now: Column, error: str | None = None) -> DataFrame:

@@ -14,6 +14,13 @@ DEFAULT_PAGE = 25
 MAX_PAGE = 100
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as no column of ``df`` has."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def first_by_key(df: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
     """One row a key: the first in the given order."""
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")

@@ -7,11 +7,9 @@ visible at once: ``publish`` writes them to a folder of their own and then repla
 from __future__ import annotations
 
 import gzip
-import hashlib
 import json
 import os
 import tarfile
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -22,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from ..sources import packages as P
+from ..sources.files import Hashed, file_system
 from . import extract, merge, packages, queue
 from .relational import first_by_key
 
@@ -145,35 +144,37 @@ def archive(spark: SparkSession, folder: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for uri in b.column(0).to_pylist():
-                fs, path = pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
+                fs, path = file_system(uri)
                 files = sorted((f for f in fs.get_file_info(pafs.FileSelector(path)) if f.is_file and not f.base_name.startswith(".")), key=lambda f: f.base_name)
-                with tempfile.TemporaryFile() as tmp:
-                    with gzip.GzipFile(filename="", mode="wb", fileobj=tmp, mtime=0) as packed, tarfile.open(fileobj=packed, mode="w", format=tarfile.PAX_FORMAT) as tar:
+                part = f"{path}.tar.gz.{uuid.uuid4().hex}"
+                with fs.open_output_stream(part) as out:
+                    hashed = Hashed(out)
+                    with gzip.GzipFile(filename="", mode="wb", fileobj=hashed, mtime=0) as packed, tarfile.open(fileobj=packed, mode="w", format=tarfile.PAX_FORMAT) as tar:
                         for f in files:
                             info = tarfile.TarInfo(f"{os.path.basename(path)}/{f.base_name}")
                             info.size, info.mode = f.size, 0o644
                             with fs.open_input_stream(f.path) as source:
                                 tar.addfile(info, source)
-                    size, digest = tmp.tell(), hashlib.sha256()
-                    tmp.seek(0)
-                    part = f"{path}.tar.gz.{uuid.uuid4().hex}"
-                    with fs.open_output_stream(part) as out:
-                        while chunk := tmp.read(1 << 20):
-                            digest.update(chunk)
-                            out.write(chunk)
-                    fs.move(part, f"{path}.tar.gz")
-                yield pa.record_batch([pa.array([target]), pa.array([digest.hexdigest()]), pa.array([size], pa.int64())], names=["path", "sha256", "bytes"])
+                fs.move(part, f"{path}.tar.gz")
+                yield pa.record_batch([pa.array([target]), pa.array([hashed.digest.hexdigest()]), pa.array([hashed.size], pa.int64())], names=["path", "sha256", "bytes"])
 
     return spark.createDataFrame([(folder,)], "folder string").coalesce(1).mapInArrow(work, "path string, sha256 string, bytes long")
 
 
-def export_changes(spark: SparkSession, works: DataFrame, store: dict[str, DataFrame], runs: DataFrame, run_id: int, package_id: str, folder: str, manifest: dict, maximum: int, now: Column) -> tuple[DataFrame, DataFrame]:
-    """Export what has changed since the last export: choose works, write and verify the package, archive it, remember what was exported.
-    works: (id, sourceWorkId, content_hash and the export columns). Returns works and runs; without changes the run is empty and nothing is written."""
-    changed = packages.changed_works(works, maximum).select("id", "sourceWorkId", "content_hash")
+def export_changes(
+    spark: SparkSession, works: DataFrame, store: dict[str, DataFrame], runs: DataFrame, sources: DataFrame, run_id: int, token: str, folder: str, manifest: dict, maximum: int, now: Column,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Export what has changed in a run's source since it was last exported: choose works, write and verify the package, archive it, remember what was exported.
+    The run must be held by ``token``; its lease and its source's end with it. works: (id, source_id, sourceWorkId, content_hash and the export columns). Returns works,
+    runs and sources; without changes the run is empty and nothing is written. An error is the caller's to note, by ``queue.finish_export`` with ``error``."""
+    run = runs.filter((F.col("id") == run_id) & (F.col("lease_token") == token) & F.col("status").isin("leased", "writing")).select("source_id", "package_id").first()
+    if run is None:
+        raise ValueError(f"export run {run_id} is not held by this token")
+    runs = queue.begin_writing(runs, run_id, token)
+    changed = packages.changed_works(works.filter(F.col("source_id") == run["source_id"]), maximum).select("id", "sourceWorkId", "content_hash")
     rows = changed.collect()  # at most 5000 ids
     if not rows:
-        return works, queue.finish_export(runs, run_id, now, 0, None)
+        return works, *queue.finish_export(runs, sources, run_id, token, now)
     picked = spark.createDataFrame(rows, changed.schema)
     sets = {}
     for name, df in store.items():
@@ -185,7 +186,8 @@ def export_changes(spark: SparkSession, works: DataFrame, store: dict[str, DataF
     P.write_package(spark, folder, manifest, sets)
     P.require(P.read_package(spark, folder)[2])
     made = archive(spark, folder).first()
-    return packages.mark_exported(works, picked, package_id, now), queue.finish_export(runs, run_id, now, len(rows), made["sha256"])
+    ended = queue.finish_export(runs, sources, run_id, token, now, len(rows), made["path"], made["sha256"], made["bytes"])
+    return packages.mark_exported(works, picked, run["package_id"], now), *ended
 
 
 def verify_package(spark: SparkSession, folder: str) -> dict[str, int]:
@@ -232,7 +234,7 @@ def put_blobs(pages: DataFrame, root: str, html: str = "html") -> DataFrame:
     once = P.blobs(pages.filter(F.col(html).isNotNull()), html).select("body_hash", "storage_key", "byte_length", "body")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = pafs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (pafs.LocalFileSystem(), root)
+        fs, base = file_system(root)
         for b in batches:
             sizes = []
             for key, body in zip(b.column(1).to_pylist(), b.column(3).to_pylist()):

@@ -300,9 +300,12 @@ def q_stalled_jobs(spark, sf):
     return queue.stalled_jobs(V.jobs(spark, sf), V.tasks(spark, sf), V.sources(spark, sf), V.now())
 
 
-@query("q_reclaim_expired", f"SELECT CASE WHEN status = 'leased' AND lease_expires_at <= {_NOW} THEN 'retryable_failed' ELSE status END AS status, CASE WHEN status = 'leased' AND lease_expires_at <= {_NOW} THEN 'worker_lease_expired' END AS code, count(*) AS n FROM tasks GROUP BY 1, 2", "tasks")
+@query("q_reclaim_expired", f"""
+, x AS (SELECT t.status, t.status = 'leased' AND t.lease_expires_at <= {_NOW} AND j.status IN ('queued', 'running') AS gone FROM tasks t LEFT JOIN jobs j ON j.id = t.job_id)
+SELECT CASE WHEN gone THEN 'retryable_failed' ELSE status END AS status, CASE WHEN gone THEN 'worker_lease_expired' END AS code, CASE WHEN gone THEN 'The worker lease expired before completion.' END AS message, count(*) AS n FROM x GROUP BY 1, 2, 3""", "tasks", "jobs")
 def q_reclaim_expired(spark, sf):
-    return queue.reclaim_expired(V.tasks(spark, sf), V.now()).groupBy("status", F.col("last_error_code").alias("code")).agg(F.count("*").alias("n"))
+    freed = queue.reclaim_expired(V.tasks(spark, sf), V.jobs(spark, sf), V.now())
+    return freed.groupBy("status", F.col("last_error_code").alias("code"), F.col("last_error_message").alias("message")).agg(F.count("*").alias("n"))
 
 
 @query("q_retry_failures", "SELECT CASE WHEN status = 'terminal_failed' THEN 'queued' ELSE status END AS status, sum(CASE WHEN status = 'terminal_failed' THEN 0 ELSE attempts END)::BIGINT AS attempts, count(*) AS n FROM tasks GROUP BY 1", "tasks")

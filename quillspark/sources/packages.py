@@ -6,7 +6,6 @@ violations table; ``require`` turns the first into an error. The three social fi
 
 from __future__ import annotations
 
-import hashlib
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +14,8 @@ from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..operators import integrity
+from .files import folder_digests, listing
+from .lines import scan_lines
 
 # File names of the record sets and their fields (type, whether null is allowed, rule).
 FILES = {
@@ -84,47 +85,34 @@ def _problem(field: str, rule: str, raw: Column, value: Column) -> Column:
     return F.when(message.isNotNull(), F.concat(F.lit(f"{field}: "), message))
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, value): lines of text files, numbered from 1 within their file. A file's last, empty line is none."""
-    whole = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), "([^/]+)$", 1).alias("file"), F.regexp_replace("value", "\n$", "").alias("value"))
-    return whole.filter("value <> ''").select("file", F.posexplode(F.split("value", "\n")).alias("line", "value")).withColumn("line", F.col("line") + 1)
-
-
-def scan_records(spark: SparkSession, path: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """Records of a JSON lines file and its problems (file, line, problem)."""
-    lines = scan_lines(spark, path).withColumn("v", F.try_parse_json("value"))
-    schema = record_schema(name)
-    parsed = lines.withColumn("r", F.from_json("value", schema))
+def checked(lines: DataFrame, name: str) -> DataFrame:
+    """``lines`` with the record that each ``value`` holds (r) and its problems, an empty array if it has none. Batch or stream."""
     problems = F.array_compact(F.array(*[
         _problem(f, rule, F.try_variant_get("v", f"$.{f}", "variant"), F.col(f"r.{f}")) for f, rule in FIELDS[name].items()
     ]))
     broken = F.array(F.lit("not a JSON object"))
+    parsed = lines.withColumns({"v": F.try_parse_json("value"), "r": F.from_json("value", record_schema(name))})
     found = F.when(F.col("v").isNull() | ~F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False)), broken).otherwise(problems)
-    checked = parsed.withColumn("problems", found)
-    violations = checked.select("file", "line", F.explode("problems").alias("problem"))
-    return checked.filter(F.size("problems") == 0).select("r.*"), violations
+    return parsed.withColumn("problems", found).drop("v")
 
 
-def stream_records(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Records of the JSON lines files that arrive in a folder, as a stream; blank lines are skipped."""
-    return spark.readStream.schema(record_schema(name)).option("mode", "DROPMALFORMED").json(folder)
-
-
-EMPTY_DIGEST = hashlib.sha256(b"").hexdigest()
+def scan_records(spark: SparkSession, path: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Records of a JSON lines file, or of all files that ``path`` names, and their problems (file, line, problem). Files are read in splits."""
+    found = checked(scan_lines(spark, path), name)
+    return found.filter(F.size("problems") == 0).select("r.*"), found.select("file", "line", F.explode("problems").alias("problem"))
 
 
-def listing(spark: SparkSession, folder: str) -> dict[str, int]:
-    """Names and sizes of a package's files. Spark's readers pass over empty files, so they are listed by the file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    return {f.getPath().getName(): f.getLen() for f in found if f.isFile()}
+def stream_records(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Records of the JSON lines files that arrive in a folder, and the problems (file, value, problem) of the lines that are none, as streams. Blank
+    lines are skipped; no other is lost."""
+    lines = spark.readStream.option("lineSep", "\n").text(folder).select(F.col("_metadata.file_name").alias("file"), "value")
+    found = checked(lines.filter(F.trim("value", F.lit(" \t\r\x0b\x0c")) != ""), name)
+    return found.filter(F.size("problems") == 0).select("r.*"), found.select("file", "value", F.explode("problems").alias("problem"))
 
 
 def file_digests(spark: SparkSession, folder: str) -> DataFrame:
-    """(name, actual): the SHA-256 of each file of a package."""
-    full = spark.read.format("binaryFile").load(folder).select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), F.sha2("content", 256).alias("actual"))
-    empty = [(name, EMPTY_DIGEST) for name, size in listing(spark, folder).items() if not size]
-    return full.unionByName(spark.createDataFrame(empty, "name string, actual string"))
+    """(name, actual): the SHA-256 of each file of a package, read in chunks."""
+    return folder_digests(spark, folder).select("name", F.col("sha256").alias("actual"))
 
 
 def checksum_violations(spark: SparkSession, folder: str) -> DataFrame:

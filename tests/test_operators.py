@@ -66,7 +66,7 @@ def test_claims(spark):
     done = queue.complete(claimed, 1, "tok", now, "succeeded")
     assert done.filter("id = 1").first()["status"] == "succeeded"
     assert queue.complete(claimed, 1, "other", now, "succeeded").filter("id = 1").first()["status"] == "leased"
-    assert queue.reclaim_expired(tasks, now).filter("id = 2").first()["last_error_code"] == "worker_lease_expired"
+    assert queue.reclaim_expired(tasks, jobs, now).filter("id = 2").first()["last_error_code"] == "worker_lease_expired"
     assert queue.retry_failures(tasks, 3, now).filter("id = 5").first()["attempts"] == 0
     with pytest.raises(ValueError):
         queue.claim_tasks(tasks, jobs, sources, now, "w", "t", 101)
@@ -84,15 +84,6 @@ def test_job_states(spark):
     assert sorted(r["id"] for r in grown.filter("id >= 100").collect()) == [100, 101]
 
 
-def test_export_claim(spark):
-    sources = spark.createDataFrame([(1, None, None, 5)], "id long, export_lease_token string, export_lease_expires_at timestamp, next_export_sequence long")
-    runs = spark.createDataFrame([(1, 1, "a", None, 3, "completed"), (2, 1, "b", None, 4, "completed"), (3, 1, "c", None, None, "queued"), (4, 1, "d", None, None, "queued")], "id long, source_id long, package_id string, previous_package_id string, sequence_number long, status string")
-    leased, held = queue.claim_export(runs, sources, F.lit(NOW), "t")
-    got = leased.filter("status = 'leased'").first()
-    assert (got["id"], got["sequence_number"], got["previous_package_id"]) == (3, 5, "b")
-    assert held.first()["next_export_sequence"] == 6
-
-
 def test_coverage_and_gaps(spark):
     ids = lambda *x: spark.createDataFrame([(str(i),) for i in x], "source_work_id string")
     got = coverage.coverage(ids(1, 2, 2, 50), ids(3, 3), ids(2, 4, "x"), 1, 10).first().asDict()

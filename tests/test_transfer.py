@@ -67,13 +67,17 @@ def test_publish_is_whole(spark, tmp_path):
 def test_export(spark, tmp_path):
     sets = sets_of(spark, [("1", "upsert", "a"), ("2", "upsert", "a")], None, ["t", "u"], [("1", "t", 0)])
     store = transfer.merge_capture(transfer.empty_store(spark), sets)
-    works = store["works"].select(F.col("sourceWorkId").cast("long").alias("id"), "sourceWorkId", F.col("contentHash").alias("content_hash")).withColumns({
+    works = store["works"].select(F.col("sourceWorkId").cast("long").alias("id"), F.lit(7).cast("long").alias("source_id"), "sourceWorkId", F.col("contentHash").alias("content_hash")).withColumns({
         "last_exported_hash": F.when(F.col("sourceWorkId") == "2", F.col("content_hash")), "last_exported_at": F.lit(None).cast("timestamp_ntz"), "last_export_package_id": F.lit(None).cast("string")})
-    runs = spark.createDataFrame([(1, "leased", None, None, None)], "id long, status string, work_count long, archive_hash string, completed_at timestamp_ntz")
+    runs = spark.createDataFrame([(k, 7, "pkg", "leased", "tok", None, None, None) for k in (1, 2)], "id long, source_id long, package_id string, status string, lease_token string, work_count long, archive_hash string, completed_at timestamp_ntz")
+    sources = spark.createDataFrame([(7, "tok", datetime(2025, 3, 4, 6))], "id long, export_lease_token string, export_lease_expires_at timestamp_ntz")
     manifest = {"format": "f", "formatVersion": 1, "packageId": "123e4567-e89b-42d3-a456-426614174000", "packageType": "snapshot", "source": {"key": "s", "origin": "https://a.example"}, "createdAt": "2024-01-01T00:00:00Z", "collectorVersion": "1", "previousPackageId": None}
     folder = f"{tmp_path}/pkg"
-    after, done = transfer.export_changes(spark, works, store, runs, 1, "pkg", folder, manifest, 100, F.lit(AT))
-    run = done.first()
+    after, done, freed = transfer.export_changes(spark, works, store, runs, sources, 1, "tok", folder, manifest, 100, F.lit(AT))
+    run = done.filter("id = 1").first()
+    assert freed.first()["export_lease_token"] is None
+    with pytest.raises(ValueError, match="not held"):
+        transfer.export_changes(spark, works, store, runs, sources, 1, "other", folder, manifest, 100, F.lit(AT))
     data = (tmp_path / "pkg.tar.gz").read_bytes()
     assert (run["status"], run["work_count"], run["archive_hash"]) == ("completed", 1, hashlib.sha256(data).hexdigest())
     names = tarfile.open(fileobj=io.BytesIO(gzip.decompress(data))).getnames()
@@ -81,7 +85,7 @@ def test_export(spark, tmp_path):
     counts = transfer.verify_package(spark, folder)
     assert (counts["works"], counts["tags"], counts["authors"], counts["chapters"]) == (1, 1, 1, 1)
     assert transfer.archive(spark, folder).first()["sha256"] == run["archive_hash"]
-    assert transfer.export_changes(spark, after, store, runs, 1, "pkg", folder, manifest, 100, F.lit(AT))[1].first()["status"] == "empty"
+    assert transfer.export_changes(spark, after, store, runs, sources, 2, "tok", folder, manifest, 100, F.lit(AT))[1].filter("id = 2").first()["status"] == "empty"
 
 
 def test_walk_and_social_records(spark):
