@@ -11,11 +11,14 @@ Options: ``path``; ``pages``: how many one task reads (200); ``settle``.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timezone
 
+import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -113,3 +116,23 @@ class ReplaySource(DataSource):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(ReplaySource)
+
+
+def save_pages(pages: DataFrame, folder: str, work: str = "work_id", html: str = "html") -> DataFrame:
+    """Write each page as ``<id>.html`` of a folder, whole under its name or not at all; a null page is empty. Returns (work_id, bytes). Ids must be fit for file names."""
+    rows = pages.select(F.col(work).cast("string").alias("work_id"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, path = file_system(folder)
+        fs.create_dir(path, recursive=True)
+        for b in batches:
+            sizes = []
+            for name, page in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+                part = f"{path}/.{uuid.uuid4().hex}"
+                with fs.open_output_stream(part) as out:
+                    out.write(page)
+                fs.move(part, f"{path}/{name}{_END}")
+                sizes.append(len(page))
+            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int64())], names=["work_id", "bytes"])
+
+    return rows.mapInArrow(write, "work_id string, bytes long")

@@ -174,7 +174,7 @@ def replay(events: DataFrame, machine, until: int | None = None) -> DataFrame:
         if held is not None and until is not None:
             yield batch(_reclaimed(machine, held, state, until)[1])
 
-    log = events.filter("key is not null").select("key", F.unix_micros("at").alias("at"), "seq", "action", "args")
+    log = events.filter("key is not null").select("key", F.unix_micros(F.col("at").cast("timestamp")).alias("at"), "seq", "action", "args")
     order = ("key", "at", "seq", "action")
     return _times(log.repartition("key").sortWithinPartitions(*order).mapInArrow(work, _schema(machine)), machine)
 

@@ -8,7 +8,7 @@ from urllib.parse import urljoin
 import duckdb
 import pytest
 
-from quillspark.plans import catalog, readers  # noqa: F401 (readers adds its queries)
+from quillspark.plans import catalog, lifecycle, readers  # noqa: F401 (these add their queries)
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
