@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 MAX_WORKS = 5000
 
-# Tags that works must have, and older names of tags.
+# Tags that works must have, and older names of tags by their type.
 REQUIRED_TAGS = {"Rating": "Not Rated", "ArchiveWarning": "Choose Not To Use Archive Warnings", "Fandom": "No Fandom"}
-TAG_ALIASES = {"Creator Chose Not To Use Archive Warnings": "Choose Not To Use Archive Warnings"}
+TAG_ALIASES = {"ArchiveWarning": {"Creator Chose Not To Use Archive Warnings": "Choose Not To Use Archive Warnings"}}
 
 
 def changed_works(works: DataFrame, maximum: int) -> DataFrame:
@@ -48,12 +48,17 @@ def lineage(runs: DataFrame, source: str = "source_id", order: str = "id", packa
     return numbered.withColumn("package_type", F.when(F.col("previous_package_id").isNull(), "snapshot").otherwise("incremental"))
 
 
+def outcome(known: Column, same: Column, hides: Column) -> Column:
+    """What becomes of an incoming row: skipped if what is known has its hash, whatever it asks for; failed if it hides what is not known; hidden, updated or created."""
+    same = F.coalesce(same, F.lit(False))
+    return F.when(known & same, "skipped").when(hides & ~known, "failed").when(hides, "hidden").when(known, "updated").otherwise("created")
+
+
 def diff(old: DataFrame, new: DataFrame, keys: list[str], digest: str, operation: str | None = None) -> DataFrame:
-    """(keys, outcome) for each incoming row: created, updated, skipped (same hash) or hidden."""
+    """(keys, outcome) for each incoming row, by ``outcome``."""
     o = old.select(*keys, F.col(digest).alias("__old"), F.lit(True).alias("__had"))
     hides = F.col(operation) == "hide" if operation else F.lit(False)
-    outcome = F.when(hides, "hidden").when(F.col("__had").isNull(), "created").when(F.col("__old").eqNullSafe(F.col(digest)), "skipped").otherwise("updated")
-    return new.join(o, keys, "left").select(*keys, outcome.alias("outcome"))
+    return new.join(o, keys, "left").select(*keys, outcome(F.col("__had").isNotNull(), F.col("__old").eqNullSafe(F.col(digest)), hides).alias("outcome"))
 
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:
@@ -72,6 +77,17 @@ def import_plan(package: DataFrame, imported: DataFrame) -> DataFrame:
     return joined.withColumn("decision", decision).drop("__own", "__before")
 
 
+def tag_names(works: DataFrame, work_tags: DataFrame, tags: DataFrame, work: str = "sourceWorkId", tag: str = "sourceTagId") -> DataFrame:
+    """(work, type, names) for each type of tag that a work of ``works`` has or must have: names in order of position, older names replaced, and the default where a required
+    type is missing. work_tags: (work, tag, position); tags: (tag, type, name)."""
+    older = [F.when((F.col("type") == kind) & (F.col("name") == was), now) for kind, names in TAG_ALIASES.items() for was, now in names.items()]
+    own = work_tags.join(works.select(work), work, "left_semi").join(tags.select(tag, "type", "name"), tag)
+    held = own.groupBy(work, "type").agg(F.array_sort(F.collect_list(F.struct("position", F.coalesce(*older, F.col("name")).alias("name")))).alias("x")).select(work, "type", F.transform("x", lambda t: t["name"]).alias("names"))
+    must = F.explode(F.array(*[F.struct(F.lit(k).alias("type"), F.array(F.lit(v)).alias("names")) for k, v in REQUIRED_TAGS.items()]))
+    lacking = works.select(work, must.alias("r")).select(work, "r.*").join(held.select(work, "type"), [work, "type"], "left_anti")
+    return held.unionByName(lacking)
+
+
 def bylines(bridge: DataFrame, authors: DataFrame) -> DataFrame:
     """(source_work_id, byline): display names in order; Anonymous if all authors are."""
     rows = bridge.join(authors, "source_author_id").groupBy("source_work_id").agg(

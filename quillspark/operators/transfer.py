@@ -32,17 +32,21 @@ KEYS = {
 }
 
 
+TAG_NAMES = "sourceWorkId string, type string, names array<string>"
+
+
 def empty_store(spark: SparkSession) -> dict[str, DataFrame]:
     sets = {name: spark.createDataFrame([], P.record_schema(name)) for name in P.FILES}
-    return sets | {"works": sets["works"].withColumn("hidden", F.lit(False))}
+    return sets | {"works": sets["works"].withColumn("hidden", F.lit(False)), "tagNames": spark.createDataFrame([], TAG_NAMES)}
 
 
-def merge_capture(store: dict[str, DataFrame], sets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def merge_capture(store: dict[str, DataFrame], sets: dict[str, DataFrame], unhide: bool = True) -> dict[str, DataFrame]:
     """All merges of one capture, or of a package's records, together: works, authors, tags, series, comments and bookmarks
     follow the new rows, chapters lose those that are gone, a work's authors and tags are replaced, series places are added or moved, an
-    observation of the same instant has its availability and status overwritten, kudos stay as they were first seen."""
+    observation of the same instant has its availability and status overwritten, kudos stay as they were first seen. ``unhide``: whether a hidden work that is seen again is
+    shown."""
     seen = sets["works"].withColumn("hidden", F.col("operation") == "hide")
-    new = dict(store) | {"works": merge.merge(store["works"], seen, ["sourceWorkId"])}
+    new = dict(store) | {"works": merge.merge(store["works"], seen, ["sourceWorkId"], {} if unhide else {"hidden": "keep"})}
     for name in ("authors", "tags", "series", "comments", "bookmarks"):
         new[name] = merge.merge(store[name], sets[name], KEYS[name])
     new["chapters"] = merge.reconcile(store["chapters"], sets["chapters"], ["sourceWorkId"], KEYS["chapters"])
@@ -63,12 +67,21 @@ def import_outcomes(works: DataFrame, sets: dict[str, DataFrame]) -> DataFrame:
     lost = [sets[b].join(sets[e].select(k), k, "left_anti").select("sourceWorkId") for b, e, k in (("workTags", "tags", "sourceTagId"), ("workAuthors", "authors", "sourceAuthorId"))]
     lost = lost[0].unionByName(lost[1]).distinct().withColumn("lost", F.lit(True))
     joined = sets["works"].join(had, "sourceWorkId", "left").join(whole, "sourceWorkId", "left").join(lost, "sourceWorkId", "left")
-    hide, known = F.col("operation") == "hide", F.col("had").isNotNull()
-    outcome = (
-        F.when(known & F.col("old").eqNullSafe(F.col("contentHash")), "skipped").when(hide & ~known, "failed").when(hide, "hidden")
-        .when(F.col("whole").isNull() | F.col("lost").isNotNull(), "failed").when(known, "updated").otherwise("created")
-    )
-    return joined.select("sourceWorkId", outcome.alias("outcome"))
+    told = packages.outcome(F.col("had").isNotNull(), F.col("old").eqNullSafe(F.col("contentHash")), F.col("operation") == "hide")
+    broken = told.isin("created", "updated") & (F.col("whole").isNull() | F.col("lost").isNotNull())
+    return joined.select("sourceWorkId", F.when(broken, "failed").otherwise(told).alias("outcome"))
+
+
+def series_problems(works: DataFrame, sets: dict[str, DataFrame], dry_run: bool = False) -> DataFrame:
+    """(sourceSeriesId, problem) of a package's series that can't be imported: without works in the package, or, unless it is a dry run, with works that are not in
+    ``works`` (sourceWorkId) once the package's have been imported."""
+    own = sets["series"].select("sourceSeriesId")
+    places = sets["seriesWorks"].select("sourceSeriesId", "sourceWorkId")
+    found = own.join(places, "sourceSeriesId", "left_anti").select("sourceSeriesId", F.concat(F.lit("Series "), "sourceSeriesId", F.lit(" has no works in the package")).alias("problem"))
+    if dry_run:
+        return found
+    strange = places.join(own, "sourceSeriesId", "left_semi").join(works.select("sourceWorkId"), "sourceWorkId", "left_anti").groupBy("sourceSeriesId").agg(F.min("sourceWorkId").alias("w"))
+    return found.unionByName(strange.select("sourceSeriesId", F.concat(F.lit("Series "), "sourceSeriesId", F.lit(" has a work that was not imported: "), "w").alias("problem")))
 
 
 def apply_import(store: dict[str, DataFrame], sets: dict[str, DataFrame], runs: DataFrame, package_id: str, previous_id: str | None, now: Column, dry_run: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -76,7 +89,9 @@ def apply_import(store: dict[str, DataFrame], sets: dict[str, DataFrame], runs:
     works_failed, completed_at) with this one.
 
     A package that was imported whole changes nothing; one whose predecessor was not is an error. Works that fail are
-    counted and left out, the others follow the package: status partial or completed. A dry run only counts: status verified.
+    counted and left out, the others follow the package: status partial or completed. A hidden work stays hidden, whatever comes. A series has the works that the package names and
+    no others; the first series, by id, that can't be imported ends the import: it and those after it stay as they were, the status is failed, and the
+    problem is in ``error_message``, if runs have that column. A dry run only counts: status verified, or failed.
     """
     spark = runs.sparkSession
     asked = spark.createDataFrame([(package_id, previous_id)], "package_id string, previous_package_id string")
@@ -92,16 +107,24 @@ def apply_import(store: dict[str, DataFrame], sets: dict[str, DataFrame], runs:
         F.count_if(o == "created").alias("works_created"), F.count_if(o.isin("updated", "hidden")).alias("works_updated"),
         F.count_if(o == "skipped").alias("works_skipped"), F.count_if(o == "failed").alias("works_failed"),
     )
-    status = F.lit("verified") if dry_run else F.when(F.col("works_failed") == 0, "completed").otherwise("partial")
-    run = counts.withColumns({"package_id": F.lit(package_id), "status": status, "completed_at": now})
+    taken = outcomes.filter(o.isin("created", "updated")).select("sourceWorkId")
+    after = store["works"].select("sourceWorkId").unionByName(taken)
+    problem = series_problems(after, sets, dry_run).orderBy("sourceSeriesId", "problem").first()
+    good = F.lit("verified") if dry_run else F.when(F.col("works_failed") == 0, "completed").otherwise("partial")
+    run = counts.withColumns({"package_id": F.lit(package_id), "status": good if problem is None else F.lit("failed"), "completed_at": now, "error_message": F.lit(problem and problem["problem"])})
     kinds = dict(runs.dtypes)
     grown = runs.filter(F.col("package_id") != package_id).unionByName(run.select(*[F.col(c).cast(kinds[c]).alias(c) for c in runs.columns]))
     if dry_run:
         return store, grown
-    taken = outcomes.filter(o.isin("created", "updated")).select("sourceWorkId")
     hidden = outcomes.filter("outcome = 'hidden'").select("sourceWorkId")
     part = {name: df.join(taken, "sourceWorkId", "left_semi") if "sourceWorkId" in df.columns else df for name, df in sets.items()}
-    new = merge_capture(store, part)
+    fits = F.lit(True) if problem is None else F.col("sourceSeriesId") < problem["sourceSeriesId"]
+    part["series"] = sets["series"].filter(fits)
+    part["seriesWorks"] = sets["seriesWorks"].join(part["series"].select("sourceSeriesId"), "sourceSeriesId", "left_semi")
+    new = merge_capture(store, part, unhide=False)
+    new["seriesWorks"] = merge.replace_set(store["seriesWorks"], first_by_key(part["seriesWorks"], KEYS["seriesWorks"], "position"), ["sourceSeriesId"])
+    if "tagNames" in store:
+        new["tagNames"] = merge.replace_set(store["tagNames"], packages.tag_names(taken, part["workTags"], sets["tags"]), ["sourceWorkId"])
     # a hidden work keeps its content; only its hash is what the package says
     gone = sets["works"].join(hidden, "sourceWorkId", "left_semi").select("sourceWorkId", F.col("contentHash").alias("__hash"))
     marked = new["works"].join(gone, "sourceWorkId", "left")

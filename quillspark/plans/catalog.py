@@ -356,13 +356,13 @@ def _two_sides(spark, sf):
 _SIDES = "o AS (SELECT source_work_id, id, title, CASE WHEN words > 1000 THEN 'sha256:old' ELSE content_hash END AS content_hash FROM works WHERE language <> 'fr'), n AS (SELECT source_work_id, id, title, content_hash, CASE WHEN words < 100 THEN 'hide' ELSE 'upsert' END AS operation FROM works WHERE language <> 'de')"
 
 
-@query("q_incremental_diff", f", {_SIDES} SELECT n.source_work_id, CASE WHEN operation = 'hide' THEN 'hidden' WHEN o.id IS NULL THEN 'created' WHEN o.content_hash = n.content_hash THEN 'skipped' ELSE 'updated' END AS outcome FROM n LEFT JOIN o ON n.source_work_id = o.source_work_id", "works")
+@query("q_incremental_diff", f", {_SIDES} SELECT n.source_work_id, CASE WHEN o.content_hash = n.content_hash THEN 'skipped' WHEN operation = 'hide' AND o.id IS NULL THEN 'failed' WHEN operation = 'hide' THEN 'hidden' WHEN o.id IS NULL THEN 'created' ELSE 'updated' END AS outcome FROM n LEFT JOIN o ON n.source_work_id = o.source_work_id", "works")
 def q_incremental_diff(spark, sf):
     old, new = _two_sides(spark, sf)
     return packages.diff(old, new, ["source_work_id"], "content_hash", "operation")
 
 
-@query("q_import_outcomes", f", {_SIDES}, d AS (SELECT CASE WHEN operation = 'hide' THEN 'hidden' WHEN o.id IS NULL THEN 'created' WHEN o.content_hash = n.content_hash THEN 'skipped' ELSE 'updated' END AS outcome FROM n LEFT JOIN o ON n.source_work_id = o.source_work_id) SELECT count(*) FILTER (outcome = 'created') AS created, count(*) FILTER (outcome = 'updated') AS updated, count(*) FILTER (outcome = 'skipped') AS skipped, count(*) FILTER (outcome = 'hidden') AS hidden, count(*) FILTER (outcome = 'failed') AS failed FROM d", "works")
+@query("q_import_outcomes", f", {_SIDES}, d AS (SELECT CASE WHEN o.content_hash = n.content_hash THEN 'skipped' WHEN operation = 'hide' AND o.id IS NULL THEN 'failed' WHEN operation = 'hide' THEN 'hidden' WHEN o.id IS NULL THEN 'created' ELSE 'updated' END AS outcome FROM n LEFT JOIN o ON n.source_work_id = o.source_work_id) SELECT count(*) FILTER (outcome = 'created') AS created, count(*) FILTER (outcome = 'updated') AS updated, count(*) FILTER (outcome = 'skipped') AS skipped, count(*) FILTER (outcome = 'hidden') AS hidden, count(*) FILTER (outcome = 'failed') AS failed FROM d", "works")
 def q_import_outcomes(spark, sf):
     return packages.outcome_counts(q_incremental_diff(spark, sf))
 

@@ -54,6 +54,61 @@ def test_import(spark):
     assert runs.filter("package_id = 'p2'").first()["works_updated"] == 1
 
 
+SERIES = {"series": "sourceSeriesId string, name string, sourceUrl string, summaryHtml string, complete boolean", "seriesWorks": "sourceSeriesId string, sourceWorkId string, position long"}
+
+
+def with_series(spark, sets, series):
+    """``sets`` with series: a dict from ids to their works in order."""
+    rows = [(s, w, k) for s, own in series.items() for k, w in enumerate(own, 1)]
+    return sets | {"series": spark.createDataFrame([(s, f"S{s}", f"https://a.example/series/{s}", "", None) for s in series], SERIES["series"]), "seriesWorks": spark.createDataFrame(rows, SERIES["seriesWorks"])}
+
+
+def test_import_keeps_hidden_works_and_replaces_series(spark):
+    def load(store, runs, package, before, works, series):
+        store, runs = transfer.apply_import(store, with_series(spark, sets_of(spark, works), series), runs, package, before, F.lit(AT))
+        store = {k: spark.createDataFrame(v.collect(), v.schema) for k, v in store.items()}
+        return store, spark.createDataFrame(runs.collect(), runs.schema)
+
+    def places(store):
+        return sorted((r["sourceSeriesId"], r["sourceWorkId"], r["position"]) for r in store["seriesWorks"].collect())
+
+    def state(runs, package):
+        return tuple(runs.filter(F.col("package_id") == package).select("status", "error_message").first())
+
+    store, runs = transfer.empty_store(spark), spark.createDataFrame([], RUNS + ", error_message string")
+    store, runs = load(store, runs, "p1", None, [(k, "upsert", "a") for k in "123"], {"s": ["1", "2", "3"], "t": ["3"]})
+    assert state(runs, "p1") == ("completed", None) and places(store) == [("s", "1", 1), ("s", "2", 2), ("s", "3", 3), ("t", "3", 1)]
+    store, runs = load(store, runs, "p2", "p1", [("2", "hide", "b")], {})
+    store, runs = load(store, runs, "p3", "p2", [("2", "upsert", "c"), ("1", "upsert", "c")], {"s": ["3", "1"]})
+    assert {r["sourceWorkId"]: r["hidden"] for r in store["works"].collect()} == {"1": False, "2": True, "3": False}
+    assert places(store) == [("s", "1", 2), ("s", "3", 1), ("t", "3", 1)]  # s lost 2, t was not named
+    # u has no works, v names a work that nobody knows: nothing from u on is imported, works and series before it are
+    failed = with_series(spark, sets_of(spark, [("4", "upsert", "a")]), {"r": ["4"], "u": [], "v": ["9"], "w": ["4"]})
+    dry, tried = transfer.apply_import(store, failed, runs, "p4", "p3", F.lit(AT), dry_run=True)
+    assert state(tried, "p4") == ("failed", "Series u has no works in the package") and dry is store
+    new, grown = transfer.apply_import(store, failed, runs, "p4", "p3", F.lit(AT))
+    assert state(grown, "p4") == ("failed", "Series u has no works in the package")
+    assert {r["sourceSeriesId"] for r in new["series"].collect()} == {"r", "s", "t"} and ("r", "4", 1) in places(new)
+    strange = with_series(spark, sets_of(spark, [("4", "upsert", "a")]), {"v": ["4", "9"]})
+    assert state(transfer.apply_import(store, strange, runs, "p4", "p3", F.lit(AT))[1], "p4") == ("failed", "Series v has a work that was not imported: 9")
+    assert state(transfer.apply_import(store, strange, runs, "p4", "p3", F.lit(AT), dry_run=True)[1], "p4") == ("verified", None)
+    with pytest.raises(ValueError, match="comes first"):  # a failed import is no predecessor
+        transfer.apply_import(store, strange, grown, "p5", "p4", F.lit(AT))
+
+
+def test_import_gives_works_their_required_tags(spark):
+    sets = sets_of(spark, [("1", "upsert", "a"), ("2", "upsert", "a")], None, ["Z", "A"], [("1", "Z", 0), ("1", "A", 1), ("1", "w", 2), ("1", "f", 3)])
+    more = spark.createDataFrame([("w", "ArchiveWarning", "Creator Chose Not To Use Archive Warnings", None, None), ("f", "Freeform", "Creator Chose Not To Use Archive Warnings", None, None)], P.record_schema("tags"))
+    sets["tags"] = sets["tags"].unionByName(more)
+    store, _ = transfer.apply_import(transfer.empty_store(spark), sets, spark.createDataFrame([], RUNS), "p1", None, F.lit(AT))
+    got = {(r["sourceWorkId"], r["type"]): r["names"] for r in store["tagNames"].collect()}
+    plain = ["Choose Not To Use Archive Warnings"]
+    assert got == {
+        ("1", "Fandom"): ["Z", "A"], ("1", "ArchiveWarning"): plain, ("1", "Freeform"): ["Creator Chose Not To Use Archive Warnings"], ("1", "Rating"): ["Not Rated"],
+        ("2", "Fandom"): ["No Fandom"], ("2", "ArchiveWarning"): plain, ("2", "Rating"): ["Not Rated"],
+    }
+
+
 def test_publish_is_whole(spark, tmp_path):
     folder = f"file://{tmp_path}/store"
     one = {"a": spark.range(3), "b": spark.range(1)}
