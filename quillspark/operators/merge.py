@@ -17,25 +17,26 @@ from .relational import first_by_key, lowest_place
 Policy = Literal["new", "keep", "fill"]
 
 
-def merge(old: DataFrame, new: DataFrame, keys: Sequence[str], policy: Mapping[str, Policy | Column] | None = None, default: Policy = "new") -> DataFrame:
-    """Rows of both sides by key; where both have it each column follows its policy. Columns that only one
-    side has are null or kept for the other. New keys must be unique."""
+def merged_columns(old: DataFrame, new: DataFrame, keys: Sequence[str], policy: Mapping[str, Policy | Column] | None = None, default: Policy = "new") -> list[Column]:
+    """The columns of ``old`` after a merge, over rows (__o, __n): the structs of both sides' columns, null where a side lacks the key."""
     policy = policy or {}
-    o = old.select(F.struct(*old.columns).alias("__o"), *keys)
-    n = new.select(F.struct(*new.columns).alias("__n"), *keys)
-    joined = o.join(n, list(keys), "full")
     only_old, only_new = F.col("__n").isNull(), F.col("__o").isNull()
     columns = []
     for f in old.schema.fields:
-        if f.name in keys:
-            columns.append(F.col(f.name))
-            continue
         had = F.col(f"__o.{f.name}")
         comes = F.col(f"__n.{f.name}").cast(f.dataType) if f.name in new.columns else F.lit(None).cast(f.dataType)
-        rule = policy.get(f.name, default if f.name in new.columns else "keep")
+        rule = "keep" if f.name in keys else policy.get(f.name, default if f.name in new.columns else "keep")
         both = rule if isinstance(rule, Column) else {"new": comes, "keep": had, "fill": F.coalesce(comes, had)}[rule]
         columns.append(F.when(only_old, had).when(only_new, comes).otherwise(both).alias(f.name))
-    return joined.select(*columns).select(old.columns)
+    return columns
+
+
+def merge(old: DataFrame, new: DataFrame, keys: Sequence[str], policy: Mapping[str, Policy | Column] | None = None, default: Policy = "new") -> DataFrame:
+    """Rows of both sides by key; where both have it each column follows its policy. Columns that only one
+    side has are null or kept for the other. New keys must be unique."""
+    o = old.select(F.struct(*old.columns).alias("__o"), *keys)
+    n = new.select(F.struct(*new.columns).alias("__n"), *keys)
+    return o.join(n, list(keys), "full").select(*merged_columns(old, new, keys, policy, default))
 
 
 def replace_set(old: DataFrame, new: DataFrame, owner: Sequence[str]) -> DataFrame:

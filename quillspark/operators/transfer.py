@@ -1,13 +1,12 @@
 """Captures, imports and exports applied whole: functions from a store's record sets to new ones, and their publication.
 
-A store is a dict of record sets as in packages, works with the column ``hidden`` besides. A set of new tables becomes
-visible at once: ``publish`` writes them to a folder of their own and then replaces the file that names it.
+A store is a dict of record sets as in packages, works with the column ``hidden`` besides, and the names of each work's tags. A set of new tables becomes
+visible at once: ``publish`` writes them as the next version of a folder.
 """
 
 from __future__ import annotations
 
 import gzip
-import json
 import os
 import tarfile
 import uuid
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 from ..sources import packages as P
 from ..sources.files import Hashed, file_system
-from . import extract, merge, packages, queue
+from . import extract, merge, packages, publication, queue
 from .relational import first_by_key
 
 #: Which work column the rows of a set belong to a work by, and the key of each row.
@@ -133,30 +132,15 @@ def apply_import(store: dict[str, DataFrame], sets: dict[str, DataFrame], runs:
     return new, grown
 
 
-def publish(spark: SparkSession, folder: str, tables: dict[str, DataFrame]) -> str:
-    """Write tables as one version of a folder; readers find all of them or those before. Returns the version."""
-    version = uuid.uuid4().hex
-    for name, df in tables.items():
-        df.write.parquet(f"{folder}/{version}/{name}")
-    fs = spark._jvm.org.apache.hadoop.fs
-    root = fs.Path(folder)
-    disk = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    part, current = fs.Path(root, f".current-{version}"), fs.Path(root, "current.json")
-    out = disk.create(part, True)
-    out.write(bytearray(json.dumps({"version": version, "tables": sorted(tables)}).encode()))
-    out.close()
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(root.toUri(), spark._jsc.hadoopConfiguration())
-    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
-    names = spark.sparkContext._gateway.new_array(options, 1)
-    names[0] = options.OVERWRITE
-    context.rename(disk.makeQualified(part), disk.makeQualified(current), names)
-    return version
-
-
-def load_store(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    found = spark.read.text(f"{folder}/current.json", wholetext=True).first()
-    now = json.loads(found[0])
-    return {name: spark.read.parquet(f"{folder}/{now['version']}/{name}") for name in now["tables"]}
+def publish(spark: SparkSession, folder: str, tables: dict[str, DataFrame], base: int | None = None) -> int:
+    """Write tables as the next version of a folder; readers find all of them or those before. ``base``: the version that they were made from (None: the last one); if
+    another has been published since, it is a ``publication.Conflict``. Returns the new version's number."""
+    return publication.publish_version(spark, folder, (publication.versions(spark, folder) or [0])[-1] if base is None else base, tables)
+
+
+def load_store(spark: SparkSession, folder: str, number: int | None = None) -> dict[str, DataFrame]:
+    """The tables of a version (None: the last)."""
+    return publication.read_version(spark, folder, number)[1]
 
 
 def archive(spark: SparkSession, folder: str) -> DataFrame:
