@@ -9,8 +9,8 @@ all pairs within DISTANCE meet in a key, and others often do: a pair right at 0.
 right at 0.8 exceeds with a probability of about one in a million), and then by their full sets, in whole numbers.
 
 Equal sets are one node from the start. A key's nodes are compared with its pivot, the node of smallest number, and merged by the distributed
-union-find; then those that are still in different components are compared with each other in blocks, within the join. A crowded key is neither
-cut off nor expanded in one task.
+union-find, and then with two more pivots where they still are in different components. Those that are still apart after that are compared with each other in blocks, within the
+join, which only lets pairs out that are alike by 32 bits of each shingle. A crowded key is neither cut off nor expanded in one task.
 
 Edge cases: a text of fewer words than a shingle has is one shingle; null texts and texts without words have an empty set and are linked with nothing. Rows
 that repeat a doc_id are judged each, linked by their sets alone. Rows with a null doc_id belong to a component but never name it; where no other row has
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, join_counted, table
 from .components import components
-from .simhash import in_blocks, merged, met_by, open_members, shared_bytes, shingle_hashes, shingle_sets
+from .simhash import merged, met_by, open_members, shared_bytes, shingle_hashes, shingle_sets
 
 SEED = 42
 SLOTS = 48
@@ -44,6 +44,9 @@ WORDS = [f"w{k}" for k in range(SLOTS // 8)]
 #: Shingles hashed at a time, so that a very long text takes no more memory than its hashes.
 STRETCH = 1 << 13
 
+#: Orders by which a key's further pivots are chosen, after the one of smallest number.
+ROUNDS = [lambda: -F.col("node"), lambda: F.xxhash64("node")]
+
 _RANDOM = random.Random(SEED)
 _FACTORS = np.array([_RANDOM.getrandbits(64) | 1 for _ in range(SLOTS)], np.uint64)
 _FINISH = np.uint64(0x9E3779B97F4A7C15)
@@ -103,30 +106,63 @@ def _alike(x: Column, y: Column, percent: int) -> Column:
     return both * 100 >= (F.size(x) + F.size(y) - both) * percent
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose full shingle sets are alike."""
-    asked = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", F.col("id").alias("i"), F.col("th").alias("t"))
-    own = texts.join(asked, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))).select("node", "text")
-    sets = cut(shingle_sets(own, "text", width).dropDuplicates(["node"]), "minhash-sets")
+def _verified(pairs: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose full shingle sets are alike; marks: (node, x), x as ``_may`` takes it; sets: (node, shingles)."""
+    near = pairs.join(marks.select(F.col("node").alias("a"), F.col("x").alias("p")), "a").join(marks.select(F.col("node").alias("b"), F.col("x").alias("q")), "b")
+    near = cut(near.filter(_may("p", "q", percent)).select("a", "b"), "minhash-pairs")
     x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return cut(pairs.join(x, "a").join(y, "b").filter(_alike(F.col("x"), F.col("y"), percent)).select("a", "b"), "minhash-links")
+    return cut(near.join(x, "a").join(y, "b").filter(_alike(F.col("x"), F.col("y"), percent)).select("a", "b"), "minhash-links")
+
+
+def _with_roots(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, root): the members of each key and the root of the component that they are in so far."""
+    return met.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+
+
+def _apart(met: DataFrame, roots: DataFrame, order: Column) -> DataFrame:
+    """(a, b): each member of a key, and the one that is first in ``order``, where they are in different components."""
+    own = _with_roots(met, roots)
+    first = own.groupBy("key").agg(F.min_by(F.struct("node", "root"), order).alias("first"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key", "first")
+    return own.join(first, "key").filter("root <> first.root").select(F.col("node").alias("a"), F.col("first.node").alias("b")).distinct()
+
+
+def _in_blocks(met: DataFrame, roots: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Pairs (a, b) of members of one key that are in different components and look alike by 32 bits of each shingle, which is looked at within the
+    join, so that no others leave it; None if there are no such keys. One side is dealt out in blocks, the other goes to all of them, and a pair is compared in the first of the
+    keys that it shares."""
+    own, open_ = open_members(met, roots)
+    if open_.isEmpty():
+        return None
+    own = cut(own.join(open_, "key"), "minhash-open")
+    all_ = own.groupBy("node").agg(F.collect_set("key").alias("keys"))  # SLOTS at most
+    short = F.transform("shingles", lambda h: F.shiftright(h, 32).cast("int"))
+    known = cut(all_.join(marks, "node").join(sets.select("node", short.alias("short")), "node").select("node", F.struct("x.*", "keys", "short").alias("x")), "minhash-members")
+    left = own.join(known, "node")
+    member = F.struct("node", "root", F.col("x"))
+    p = left.select("key", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), member.alias("p"))
+    q = left.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), member.alias("q"))
+    once = F.array_min(F.array_intersect("p.x.keys", "q.x.keys")) == F.col("key")
+    like = (F.col("p.root") < F.col("q.root")) & _may("p.x", "q.x", percent) & once & _alike(F.col("p.x.short"), F.col("q.x.short"), percent - 1)  # one less, as hashes of 32 bits may clash
+    return p.join(q, ["key", "block"]).filter(like).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
 
 def alike_nodes(nodes: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """(node, root) of nodes that are linked to smaller ones. nodes: (node, size, w0, w1, ..., id, th), sets distinct; texts: (id, th, text)."""
     met = met_by(postings(nodes), "minhash-postings")
+    asked = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("id").alias("i"), F.col("th").alias("t"))
+    own = texts.join(asked, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))).select("node", "text")
+    sets = cut(shingle_sets(own, "text", width).dropDuplicates(["node"]), "minhash-sets")
     marks = nodes.select("node", F.struct("size", *WORDS).alias("x"))
     pairs = met.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    near = pairs.join(marks.select(F.col("node").alias("a"), F.col("x").alias("p")), "a").join(marks.select(F.col("node").alias("b"), F.col("x").alias("q")), "b")
-    pairs = cut(near.filter(_may("p", "q", percent)).select("a", "b"), "minhash-pairs")
-    roots = components(_verified(pairs, nodes, texts, percent, width))
-    own, open_ = open_members(met, roots)
-    if open_.isEmpty():
-        return roots
-    # pairs that may be alike are found within the join; only their texts are asked for
-    left = own.join(open_, "key").join(marks, "node")
-    more = cut(in_blocks(left, _may("p.x", "q.x", percent)), "minhash-pairs")
-    return merged(roots, _verified(more, nodes, texts, percent, width))
+    links = _verified(pairs, marks, sets, percent)
+    roots = components(links)
+    for order in ROUNDS:
+        more = _verified(_apart(met, roots, order()), marks, sets, percent)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = components(links)
+    more = _in_blocks(met, roots, marks, sets, percent)
+    return roots if more is None else merged(roots, _verified(more, marks, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
