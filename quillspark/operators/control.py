@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..sources.packages import raw_pages
 from . import extract, queue
-from .coverage import MAX_TAG_PENDING, PENDING, filter_uncollected
+from .coverage import BATCHES_AHEAD, MAX_TAG_PENDING, PENDING, filter_uncollected, find_gaps, next_cursor
 
 #: Most ids that one planning request may span.
 MAX_RANGE = 10_000_000
@@ -21,6 +21,8 @@ DIAGNOSTIC_JOBS = 100
 DIAGNOSTIC_FAILURES = 100
 DIAGNOSTIC_EVENTS = 200
 DEFAULT_BATCH = 250
+#: What a source without a configuration of automatic filling has.
+AUTO_FILL = {"enabled": False, "frontier_start": 1, "batch_size": 200}
 
 # Codes of errors that pass by themselves.
 TRANSIENT_CODES = ("ER_LOCK_DEADLOCK", "ER_LOCK_WAIT_TIMEOUT", "1213", "1205", "PROTOCOL_CONNECTION_LOST", "ECONNRESET", "ETIMEDOUT", "ER_QUERY_INTERRUPTED", "ER_SERVER_SHUTDOWN")
@@ -119,6 +121,43 @@ def tag_fill(subscriptions: DataFrame, jobs: DataFrame, tasks: DataFrame, subscr
     return record_run(subscriptions, subscription_id, own["next_page"] + 1, job_id, now), jobs, tasks
 
 
+def update_auto_fill(configs: DataFrame, source_id: int, now: Column, enabled: bool | None = None, frontier: int | None = None, batch: int | None = None) -> DataFrame:
+    """Change a source's configuration of automatic filling (source_id, enabled, frontier_start, batch_size, last_job_id, last_run_at, updated_at); what is not given stays, or has its
+    default where the source has none yet."""
+    given = {k: F.lit(v) for k, v in (("enabled", enabled), ("frontier_start", frontier), ("batch_size", batch)) if v is not None}
+    changed = queue.set_where(configs, F.col("source_id") == source_id, **given, updated_at=now)
+    new = _one(configs, **({k: F.lit(v) for k, v in AUTO_FILL.items()} | given | {"source_id": F.lit(source_id), "updated_at": now}))
+    return changed.unionByName(new.join(configs.select("source_id"), "source_id", "left_anti").select(configs.columns))
+
+
+def auto_fill(sources: DataFrame, configs: DataFrame, jobs: DataFrame, tasks: DataFrame, handled: DataFrame, job_id: int, first_task: int, now: Column) -> tuple[DataFrame, DataFrame, DataFrame, str]:
+    """One run of automatic filling for the source of lowest id. handled: (id), what need not be asked for again. Returns configurations, jobs, tasks and what was
+    done: no_source, paused, disabled, busy (the last job still runs), full (more tasks wait than BATCHES_AHEAD batches), moved (no gap as far as it looked: the frontier
+    moves on) or created (a job of the first gaps; the frontier moves on if the whole stretch was looked at)."""
+    source = sources.orderBy("id").select("id", "paused").first()
+    if source is None or source["paused"]:
+        return configs, jobs, tasks, "paused" if source else "no_source"
+    own = configs.filter(F.col("source_id") == source["id"]).first()
+    config = AUTO_FILL | ({k: own[k] for k in (*AUTO_FILL, "last_job_id")} if own else {"last_job_id": None})
+    if not config["enabled"]:
+        return configs, jobs, tasks, "disabled"
+    if config["last_job_id"] is not None and not jobs.filter((F.col("id") == config["last_job_id"]) & F.col("status").isin("queued", "running")).isEmpty():
+        return configs, jobs, tasks, "busy"
+    of_source = jobs.filter(F.col("source_id") == source["id"]).select(F.col("id").alias("job_id"))
+    if tasks.filter(F.col("status").isin(*PENDING)).join(of_source, "job_id", "left_semi").count() > BATCHES_AHEAD * config["batch_size"]:
+        return configs, jobs, tasks, "full"
+    begin, batch = config["frontier_start"], config["batch_size"]
+    end = begin + 100 * batch
+    gaps = sorted(r["id"] for r in find_gaps(jobs.sparkSession, handled, begin, end, batch).collect())  # a batch at most
+    found = jobs.sparkSession.createDataFrame([(i,) for i in gaps], "id long")
+    ahead = next_cursor(found, begin, end, batch).first()["next_cursor"]
+    if not gaps:
+        return update_auto_fill(configs, source["id"], now, frontier=end if ahead is None else ahead), jobs, tasks, "moved"
+    jobs, tasks = create_ids_job(jobs, tasks, job_id, source["id"], found.select(F.col("id").cast("string").alias("source_work_id")), first_task, now)
+    moved = {} if ahead is None else {"frontier_start": F.lit(ahead)}
+    return queue.set_where(configs, F.col("source_id") == source["id"], last_job_id=F.lit(job_id), last_run_at=now, updated_at=now, **moved), jobs, tasks, "created"
+
+
 def read_settings(spark: SparkSession, path: str, timezone: str = "UTC") -> DataFrame:
     """One row (backup_retention_days, default_batch_size, timezone) of a JSON file; what is missing, of another kind or cannot be read is its default."""
     found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PENDING = ("queued", "leased", "retryable_failed")
 #: Auto-fill stops queueing beyond this many pending tasks for a batch, and tag subscriptions beyond this many.
 BATCHES_AHEAD = 2
 MAX_TAG_PENDING = 400
+#: Ids of a range are looked at in stretches of two to the power of this.
+SPAN_BITS = 20
 
 
 def _numbers(df: DataFrame, column: str, start: int, end: int) -> DataFrame:
@@ -59,13 +61,44 @@ def filter_uncollected(ids: DataFrame, works: DataFrame, not_found: DataFrame, q
     return ids.join(known, column, "left_anti")
 
 
-def may_fill(pending: int, batch: int, last_job_active: bool) -> bool:
-    """Whether auto-fill queues another batch."""
-    return not last_job_active and pending <= BATCHES_AHEAD * batch
+def _buckets(df: DataFrame, column: str, start: int, end: int) -> DataFrame:
+    """(b, first, last): runs of consecutive ids within each stretch of 2 ** SPAN_BITS ids."""
+    ids = _numbers(df, column, start, end).distinct().withColumn("b", F.shiftright("id", SPAN_BITS))
+    place = F.col("id") - F.row_number().over(Window.partitionBy("b").orderBy("id"))
+    return ids.withColumn("run", place).groupBy("b", "run").agg(F.min("id").alias("first"), F.max("id").alias("last")).drop("run")
 
 
-def auto_fill(spark: SparkSession, handled: DataFrame, frontier: int, batch: int) -> tuple[DataFrame, int]:
-    """Gaps to queue from the frontier on and the frontier to keep: it moves on only where there is no gap."""
-    end = frontier + 100 * batch
-    gaps = find_gaps(spark, handled, frontier, end, batch).cache()
-    return gaps, frontier if not gaps.isEmpty() else end + 1
+def _joined(runs: DataFrame, start: int, end: int) -> DataFrame:
+    """(first, last): runs that touch across the borders of stretches as one. Only runs at a border, two a stretch at most, are looked at in one place."""
+    low, high = F.greatest(F.shiftleft("b", SPAN_BITS), F.lit(start)), F.least(F.shiftleft(F.col("b") + 1, SPAN_BITS) - 1, F.lit(end))
+    marked = runs.withColumn("border", (F.col("first") == low) | (F.col("last") == high))
+    order = Window.orderBy("first")
+    begins = F.coalesce((F.col("first") != F.lag("last").over(order) + 1).cast("int"), F.lit(1))
+    chained = marked.filter("border").withColumn("begins", begins).withColumn("chain", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = chained.groupBy("chain").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("chain")
+    return marked.filter("not border").select("first", "last").unionByName(whole)
+
+
+def islands(df: DataFrame, start: int, end: int, column: str = "id") -> DataFrame:
+    """(first, last): the ids of a range that ``df`` has, as ranges of consecutive ids. No range of all ids is made."""
+    return _joined(_buckets(df, column, start, end), start, end)
+
+
+def gap_ranges(df: DataFrame, start: int, end: int, column: str = "id") -> DataFrame:
+    """(first, last): the ids of a range that ``df`` lacks, as ranges. One row a stretch of 2 ** SPAN_BITS ids is made, and none an id."""
+    spark = df.sparkSession
+    held = _buckets(df, column, start, end)
+    after = F.lead("first").over(Window.partitionBy("b").orderBy("first"))
+    high = F.least(F.shiftleft(F.col("b") + 1, SPAN_BITS) - 1, F.lit(end))
+    inner = held.select("b", (F.col("last") + 1).alias("first"), F.coalesce(after - 1, high).alias("last"))
+    stretches = spark.range(start >> SPAN_BITS, (end >> SPAN_BITS) + 1).select(F.col("id").alias("b")) if end >= start else spark.range(0).select(F.col("id").alias("b"))
+    heads = stretches.join(held.groupBy("b").agg(F.min("first").alias("at")), "b", "left").select("b", F.greatest(F.shiftleft("b", SPAN_BITS), F.lit(start)).alias("first"), F.coalesce(F.col("at") - 1, high).alias("last"))
+    return _joined(inner.unionByName(heads).filter("first <= last"), start, end)
+
+
+def first_gaps(gaps: DataFrame, limit: int) -> DataFrame:
+    """(id): the first ``limit`` ids of ranges (first, last). As many ranges are looked at, at most."""
+    near = gaps.orderBy("first").limit(limit)
+    before = F.coalesce(F.sum(F.col("last") - F.col("first") + 1).over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    room = near.withColumn("before", before).filter(F.col("before") < limit)
+    return room.select(F.explode(F.sequence("first", F.least("last", F.col("first") + limit - F.col("before") - 1))).alias("id"))

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import queue
+from ..operators import control, coverage, queue
 from ..session import checkpoint_dir
 from ..sources import files, replay
 from ..sources import packages as P
@@ -154,3 +154,46 @@ def q_replayed_pages(spark, sf):
     replay.register(spark)
     found = spark.read.format("replay").load(folder)
     return found.select("work_id", "bytes", F.sha2("html", 256).alias("digest"))
+
+
+_HANDLED = "h AS (SELECT DISTINCT l_orderkey AS id FROM lineitem UNION SELECT user_id FROM events WHERE event_type = 'error'), e AS (SELECT max(o_orderkey) AS hi FROM orders)"
+
+
+def _handled(spark, sf) -> DataFrame:
+    missing = V.observations(spark, sf).filter("availability = 'not_found'").select(F.col("source_work_id").cast("bigint").alias("id"))
+    return V.work_tags(spark, sf).select(F.col("source_work_id").alias("id")).unionByName(missing)
+
+
+def _last(spark, sf) -> int:
+    return V.table(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0]
+
+
+@query("q_handled_ranges", f"""
+WITH {_HANDLED}, r AS (SELECT id, id - row_number() OVER (ORDER BY id) AS run FROM h, e WHERE id BETWEEN 1 AND hi)
+SELECT min(id) AS first, max(id) AS last FROM r GROUP BY run""")
+def q_handled_ranges(spark, sf):
+    return coverage.islands(_handled(spark, sf), 1, _last(spark, sf))
+
+
+@query("q_gap_ranges", f"""
+WITH {_HANDLED}, x AS (SELECT id FROM h, e WHERE id BETWEEN 1 AND hi UNION SELECT 0 UNION SELECT hi + 1 FROM e), n AS (SELECT id, lead(id) OVER (ORDER BY id) AS after FROM x)
+SELECT id + 1 AS first, after - 1 AS last FROM n WHERE after > id + 1""")
+def q_gap_ranges(spark, sf):
+    return coverage.gap_ranges(_handled(spark, sf), 1, _last(spark, sf))
+
+
+@query("q_first_gaps", f"WITH {_HANDLED} SELECT x.id FROM (SELECT unnest(range(1, hi + 1)) AS id FROM e) x LEFT JOIN h ON h.id = x.id WHERE h.id IS NULL ORDER BY 1 LIMIT 5000")
+def q_first_gaps(spark, sf):
+    return coverage.first_gaps(q_gap_ranges(spark, sf), 5000)
+
+
+@query("q_auto_fill", f"""
+WITH {_HANDLED}, g AS (SELECT x.id FROM (SELECT unnest(range(1, 10001)) AS id) x LEFT JOIN h ON h.id = x.id WHERE h.id IS NULL ORDER BY 1 LIMIT 50),
+c AS (SELECT count(*) AS n, CASE WHEN count(*) >= 50 THEN (floor((max(id) - 1) / 3000) + 1) * 3000 + 1 ELSE 10001 END AS cursor FROM g WHERE id <= 5001)
+SELECT id::VARCHAR AS source_work_id, 1000000 + row_number() OVER (ORDER BY id::VARCHAR) - 1 AS task_id, (SELECT least(cursor, 5002) FROM c)::BIGINT AS frontier FROM g WHERE id <= 5001""")
+def q_auto_fill(spark, sf):
+    sources = spark.createDataFrame([(1, False)], "id long, paused boolean")
+    configs = spark.createDataFrame([(1, True, 1, 50, None, None, None)], "source_id long, enabled boolean, frontier_start long, batch_size long, last_job_id long, last_run_at timestamp_ntz, updated_at timestamp_ntz")
+    jobs, tasks = V.jobs(spark, sf).filter("id < 0"), V.tasks(spark, sf).filter("id < 0")
+    configs, _, tasks, _ = control.auto_fill(sources, configs, jobs, tasks, _handled(spark, sf), 7, 1_000_000, V.now())
+    return tasks.select("source_work_id", F.col("id").alias("task_id")).crossJoin(F.broadcast(configs.select(F.col("frontier_start").alias("frontier"))))  # one row
