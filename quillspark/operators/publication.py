@@ -21,69 +21,22 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.files import CHUNK, digests, file_system
+from ..sources.files import CHUNK, Files, digests, file_system
 
 #: Data that no version names is left alone for so long, as a writer may still be at it.
 GRACE_SECONDS = 24 * 3600
-_PARTS = ("_SUCCESS",)
 
 
 class Conflict(RuntimeError):
     """Another writer has published since the version was read."""
 
 
-class _Disk:
-    """Hadoop's file calls on a folder."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.fs, self.conf = spark, spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-        self.root = self.fs.Path(folder)
-        self.disk = self.root.getFileSystem(self.conf)
-
-    def at(self, name: str):
-        return self.fs.Path(self.root, name)
-
-    def names(self, name: str) -> dict[str, int]:
-        """What is in a folder, and when each was written (milliseconds)."""
-        path = self.at(name)
-        return {s.getPath().getName(): s.getModificationTime() for s in self.disk.listStatus(path)} if self.disk.exists(path) else {}
-
-    def read(self, name: str) -> str:
-        source = self.disk.open(self.at(name))
-        try:
-            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
-        finally:
-            source.close()
-
-    def create(self, name: str, text: str) -> bool:
-        """Write a file whole under a name that must be free; False if it is taken."""
-        part, target = self.at(f".{uuid.uuid4().hex}"), self.at(name)
-        self.disk.mkdirs(target.getParent())
-        out = self.disk.create(part, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        context = self.fs.FileContext.getFileContext(self.root.toUri(), self.conf)
-        options = self.spark.sparkContext._gateway.new_array(self.fs.Options.Rename, 1)
-        options[0] = self.fs.Options.Rename.NONE
-        try:
-            context.rename(self.disk.makeQualified(part), self.disk.makeQualified(target), options)
-        except Exception as e:
-            self.disk.delete(part, False)
-            if "FileAlreadyExists" in str(e):
-                return False
-            raise
-        return True
-
-    def delete(self, name: str) -> None:
-        self.disk.delete(self.at(name), True)
-
-
 def versions(spark: SparkSession, folder: str) -> list[int]:
     """The numbers of a folder's versions, ascending."""
-    return sorted(int(n.removesuffix(".json")) for n in _Disk(spark, folder).names("versions") if n.endswith(".json") and not n.startswith("."))
+    return sorted(int(n.removesuffix(".json")) for n in Files(spark, folder).names("versions") if n.endswith(".json") and not n.startswith("."))
 
 
-def _version(disk: _Disk, number: int) -> dict[str, str]:
+def _version(disk: Files, number: int) -> dict[str, str]:
     return json.loads(disk.read(f"versions/{number:012d}.json"))["tables"]
 
 
@@ -91,14 +44,14 @@ def read_version(spark: SparkSession, folder: str, number: int | None = None) ->
     """A version's number and tables (None: the last; 0 and no tables if there is none)."""
     known = versions(spark, folder)
     number = number if number is not None else known[-1] if known else 0
-    tables = _version(_Disk(spark, folder), number) if number else {}
+    tables = _version(Files(spark, folder), number) if number else {}
     return number, {name: spark.read.parquet(f"{folder}/data/{at}") for name, at in tables.items()}
 
 
 def publish_version(spark: SparkSession, folder: str, base: int, tables: dict[str, DataFrame]) -> int:
     """Write tables as the version after ``base``, the one that they were made from; tables that are not handed over are those of ``base``. Returns the new number;
     Conflict if another writer was first, and then nothing is there of this one."""
-    disk, own = _Disk(spark, folder), uuid.uuid4().hex
+    disk, own = Files(spark, folder), uuid.uuid4().hex
     if base + 1 in versions(spark, folder):
         raise Conflict(f"version {base + 1} is there already")
     for name, df in tables.items():
@@ -106,7 +59,7 @@ def publish_version(spark: SparkSession, folder: str, base: int, tables: dict[st
     return _named(disk, base, own, (_version(disk, base) if base else {}) | {name: f"{own}/{name}" for name in tables})
 
 
-def _named(disk: _Disk, base: int, own: str, named: dict[str, str]) -> int:
+def _named(disk: Files, base: int, own: str, named: dict[str, str]) -> int:
     """Give a version that has been written its number."""
     if disk.create(f"versions/{base + 1:012d}.json", json.dumps({"version": base + 1, "tables": named}, sort_keys=True)):
         return base + 1
@@ -119,7 +72,7 @@ def prune(spark: SparkSession, folder: str, keep: int = 2, grace: float = GRACE_
     the names of what went. A reader of a version that goes may fail; ``keep`` and ``grace`` are for it."""
     if keep < 1:
         raise ValueError("one version at least is kept")
-    disk, gone = _Disk(spark, folder), []
+    disk, gone = Files(spark, folder), []
     for number in versions(spark, folder)[:-keep]:
         disk.delete(f"versions/{number:012d}.json")
         gone.append(f"versions/{number:012d}.json")
@@ -134,7 +87,7 @@ def prune(spark: SparkSession, folder: str, keep: int = 2, grace: float = GRACE_
 
 def _listed(spark: SparkSession, folder: str, tables: dict[str, str]) -> DataFrame:
     """(name, file, path) of all files of a version's tables."""
-    disk, rows = _Disk(spark, folder), []
+    disk, rows = Files(spark, folder), []
     for name, at in tables.items():
         found = disk.disk.listFiles(disk.at(f"data/{at}"), True)
         base = disk.disk.makeQualified(disk.at(f"data/{at}")).toString()
@@ -184,7 +137,7 @@ def backup(spark: SparkSession, folder: str, pool: str, number: int | None = Non
         raise ValueError("there is no version to back up")
     number = number if number is not None else known[-1]
     name = f"{number:012d}-{uuid.uuid4().hex}"
-    found = digests(_listed(spark, folder, _version(_Disk(spark, folder), number)))
+    found = digests(_listed(spark, folder, _version(Files(spark, folder), number)))
     found.write.parquet(f"{pool}/manifests/{name}")
     files = spark.read.parquet(f"{pool}/manifests/{name}")
     once = files.groupBy("sha256").agg(F.min("path").alias("path"))
@@ -192,8 +145,8 @@ def backup(spark: SparkSession, folder: str, pool: str, number: int | None = Non
     counted = copied.agg(F.count_if("copied").alias("n"), F.count_if(~F.col("target").endswith(F.col("sha256"))).alias("changed")).first()
     if counted["changed"]:
         raise RuntimeError("files changed while they were copied")
-    disk = _Disk(spark, pool)
-    disk.create(f"backups/{name}.json", json.dumps({"version": number, "tables": sorted(_version(_Disk(spark, folder), number))}))
+    disk = Files(spark, pool)
+    disk.create(f"backups/{name}.json", json.dumps({"version": number, "tables": sorted(_version(Files(spark, folder), number))}))
     return name, files.count(), counted["n"]
 
 
@@ -203,7 +156,7 @@ def _blob(pool: str):
 
 def backups(spark: SparkSession, pool: str) -> list[str]:
     """Names of whole backups, oldest first."""
-    found = _Disk(spark, pool).names("backups")
+    found = Files(spark, pool).names("backups")
     return [n.removesuffix(".json") for n, _ in sorted(found.items(), key=lambda x: (x[1], x[0])) if n.endswith(".json") and not n.startswith(".")]
 
 
@@ -228,5 +181,5 @@ def restore(spark: SparkSession, pool: str, name: str, folder: str) -> int:
     wrong = _copied(files.withColumns({"blob": _blob(pool), "target": target}), "blob", "target").filter(~F.col("copied")).count()
     if wrong:
         raise RuntimeError("files were there before they were restored")
-    tables = json.loads(_Disk(spark, pool).read(f"backups/{name}.json"))["tables"]
-    return _named(_Disk(spark, folder), base, own, {t: f"{own}/{t}" for t in tables})
+    tables = json.loads(Files(spark, pool).read(f"backups/{name}.json"))["tables"]
+    return _named(Files(spark, folder), base, own, {t: f"{own}/{t}" for t in tables})

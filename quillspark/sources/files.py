@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -94,3 +95,49 @@ class Hashed:
 
     def flush(self) -> None:
         self.out.flush()
+
+
+class Files:
+    """Small files of a folder by Hadoop's file calls."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.fs, self.conf = spark, spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+        self.root = self.fs.Path(folder)
+        self.disk = self.root.getFileSystem(self.conf)
+
+    def at(self, name: str):
+        return self.fs.Path(self.root, name)
+
+    def names(self, name: str) -> dict[str, int]:
+        """What is in a folder, and when each was written (milliseconds)."""
+        path = self.at(name)
+        return {s.getPath().getName(): s.getModificationTime() for s in self.disk.listStatus(path)} if self.disk.exists(path) else {}
+
+    def read(self, name: str) -> str:
+        source = self.disk.open(self.at(name))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        finally:
+            source.close()
+
+    def create(self, name: str, text: str) -> bool:
+        """Write a file whole under a name that must be free; False if it is taken."""
+        part, target = self.at(f".{uuid.uuid4().hex}"), self.at(name)
+        self.disk.mkdirs(target.getParent())
+        out = self.disk.create(part, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        context = self.fs.FileContext.getFileContext(self.root.toUri(), self.conf)
+        options = self.spark.sparkContext._gateway.new_array(self.fs.Options.Rename, 1)
+        options[0] = self.fs.Options.Rename.NONE
+        try:
+            context.rename(self.disk.makeQualified(part), self.disk.makeQualified(target), options)
+        except Exception as e:
+            self.disk.delete(part, False)
+            if "FileAlreadyExists" in str(e):
+                return False
+            raise
+        return True
+
+    def delete(self, name: str) -> None:
+        self.disk.delete(self.at(name), True)

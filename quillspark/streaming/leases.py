@@ -1,11 +1,12 @@
-"""Leases as state machines: an ordered log of transitions a key is replayed, each under its guard.
+"""State machines over ordered logs, above all leases: each event is replayed under its guard.
 
-A machine's ``step`` takes a key's state and one event and says whether the event's guard held; a lease that has run out by the time of the event is given up before it, as by a
-sweeper that never sleeps. The same machine replays a batch and a stream: a batch is dealt out by key and sorted, and a task holds one key's state at a time, however long its
-log is; a stream keeps each open key's state in the state store, and an event-time timer gives a lease up when nothing else comes. A key whose work is over leaves no state.
+A machine's ``step`` takes a key's state and one event and says whether the event's guard held. Its ``ends`` says when something in a state ends by itself, and ``lapse`` what it is then: a
+lease that has run out by the time of an event is given up before it, as by a sweeper that never sleeps. The same machine replays a batch and a stream: a batch is dealt out by key and sorted, and a
+task holds one key's state at a time, however long its log is; a stream keeps each open key's state in the state store, and an event-time timer ends what nothing else has ended. A key that is done
+leaves no state.
 
 Events are (key long, at timestamp, seq long, action string, args map<string,string>); at and seq order a key's log, and a stream must bring a key's events in that
-order. Times in ``args`` are microseconds since 1970. Rows that come out have the event (for a lease that ran out: seq null, action ``reclaim``, at its end), ``matched`` and
+order. Times in ``args`` are microseconds since 1970. Rows that come out have the event (for what ended by itself: seq null, the machine's word as action, at its end), ``matched`` and
 the machine's columns. Events with a null key are left out; of equal (at, seq) the action by name goes first. An unknown action matches nothing.
 """
 
@@ -42,8 +43,8 @@ class Tasks:
         """When the lease that the state holds runs out."""
         return s["expires"] if s and s["status"] == "leased" else None
 
-    def give_up(self, s: dict) -> dict:
-        return s | {"status": "retryable_failed", "due": s["expires"], "token": None, "expires": None, "code": self.expired}
+    def lapse(self, s: dict) -> tuple[dict, str]:
+        return s | {"status": "retryable_failed", "due": s["expires"], "token": None, "expires": None, "code": self.expired}, "reclaim"
 
     def step(self, s: dict | None, at: int, action: str, args: dict) -> tuple[dict | None, bool]:
         token = args.get("token")
@@ -126,17 +127,18 @@ class Exports:
         return s is None
 
 
-def _reclaimed(machine, key: int, s: dict | None, until: int) -> tuple[dict | None, list[tuple]]:
-    """A state at the time ``until``: a lease that has run out by then is given up, with the row that says so."""
-    ends = machine.ends(s)
-    if ends is None or ends > until:
-        return s, []
-    s = machine.give_up(s)
-    return s, [(key, ends, None, "reclaim", True, *machine.row(s))]
+def _lapsed(machine, key: int, s: dict | None, until: int) -> tuple[dict | None, list[tuple]]:
+    """A state at the time ``until``: what ends by then has ended, with the rows that say so."""
+    rows = []
+    while (ends := machine.ends(s)) is not None and ends <= until:
+        s, action = machine.lapse(s)
+        if action is not None:
+            rows.append((key, ends, None, action, True, *machine.row(s)))
+    return s, rows
 
 
 def _played(machine, key: int, s: dict | None, at: int, seq: int, action: str, args) -> tuple[dict | None, list[tuple]]:
-    s, rows = _reclaimed(machine, key, s, at)
+    s, rows = _lapsed(machine, key, s, at)
     s, matched = machine.step(s, at, action, dict(args or {}))
     return (None if machine.done(s) else s), [*rows, (key, at, seq, action, matched, *machine.row(s))]
 
@@ -148,11 +150,11 @@ def _schema(machine) -> T.StructType:
 def _times(rows: DataFrame, machine) -> DataFrame:
     """Microseconds as times."""
     fields = T.StructType.fromDDL(machine.columns).names
-    return rows.select("key", F.timestamp_micros("at").alias("at"), "seq", "action", "matched", *[F.timestamp_micros(c).alias(c) if c in ("lease_expires_at", "available_at") else F.col(c) for c in fields])
+    return rows.select("key", F.timestamp_micros("at").alias("at"), "seq", "action", "matched", *[F.timestamp_micros(c).alias(c) if c.endswith("_at") else F.col(c) for c in fields])
 
 
 def replay(events: DataFrame, machine, until: int | None = None) -> DataFrame:
-    """The log's rows with what came of each, and leases that ran out by the next event or, after a key's last, by ``until`` (microseconds; None: never)."""
+    """The log's rows with what came of each, and what ended by itself by the next event or, after a key's last, by ``until`` (microseconds; None: never)."""
     names = _schema(machine).names
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), *[pa.int64() if f.dataType == T.LongType() else pa.string() for f in T.StructType.fromDDL(machine.columns)]]
 
@@ -166,13 +168,13 @@ def replay(events: DataFrame, machine, until: int | None = None) -> DataFrame:
             for key, at, seq, action, args in zip(*(c.to_pylist() for c in b.columns)):
                 if key != held:
                     if held is not None and until is not None:
-                        rows += _reclaimed(machine, held, state, until)[1]
+                        rows += _lapsed(machine, held, state, until)[1]
                     held, state = key, None
                 state, found = _played(machine, key, state, at, seq, action, args)
                 rows += found
             yield batch(rows)
         if held is not None and until is not None:
-            yield batch(_reclaimed(machine, held, state, until)[1])
+            yield batch(_lapsed(machine, held, state, until)[1])
 
     log = events.filter("key is not null").select("key", F.unix_micros(F.col("at").cast("timestamp")).alias("at"), "seq", "action", "args")
     order = ("key", "at", "seq", "action")
@@ -216,9 +218,9 @@ class _Processor(StatefulProcessor):
         yield self._frame(found)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        s, found = _reclaimed(self.machine, key[0], self._load(), expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        s, found = _lapsed(self.machine, key[0], self._load(), expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        self._keep(s)
         if found:
-            self.state.update((json.dumps(s),))
             yield self._frame(found)
 
     def close(self) -> None:
@@ -230,7 +232,7 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 
 
 def replay_stream(events: DataFrame, machine, late: str = "0 seconds") -> DataFrame:
-    """As ``replay`` over a stream: a lease runs out when the watermark, ``late`` behind the latest event, has passed its end. The session's state store
+    """As ``replay`` over a stream: what ends by itself ends when the watermark, ``late`` behind the latest event, has passed that time. The session's state store
     must be STATE_STORE."""
     log = events.filter("key is not null").select("key", F.col("at").cast("timestamp").alias("at"), F.unix_micros(F.col("at").cast("timestamp")).alias("micros"), "seq", "action", F.to_json("args").alias("args"))
     played = log.withWatermark("at", late).groupBy("key").transformWithStateInPandas(_Processor(machine), _schema(machine), "Append", "EventTime")

@@ -8,7 +8,6 @@ from quillspark.functions import timing as TM
 from quillspark.operators import coverage, integrity, merge, packages, queue
 from quillspark.operators import relational as R
 from quillspark.sources import packages as P
-from quillspark.streaming.usage import Limiter, rate_limit, rate_limit_stream
 
 NOW = datetime(2024, 1, 1, 12)
 
@@ -174,16 +173,3 @@ def test_import_and_export(spark):
     assert packages.changed_works(marked, 10).count() == 0
     with pytest.raises(ValueError):
         packages.changed_works(works, 0)
-
-
-def test_limiter_batch_and_stream(spark, tmp_path):
-    rows = [(1, at(0), 10), (1, at(1), 10), (1, at(11), 10), (1, at(22), 10), (1, at(24 * 60), 10), (2, at(0), 5)]
-    df = spark.createDataFrame(rows, "source long, ts timestamp_ntz, bytes long")
-    limiter = Limiter(600_000, requests=2)
-    want = [(1, "daily_budget"), (1, "delay"), (1, "grant"), (1, "grant"), (1, "grant"), (2, "grant")]
-    assert sorted((r["source"], r["decision"]) for r in rate_limit(df, limiter).collect()) == want
-    df.write.parquet(f"{tmp_path}/in")
-    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
-    q = rate_limit_stream(stream, limiter).writeStream.format("memory").queryName("grants").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    assert sorted((r["source"], r["decision"]) for r in spark.table("grants").collect()) == want
