@@ -10,6 +10,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import Files
 from ..sources.packages import raw_pages
 from . import extract, queue
 from .coverage import BATCHES_AHEAD, MAX_TAG_PENDING, PENDING, filter_uncollected, find_gaps, next_cursor
@@ -181,8 +182,9 @@ def expired_backups(backups: DataFrame, now: Column, days: int | None) -> DataFr
     return backups.filter(F.col("created_at") < now - F.expr(f"INTERVAL {days} DAYS")) if days else backups.limit(0)
 
 
-def diagnostics(sources: DataFrame, jobs: DataFrame, tasks: DataFrame, events: DataFrame) -> DataFrame:
-    """One row of lists: all sources, the newest jobs, failed tasks and events, each newest first."""
+def diagnostics(sources: DataFrame, jobs: DataFrame, tasks: DataFrame, events: DataFrame, configs: DataFrame | None = None) -> DataFrame:
+    """One row of lists: all sources, the newest jobs, failed tasks and events, each newest first; with ``configs`` also ``auto_fill``, how the source of lowest id is filled, by default
+    if it has no configuration, and null if there is no source."""
     def top(df: DataFrame, name: str, *order: str, limit: int | None = None) -> DataFrame:
         some = df.orderBy(*[F.desc(c) for c in order]).limit(limit) if limit else df
         key = F.struct(*[F.col(c) for c in order], F.struct(*df.columns).alias("row"))
@@ -195,7 +197,31 @@ def diagnostics(sources: DataFrame, jobs: DataFrame, tasks: DataFrame, events: D
     found = parts[0]
     for p in parts[1:]:
         found = found.crossJoin(p)  # single rows
-    return found
+    if configs is None:
+        return found
+    first = sources.agg(F.min("id").alias("source_id"))
+    own = first.join(configs.drop("updated_at"), "source_id", "left")
+    filled = [F.coalesce(F.col(c), F.lit(AUTO_FILL[c])).alias(c) if c in AUTO_FILL else F.col(c) for c in own.columns]
+    return found.crossJoin(own.select(F.when(F.col("source_id").isNotNull(), F.struct(*filled)).alias("auto_fill")))  # single rows
+
+
+def update_settings(settings: DataFrame, **values: object) -> DataFrame:
+    """Change settings, as ``read_settings`` gives them: days that backups are kept (1 or more, None for ever), default size of a batch (1 to 1000), timezone. What is not given stays."""
+    unknown = set(values) - {"backup_retention_days", "default_batch_size", "timezone"}
+    days, batch, zone = values.get("backup_retention_days", 1), values.get("default_batch_size", 1), values.get("timezone", "UTC")
+    if unknown or (days is not None and not (isinstance(days, int) and days >= 1)) or not (isinstance(batch, int) and 1 <= batch <= 1000) or not zone:
+        raise ValueError(f"no such settings: {values}")
+    kinds = dict(settings.dtypes)
+    return settings.select([F.lit(values[c]).cast(kinds[c]).alias(c) if c in values else F.col(c) for c in settings.columns])
+
+
+def write_settings(settings: DataFrame, path: str) -> None:
+    """Write settings as the JSON file that ``read_settings`` reads, whole or not at all."""
+    row = settings.first()
+    known = {"backupRetentionDays": row["backup_retention_days"], "defaultBatchSize": row["default_batch_size"], "timezone": row["timezone"]}
+    folder, _, name = path.rpartition("/")
+    disk = Files(settings.sparkSession, folder)
+    disk.replace(name, json.dumps({k: v for k, v in known.items() if v is not None}))
 
 
 def capture_report(parsed: DataFrame, error: str = "error") -> DataFrame:

@@ -7,6 +7,7 @@ visible at once: ``publish`` writes them as the next version of a folder.
 from __future__ import annotations
 
 import gzip
+import hashlib
 import os
 import tarfile
 import uuid
@@ -197,6 +198,60 @@ def export_changes(
     return packages.mark_exported(works, picked, run["package_id"], now), *ended
 
 
+def capture_report(parsed: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """(sourceWorkId, status, bytes, chapters, tags, error) of works that were read, as ``extract.parse_works`` gives them with their ``html``; works of ``asked`` (sourceWorkId) that were
+    not fetched have failed."""
+    good = F.col("error").isNull()
+    read = parsed.select(
+        F.col("work_id").alias("sourceWorkId"), F.when(good, "parsed").otherwise("failed").alias("status"), F.octet_length("html").cast("bigint").alias("bytes"),
+        F.when(good, F.size("chapters")).alias("chapters"), F.when(good, F.size("tags")).alias("tags"), "error",
+    )
+    if asked is None:
+        return read
+    lost = asked.select("sourceWorkId").distinct().join(read.select("sourceWorkId"), "sourceWorkId", "left_anti")
+    return read.unionByName(lost.select("sourceWorkId", F.lit("failed").alias("status"), F.lit("was not fetched").alias("error")), allowMissingColumns=True)
+
+
+def capture_to_package(spark: SparkSession, pages: DataFrame, folder: str, manifest: dict, asked: DataFrame | None = None) -> DataFrame:
+    """Read the pages of many works (url, html, captured_at) into one package at ``folder``, without one if none can be read, and the report of each work beside it at
+    ``<folder>-report``. Of pages of one work the first by time, then address, counts; of entities that several works name, that of the first work by id. Returns the report."""
+    checkpoint_dir(spark)
+    found = extract.parse_works(pages).join(pages.select("url", "captured_at", "html").dropDuplicates(["url", "captured_at"]), ["url", "captured_at"], "left")
+    parsed = first_by_key(found, ["work_id"], "captured_at", "url").checkpoint()
+    capture_report(parsed, asked).write.mode("overwrite").json(f"{folder}-report")
+    if not parsed.filter("error is null").isEmpty():
+        sets = extract.record_sets(parsed)
+        seen = F.date_format(F.col("observedAt").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        P.write_package(spark, folder, manifest, sets | {"observations": sets["observations"].withColumn("observedAt", seen)})
+    return spark.read.schema("sourceWorkId string, status string, bytes long, chapters int, tags int, error string").json(f"{folder}-report")
+
+
+SAMPLE_ORIGIN = "https://archive.example"
+
+
+def sample_package(spark: SparkSession, folder: str, package_id: str, created_at: str, format_name: str) -> dict[str, int]:
+    """Write a package of one small work with everything that a work can have but comments, kudos and bookmarks, and verify it. Returns its counts."""
+    work, author, at = "1001", "user:Sample", f"{SAMPLE_ORIGIN}/works/1001"
+    body = "<p>A chapter to try an import with.</p>"
+    digest = lambda text: f"sha256:{hashlib.sha256(text.encode()).hexdigest()}"
+    kinds = [("Rating", "General Audiences"), ("Fandom", "Samples"), ("Freeform", "Short")]
+    rows = {
+        "authors": [(author, "Sample", f"{SAMPLE_ORIGIN}/users/Sample", False, False)], "workAuthors": [(work, author, 1)],
+        "works": [("upsert", work, at, "A Sample", "<p>Made to be imported.</p>", "en", "2024-01-02", "2024-01-02", True, False, 1, 7, "", "", digest(body))],
+        "chapters": [(work, "2001", 1, "", "", "", body, "", "2024-01-02", 7, digest(body))],
+        "tags": [(f"{kind}:{name}", kind, name, None, f"{SAMPLE_ORIGIN}/tags/{k}") for k, (kind, name) in enumerate(kinds)], "workTags": [(work, f"{kind}:{name}", k) for k, (kind, name) in enumerate(kinds)],
+        "series": [("3001", "Samples", f"{SAMPLE_ORIGIN}/series/3001", "", False)], "seriesWorks": [("3001", work, 1)],
+        "observations": [(work, created_at, "public", 200, "2024-01-02", digest(body))],
+    }
+    sets = {name: spark.createDataFrame(rows.get(name, []), P.record_schema(name)) for name in P.FILES}
+    manifest = {
+        "format": format_name, "formatVersion": 1, "packageId": package_id, "packageType": "snapshot", "source": {"key": "sample", "origin": SAMPLE_ORIGIN}, "createdAt": created_at,
+        "collectorVersion": "sample", "previousPackageId": None,
+    }
+    P.write_package(spark, folder, manifest, sets)
+    return verify_package(spark, folder)
+
+
 def verify_package(spark: SparkSession, folder: str) -> dict[str, int]:
     """Counts of a package's record sets; a problem is an error."""
     manifest, sets, violations = P.read_package(spark, folder)
@@ -207,21 +262,22 @@ def verify_package(spark: SparkSession, folder: str) -> dict[str, int]:
 def walk_pages(starts: DataFrame, pages: DataFrame, most: int | None = None) -> DataFrame:
     """Listings followed from page to page. starts: (sourceWorkId, chain, url), chains numbered in order; pages: (url, html), what was fetched.
     Returns (sourceWorkId, chain, n, url, html): a chain ends at a page that was not fetched or that the work's walk has been at, and a work at ``most``
-    pages over all its chains in order."""
+    pages over all its chains in order. Jumps double with each round, so a chain of n pages takes about log n of them."""
     checkpoint_dir(starts.sparkSession)
-    linked = extract.next_page(pages).select("url", "next_url")
-    front = starts.select("sourceWorkId", "chain", F.col("url"), F.lit(1).alias("n"))
-    found, n = None, 1
-    while most is None or n <= most:
-        front = front.join(linked, "url").checkpoint()
-        if front.isEmpty():
+    linked = extract.next_page(pages).select("url", "next_url").checkpoint()  # each page is read once
+    fetched = linked.select("url").distinct()
+    jump = linked.filter("next_url is not null").join(fetched.select(F.col("url").alias("next_url")), "next_url", "left_semi").select("url", F.col("next_url").alias("ahead")).dropDuplicates(["url"]).checkpoint()
+    found = starts.select("sourceWorkId", "chain", "url", F.lit(1).alias("n")).join(fetched, "url", "left_semi").checkpoint()
+    own, step = ["sourceWorkId", "chain", "url"], 1
+    while most is None or step < most:
+        # all pages of a chain up to the step are found, so a jump by the step finds as many again; those that were met are a circle
+        new = found.join(jump, "url").select("sourceWorkId", "chain", F.col("ahead").alias("url"), (F.col("n") + step).alias("n")).join(found.select(*own), own, "left_anti")
+        new = new.groupBy(*own).agg(F.min("n").alias("n")).checkpoint()
+        if new.isEmpty():
             break
-        found = front if found is None else found.unionByName(front).checkpoint()
-        ahead = front.filter("next_url is not null").select("sourceWorkId", "chain", F.col("next_url").alias("url"), (F.col("n") + 1).alias("n"))
-        front = ahead.join(found.select("sourceWorkId", "chain", "url"), ["sourceWorkId", "chain", "url"], "left_anti")
-        n += 1
-    if found is None:
-        return starts.sparkSession.createDataFrame([], "sourceWorkId string, chain int, n int, url string, html string")
+        found = found.select(new.columns).unionByName(new).checkpoint()
+        jump = jump.join(jump.select(F.col("url").alias("ahead"), F.col("ahead").alias("further")), "ahead").select("url", F.col("further").alias("ahead")).checkpoint()
+        step *= 2
     place = Window.partitionBy("sourceWorkId").orderBy("chain", "n")
     met = found.withColumn("again", F.row_number().over(Window.partitionBy("sourceWorkId", "url").orderBy("chain", "n")) > 1)
     ended = F.max(F.col("again").cast("int")).over(Window.partitionBy("sourceWorkId", "chain").orderBy("n"))  # a page met before ends its chain

@@ -120,8 +120,15 @@ class Files:
         finally:
             source.close()
 
+    def replace(self, name: str, text: str) -> None:
+        """Write a file whole, in place of one of that name."""
+        self._put(name, text, self.fs.Options.Rename.OVERWRITE)
+
     def create(self, name: str, text: str) -> bool:
         """Write a file whole under a name that must be free; False if it is taken."""
+        return self._put(name, text, self.fs.Options.Rename.NONE)
+
+    def _put(self, name: str, text: str, option) -> bool:
         part, target = self.at(f".{uuid.uuid4().hex}"), self.at(name)
         self.disk.mkdirs(target.getParent())
         out = self.disk.create(part, True)
@@ -129,7 +136,7 @@ class Files:
         out.close()
         context = self.fs.FileContext.getFileContext(self.root.toUri(), self.conf)
         options = self.spark.sparkContext._gateway.new_array(self.fs.Options.Rename, 1)
-        options[0] = self.fs.Options.Rename.NONE
+        options[0] = option
         try:
             context.rename(self.disk.makeQualified(part), self.disk.makeQualified(target), options)
         except Exception as e:

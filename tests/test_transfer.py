@@ -160,6 +160,24 @@ def test_walk_and_social_records(spark):
     assert transfer.walk_pages(starts.limit(0), pages).count() == 0
 
 
+def test_walk_of_long_chains_and_circles(spark, monkeypatch):
+    def page(after):
+        return f"<ol class=pagination><li class=next><a href='{after}'>more</a></li></ol>" if after else "<p>end"
+
+    at = "https://a.example/w"
+    rows = [(f"{at}/l{k}", page(f"{at}/l{k + 1}" if k < 36 else None)) for k in range(37)]
+    rows += [(f"{at}/c{k}", page(f"{at}/c{k + 1 if k < 6 else 2}")) for k in range(7)]  # a circle that does not begin at the start
+    rows += [(f"{at}/s", page(f"{at}/s"))]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    starts = spark.createDataFrame([("1", 1, f"{at}/l0"), ("2", 1, f"{at}/c0"), ("3", 1, f"{at}/s"), ("4", 1, f"{at}/none"), ("5", 1, f"{at}/l30"), ("5", 2, f"{at}/l28")], "sourceWorkId string, chain int, url string")
+    got = {}
+    for r in transfer.walk_pages(starts, pages).collect():
+        got.setdefault((r["sourceWorkId"], r["chain"]), []).append((r["n"], r["url"][len(at) + 1 :]))
+    want = {("1", 1): [(k + 1, f"l{k}") for k in range(37)], ("2", 1): [(k + 1, f"c{k}") for k in range(7)], ("3", 1): [(1, "s")], ("5", 1): [(k + 1, f"l{30 + k}") for k in range(7)], ("5", 2): [(1, "l28"), (2, "l29")]}
+    assert {k: sorted(v) for k, v in got.items()} == want
+    assert sorted((r["sourceWorkId"], r["n"]) for r in transfer.walk_pages(starts, pages, 3).filter("sourceWorkId < '3'").collect()) == [(w, n) for w in "12" for n in (1, 2, 3)]
+
+
 def test_blobs(spark, tmp_path):
     pages = spark.createDataFrame([("<p>a",), ("<p>a",), ("é",), (None,)], "html string")
     got = transfer.put_blobs(pages, str(tmp_path)).collect()
