@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, table
+from .common import cut, join_counted, table
 from .components import components
 
 SEED = 42
@@ -208,12 +208,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     """(id, fp, component_id) for each row of ``docs``; fp is the signed fingerprint."""
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     marked = cut(with_fingerprint(own, "text", width), "fingerprints")
-    nodes = cut(marked.groupBy("fp").agg(F.min("id").alias("id")), "fingerprint-nodes")
+    nodes = cut(marked.groupBy("fp").agg(F.min("id").alias("id"), F.count("*").alias("rows")), "fingerprint-nodes")
     roots = close_components(nodes.select(F.col("fp").alias("node")))
-    grouped = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
-    named = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
-    found = cut(grouped.join(named, "root").select("fp", "component_id"), "fingerprint-components")
-    return marked.join(found, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    grouped = cut(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "id", "rows", F.coalesce("root", "fp").alias("root")), "fingerprint-roots")
+    named = grouped.groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
+    found = cut(join_counted(grouped, named, ["root"]).select("fp", F.col("rows").alias("n"), "component_id"), "fingerprint-components")
+    return join_counted(marked, found, ["fp"]).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def wide_postings(nodes: DataFrame) -> DataFrame:
@@ -285,14 +285,14 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     marked = cut(with_wide_fingerprint(texts, "text", WIDE_SHINGLE), "fingerprints")
     place = F.struct(F.col("id").isNull().alias("late"), "id", "th")
-    nodes = marked.groupBy(*WIDE).agg(F.min(place).alias("place")).select(*WIDE, "place.id", "place.th")
+    nodes = marked.groupBy(*WIDE).agg(F.min(place).alias("place"), F.count("*").alias("rows")).select(*WIDE, "rows", "place.id", "place.th")
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     roots = wide_components(nodes, texts, similarity, width)
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = grouped.groupBy("root").agg(F.min(place).alias("best"))
-    found = cut(grouped.join(named, "root").select(*WIDE, "best"), "near-components")
+    found = cut(grouped.join(named, "root").select(*WIDE, F.col("rows").alias("n"), "best"), "near-components")
     same = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("th") == F.col("best.th"))
-    return marked.join(found, WIDE).select(F.col("id").alias(id_col), "th", F.col("best.id").alias("component_id"), same.alias("first"))
+    return join_counted(marked, found, WIDE).select(F.col("id").alias(id_col), "th", F.col("best.id").alias("component_id"), same.alias("first"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -174,7 +174,9 @@ def write_store(docs: DataFrame, store: str, path: str, end_id: int | None, voca
         columns = list(zip(*made)) or [[]] * 5
         yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=["shard", "task", "part", "n_docs", "n_tokens"])
 
-    dealt = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # by the text's hash, too: rows that repeat one id need not be one task's
+    order = ("doc_id", "th", "text")
+    dealt = docs.withColumn("th", F.xxhash64("text")).repartitionByRange("doc_id", "th").sortWithinPartitions(*order).select("doc_id", "text")
     dealt.mapInArrow(work, "shard string, task long, part long, n_docs long, n_tokens long").write.parquet(f"{store}/written")
     before = Window.orderBy("task", "part").rowsBetween(Window.unboundedPreceding, -1)  # a row a shard, not a document
     manifest = spark.read.parquet(f"{store}/written").select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"), "n_docs", "n_tokens")

@@ -182,12 +182,14 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Learn the lexicon's weights and the curve from at most TRAIN_ROWS labelled documents."""
+    """Learn the lexicon's weights and the curve from at most TRAIN_ROWS labelled documents. Of rows that repeat a labelled id with other texts one is learnt from, that
+    of the smallest hash."""
     chosen = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).filter("y in (0, 1) and id is not null")
         .groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(TRAIN_ROWS)
     )
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("y", "text")
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    sample = found.groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y")).alias("x")).select("x.y", "x.text")
     rows = cut(sample, "toxicity-sample")  # read twice
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
