@@ -69,7 +69,7 @@ STAGES = [
     ("best-fit packing", pack),
 ]
 
-#: A trained lexicon, MinHash, SimHash and a packing search are beyond SQL; tests hold run() against a brute-force version.
+#: A trained lexicon, MinHash, SimHash and a packing search are beyond SQL; tests hold run() against brute-force versions of its stages, one after the other.
 ORACLE_SQL = None
 
 
