@@ -22,6 +22,8 @@ STALL_ROWS = 200
 DELETABLE = ("completed", "cancelled", "failed")
 LEASE_EXPIRED = "worker_lease_expired"
 LEASE_EXPIRED_MESSAGE = "The worker lease expired before completion."
+IMPORT_STATES = ("not_imported", "importing", "imported", "failed")
+IMPORT_FAILED = "the import failed"
 OUTCOMES = ("succeeded", "not_found", "retryable_failed", "terminal_failed")
 
 
@@ -320,15 +322,15 @@ def finish_export(runs: DataFrame, sources: DataFrame, run_id: int, token: str,
     return ended, set_where(sources, F.col("export_lease_token") == token, export_lease_token=empty, export_lease_expires_at=empty)
 
 
-def set_import_status(runs: DataFrame, package_id: str, status: str, now: Column, error: str | None = None) -> DataFrame:
-    """Note how an import goes; what earlier transitions set is cleared but for the start."""
+def set_import_status(runs: DataFrame, package_id: str, status: str, now: Column, error: str | None = None, run_id: str | None = None) -> DataFrame:
+    """Note how the import of a package goes: not_imported, importing, imported or failed. What earlier transitions set is cleared but for the start; a failure without
+    a reason has IMPORT_FAILED."""
+    if status not in IMPORT_STATES:
+        raise ValueError(f"an import is one of {', '.join(IMPORT_STATES)}")
     values = {
-        "import_status": F.lit(status), "imported_at": now if status == "completed" else F.lit(None), "import_error": F.lit(error),
-        "import_started_at": F.when(F.lit(status == "importing"), now).otherwise(F.col("import_started_at")) if "import_started_at" in runs.columns else None,
+        "import_status": F.lit(status), "imported_at": now if status == "imported" else F.lit(None), "import_error": F.lit((error or IMPORT_FAILED) if status == "failed" else None),
+        "import_run_id": F.lit(run_id), "updated_at": now,
     }
-    return set_where(runs, F.col("package_id") == package_id, **{k: v for k, v in values.items() if k in runs.columns and v is not None})
-
-
-def patch(df: DataFrame, where: Column, **values: object) -> DataFrame:
-    """Partial update: columns whose value is None stay."""
-    return set_where(df, where, **{k: F.lit(v) for k, v in values.items() if v is not None})
+    if status == "importing":
+        values["import_started_at"] = now
+    return set_where(runs, F.col("package_id") == package_id, **{k: v for k, v in values.items() if k in runs.columns})

@@ -92,9 +92,10 @@ def q_filter_uncollected(spark, sf):
     return C.filter_uncollected(V.tasks(spark, sf).select("id"), V.work_tags(spark, sf).select(F.col("source_work_id").alias("id")), gone, queued)
 
 
-@query("q_ordered_minus", "SELECT ord, id FROM (SELECT unnest(range(0, 5)) AS ord, unnest([3, 1, 90000000001, 3, 90000000001]) AS id) WHERE id NOT IN (SELECT o_orderkey FROM orders)")
+@query("q_ordered_minus", "SELECT ord, id FROM (SELECT unnest(range(0, 4)) AS ord, unnest([c_custkey, c_custkey * 7, c_custkey, 90000000000 + c_custkey]) AS id FROM customer) WHERE id NOT IN (SELECT o_orderkey FROM orders)")
 def q_ordered_minus(spark, sf):
-    ids = spark.range(1).select(F.array(*[F.lit(x).cast("bigint") for x in (3, 1, 90_000_000_001, 3, 90_000_000_001)]).alias("ids"))
+    k = F.col("c_custkey").cast("bigint")
+    ids = V.table(spark, sf, "customer").select(F.array(k, k * 7, k, k + 90_000_000_000).alias("ids"))
     return R.ordered_minus(ids, "ids", V.tasks(spark, sf)).select(F.col("ord").cast("bigint"), "id")
 
 
@@ -544,9 +545,10 @@ def q_event_retention(spark, sf):
     return usage.retained(log, F.lit("2024-01-30").cast("timestamp_ntz")).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query("q_id_batches", "SELECT batch, count(*) AS n, min(id) AS first, max(id) AS last FROM (SELECT range AS id, floor((range - 17) / 250)::BIGINT AS batch FROM range(17, 5001)) GROUP BY batch")
+@query("q_id_batches", "SELECT batch, count(*) AS n, min(id) AS first, max(id) AS last FROM (SELECT id, floor((id - lo) / 250)::BIGINT AS batch FROM (SELECT unnest(range(min(l_orderkey), max(l_orderkey) + 1)) AS id, min(l_orderkey) AS lo FROM lineitem)) GROUP BY batch")
 def q_id_batches(spark, sf):
-    return R.sequence_in_batches(17, 5000, 250, spark).groupBy("batch").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
+    lo, hi = V.work_tags(spark, sf).agg(F.min("source_work_id"), F.max("source_work_id")).first()
+    return R.sequence_in_batches(lo, hi, 250, spark).groupBy("batch").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
 
 
 @query("q_works_by_author", "SELECT l_suppkey AS source_author_id, count(DISTINCT l_orderkey) AS works FROM lineitem GROUP BY 1")
@@ -559,14 +561,16 @@ def q_childless(spark, sf):
     return integrity.childless(V.works(spark, sf), V.table(spark, sf, "labels").withColumnRenamed("doc_id", "id"), "id").select("id")
 
 
-@query("q_title_case_words", r"SELECT DISTINCT event_type, regexp_replace(regexp_replace(event_type || 'Event_name', '([a-z])([A-Z])', '\1 \2', 'g'), '_', ' ', 'g') AS words FROM events")
+@query("q_title_case_words", r"SELECT p_partkey AS id, regexp_replace(regexp_replace(replace(p_name, ' ', '_') || p_brand || 'Of' || p_type, '([a-z])([A-Z])', '\1 \2', 'g'), '_', ' ', 'g') AS words FROM part")
 def q_title_case_words(spark, sf):
-    return V.table(spark, sf, "events").select("event_type").distinct().select("event_type", X.spaced_words(F.concat("event_type", F.lit("Event_name"))).alias("words"))
+    name = F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), "p_brand", F.lit("Of"), "p_type")
+    return V.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), X.spaced_words(name).alias("words"))
 
 
-@query("q_html_title_h1", r"SELECT page_id, html_h AS heading_bytes FROM (SELECT page_id, octet_length(encode(regexp_extract(html, '<h1[^>]*>', 0)))::INT AS html_h FROM pages)")
+@query("q_html_title_h1", r"SELECT page_id, trim(regexp_extract(html, '<h1[^>]*>([^<]*)', 1)) AS heading, octet_length(encode(regexp_extract(html, '<h1[^>]*>([^<]*)', 1)))::BIGINT AS heading_bytes FROM pages")
 def q_html_title_h1(spark, sf):
-    return V.table(spark, sf, "pages").select("page_id", F.octet_length(F.encode(F.regexp_extract("html", "<h1[^>]*>", 0), "UTF-8")).alias("heading_bytes"))
+    heading = F.regexp_extract("html", "<h1[^>]*>([^<]*)", 1)
+    return V.table(spark, sf, "pages").select("page_id", F.trim(heading).alias("heading"), X.byte_length(heading).cast("bigint").alias("heading_bytes"))
 
 
 @query("q_html_links")

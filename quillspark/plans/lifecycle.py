@@ -8,11 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import control, coverage, queue
+from ..operators import control, coverage, detail, merge, packages, queue
 from ..session import checkpoint_dir
 from ..sources import files, replay
 from ..sources import packages as P
-from ..streaming import leases
+from ..streaming import leases, usage
 from . import views as V
 from .catalog import _NOW, query
 
@@ -197,3 +197,102 @@ def q_auto_fill(spark, sf):
     jobs, tasks = V.jobs(spark, sf).filter("id < 0"), V.tasks(spark, sf).filter("id < 0")
     configs, _, tasks, _ = control.auto_fill(sources, configs, jobs, tasks, _handled(spark, sf), 7, 1_000_000, V.now())
     return tasks.select("source_work_id", F.col("id").alias("task_id")).crossJoin(F.broadcast(configs.select(F.col("frontier_start").alias("frontier"))))  # one row
+
+
+@query("q_observations_merge", f"""
+, n AS (SELECT source_work_id, observed_at, 'new' AS content_hash FROM obs WHERE id % 3 = 0 UNION ALL SELECT source_work_id, observed_at + INTERVAL 1 SECOND, 'new' FROM obs WHERE id % 5 = 0)
+SELECT coalesce(o.source_work_id, n.source_work_id) AS source_work_id, coalesce(o.observed_at, n.observed_at) AS observed_at, coalesce(n.content_hash, 'old') AS content_hash, coalesce(o.availability, 'unknown') AS availability
+FROM obs o FULL JOIN n ON n.source_work_id = o.source_work_id AND n.observed_at = o.observed_at""", "obs")
+def q_observations_merge(spark, sf):
+    old = V.observations(spark, sf).select("id", "source_id", "source_work_id", "observed_at", "availability", F.lit("old").alias("content_hash"))
+    again = old.filter("id % 3 = 0").withColumns({"content_hash": F.lit("new"), "availability": F.lit("odd")})
+    later = old.filter("id % 5 = 0").withColumns({"content_hash": F.lit("new"), "availability": F.lit("unknown"), "observed_at": F.col("observed_at") + F.expr("INTERVAL 1 SECOND")})
+    return merge.record_observations(old, again.unionByName(later).drop("id")).select("source_work_id", "observed_at", "content_hash", "availability")
+
+
+@query("q_availability", f"SELECT w.id, coalesce((SELECT arg_max(o.availability, (o.observed_at, o.id)) FROM obs o WHERE o.source_work_id = w.source_work_id), 'unseen') AS availability FROM works w", "works", "obs")
+def q_availability(spark, sf):
+    works = V.works(spark, sf).withColumn("availability", F.lit("unseen"))
+    return merge.propagate_availability(works, V.observations(spark, sf)).select("id", "availability")
+
+
+@query("q_comments_merge", """
+WITH o AS (SELECT DISTINCT conv_id, turn FROM conversations WHERE conv_id % 3 <> 0), n AS (SELECT DISTINCT conv_id, turn FROM conversations WHERE conv_id % 2 = 0)
+SELECT coalesce(o.conv_id, n.conv_id) AS source_work_id, coalesce(o.turn, n.turn)::VARCHAR AS source_comment_id, CASE WHEN o.conv_id IS NULL THEN 'second' ELSE 'first' END AS first_seen_at, n.conv_id IS NULL AS hidden
+FROM o FULL JOIN n ON n.conv_id = o.conv_id AND n.turn = o.turn""")
+def q_comments_merge(spark, sf):
+    c = V.comments(spark, sf).select(F.col("work_id").alias("source_work_id"), F.col("comment_id").alias("source_comment_id")).distinct()
+    old = c.filter("source_work_id % 3 <> 0").withColumns({"first_seen_at": F.lit("first"), "hidden": F.lit(True)})
+    return merge.upsert_comments(old, c.filter("source_work_id % 2 = 0").withColumn("first_seen_at", F.lit("second")))
+
+
+@query("q_series_merge", """
+WITH o AS (SELECT ps AS s, w, min(position) AS position FROM (SELECT l_suppkey AS ps, l_orderkey AS w, l_linenumber AS position FROM lineitem WHERE l_linenumber <= 3) GROUP BY ALL),
+n AS (SELECT l_suppkey AS s, l_orderkey AS w, min(l_linenumber) + 10 AS position FROM lineitem WHERE l_linenumber >= 3 GROUP BY ALL),
+m AS (SELECT coalesce(o.s, n.s) AS s, coalesce(n.position, o.position) AS position FROM o FULL JOIN n ON n.s = o.s AND n.w = o.w)
+SELECT s AS source_series_id, position, count(*) AS n FROM m GROUP BY ALL HAVING count(*) > 1""")
+def q_series_merge(spark, sf):
+    rows = V.work_authors(spark, sf).select(F.col("source_author_id").alias("source_series_id"), "source_work_id", "position")
+    old = rows.filter("position <= 3").groupBy("source_series_id", "source_work_id").agg(F.min("position").alias("position"))
+    new = rows.filter("position >= 3").withColumn("position", (F.col("position") + 10).cast(old.schema["position"].dataType))
+    return merge.series_collisions(merge.upsert_series_works(old, new))
+
+
+@query("q_missing_works", "SELECT DISTINCT o_orderkey AS source_work_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+def q_missing_works(spark, sf):
+    asked = V.tasks(spark, sf).select(F.col("id").alias("source_work_id"))
+    return packages.missing_works(asked, V.work_tags(spark, sf).select("source_work_id").distinct())
+
+
+@query("q_children_of", """
+WITH w AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus = 'F')
+SELECT 'tags' AS name, count(*) AS n, sum(l_partkey)::BIGINT AS keys FROM lineitem WHERE l_orderkey IN (SELECT k FROM w) UNION ALL SELECT 'authors', count(*), sum(l_suppkey)::BIGINT FROM lineitem WHERE l_orderkey IN (SELECT k FROM w)""")
+def q_children_of(spark, sf):
+    works = V.table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("source_work_id"))
+    own = packages.children_of(works, {"tags": V.work_tags(spark, sf), "authors": V.work_authors(spark, sf)}, {"tags": "source_work_id", "authors": "source_work_id"})
+    counted = [own[name].agg(F.count("*").alias("n"), F.sum(key).cast("bigint").alias("keys")).select(F.lit(name).alias("name"), "n", "keys") for name, key in (("tags", "source_tag_id"), ("authors", "source_author_id"))]
+    return counted[0].unionByName(counted[1])
+
+
+@query("q_fetch_log", """
+SELECT event_id AS id, ts AS fetched_at, CASE WHEN event_id % 3 = 0 THEN floor(value * 100)::BIGINT END AS response_bytes, (SELECT count(*) FROM events) AS total FROM events ORDER BY ts DESC, event_id DESC LIMIT 100 OFFSET 50""")
+def q_fetch_log(spark, sf):
+    headers = F.when(F.col("event_id") % 3 == 0, F.to_json(F.create_map(F.lit("content-length"), F.floor(F.col("value") * 100).cast("string")))).otherwise("{}")
+    fetches = V.table(spark, sf, "events").select(
+        F.col("event_id").alias("id"), F.col("user_id").cast("string").alias("source_work_id"), F.col("event_type").alias("url"), F.lit(200).alias("http_status"), F.col("ts").alias("fetched_at"), F.lit("1").alias("parser_version"),
+        headers.alias("response_headers"), F.lit(1).alias("attempts"),
+    )
+    return detail.fetch_log(fetches, 100, 50).select("id", "fetched_at", "response_bytes", "total")
+
+
+@query("q_work_details", """
+WITH a AS (SELECT l_orderkey AS w, string_agg(s_name, '|' ORDER BY l_linenumber, s_suppkey) AS authors FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1),
+t AS (SELECT l_orderkey AS w, string_agg(p_name, '|' ORDER BY l_linenumber, p_partkey::VARCHAR) AS tags FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1),
+c AS (SELECT conv_id AS w, count(*) AS n FROM conversations WHERE turn % 3 <> 2 GROUP BY 1), k AS (SELECT user_id AS w, count(*) AS n FROM events GROUP BY 1)
+SELECT o_orderkey::VARCHAR AS work, coalesce(authors, '') AS authors, coalesce(tags, '') AS tags, coalesce(c.n, 0)::BIGINT AS comments, coalesce(k.n, 0)::BIGINT AS kudos
+FROM orders LEFT JOIN a ON a.w = o_orderkey LEFT JOIN t ON t.w = o_orderkey LEFT JOIN c ON c.w = o_orderkey LEFT JOIN k ON k.w = o_orderkey""")
+def q_work_details(spark, sf):
+    def record_set(df: DataFrame, kind: str, **columns) -> DataFrame:
+        """Rows with the columns of a record set; those that are not given are null."""
+        return df.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in P.record_schema(kind).fields])
+
+    t, line, w = (lambda name: V.table(spark, sf, name)), V.table(spark, sf, "lineitem"), F.col("l_orderkey")
+    none = spark.createDataFrame([], "x int")
+    store = {
+        "works": record_set(t("orders"), "works", sourceWorkId=F.col("o_orderkey")), "chapters": record_set(none, "chapters"), "series": record_set(none, "series"), "seriesWorks": record_set(none, "seriesWorks"), "bookmarks": record_set(none, "bookmarks"),
+        "authors": record_set(t("supplier"), "authors", sourceAuthorId=F.lpad(F.col("s_suppkey").cast("string"), 12, "0"), name=F.col("s_name")),
+        "workAuthors": record_set(line, "workAuthors", sourceWorkId=w, sourceAuthorId=F.lpad(F.col("l_suppkey").cast("string"), 12, "0"), position=F.col("l_linenumber")),
+        "tags": record_set(t("part"), "tags", sourceTagId=F.col("p_partkey"), name=F.col("p_name")), "workTags": record_set(line, "workTags", sourceWorkId=w, sourceTagId=F.col("l_partkey"), position=F.col("l_linenumber")),
+        "comments": record_set(t("conversations"), "comments", operation=F.when(F.col("turn") % 3 == 2, "hide").otherwise("upsert"), sourceWorkId=F.col("conv_id"), sourceCommentId=F.col("turn"), depth=F.col("turn")),
+        "kudos": record_set(t("events"), "kudos", sourceWorkId=F.col("user_id"), sourceKudoId=F.col("event_id")),
+    }
+    names = lambda c: F.array_join(F.transform(c, lambda x: x["name"]), "|").alias(c)
+    return detail.work_details(store).select(F.col("sourceWorkId").alias("work"), names("authors"), names("tags"), F.size("comments").cast("bigint").alias("comments"), F.col("kudosCount").cast("bigint").alias("kudos"))
+
+
+@query("q_snapshot", """
+SELECT 'jobs' AS event, to_json({'jobs': (SELECT list({'id': id, 'status': status} ORDER BY id DESC) FROM (SELECT * FROM jobs ORDER BY id DESC LIMIT 100))})::VARCHAR AS payload
+UNION ALL SELECT 'exports', to_json({'exports': (SELECT list({'id': o_orderkey, 'status': o_orderstatus} ORDER BY o_orderkey DESC) FROM (SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 100)), 'total': (SELECT count(*) FROM orders)})::VARCHAR""", "jobs")
+def q_snapshot(spark, sf):
+    runs = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    return usage.snapshot(V.jobs(spark, sf).select("id", "status"), runs)

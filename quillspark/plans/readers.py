@@ -43,14 +43,14 @@ def q_read_tag_works(spark, sf):
 SELECT 'tag ' || p_partkey AS name, 'p' || p_partkey AS slug, CASE p_size % 3 WHEN 0 THEN 'Fandom' WHEN 1 THEN 'Character' ELSE 'Freeform' END AS type, 1000 + p_partkey AS works FROM part""")
 def q_read_tag_search(spark, sf):
     p = F.col("p_partkey").cast("string")
-    parts = V.table(spark, sf, "part").select("p_partkey", (F.col("p_partkey") % 50).alias("page"), (F.col("p_size") % 3).alias("kind"))
+    parts = V.table(spark, sf, "part").select("p_partkey", F.floor(F.col("p_partkey") / PAGE).alias("page"), (F.col("p_size") % 3).alias("kind"))
     item = F.concat(F.lit("<h3>"), F.when(F.col("kind") == 0, "Fandoms").when(F.col("kind") == 1, "Characters").otherwise("More"), F.lit("</h3><ul><li><a href='/tags/p"), p, F.lit("/works'>tag "), p, F.lit("</a> ("), F.format_number(F.col("p_partkey") + 1000, 0), F.lit(")</li></ul>"))
     return extract.tag_search(_page(parts, ["page"], "p_partkey", item, "<div>", "</div>")).select("name", "slug", "type", F.col("worksCount").cast("bigint").alias("works"))
 
 
 def _kudos_pages(spark, sf) -> DataFrame:
-    """(sourceWorkId, n, html): customers of a nation as listings of PAGE links, each with a link to the next but the last."""
-    c = V.table(spark, sf, "customer").select(F.col("c_nationkey").cast("string").alias("sourceWorkId"), F.col("c_custkey"), F.floor(F.col("c_custkey") / 500).cast("bigint").alias("n"))
+    """(sourceWorkId, n, html): customers of a nation as listings; a page has the links of a stretch of 25 * PAGE customers."""
+    c = V.table(spark, sf, "customer").select(F.col("c_nationkey").cast("string").alias("sourceWorkId"), F.col("c_custkey"), F.floor(F.col("c_custkey") / (25 * PAGE)).cast("bigint").alias("n"))
     link = F.concat(F.lit("<a href='/users/c"), F.col("c_custkey").cast("string"), F.lit("'>Customer "), F.col("c_custkey").cast("string"), F.lit("</a> "))
     return _page(c, ["sourceWorkId", "n"], "c_custkey", link, "<div id='kudos'>", " and 3 guests</div>")
 
@@ -66,7 +66,7 @@ def q_read_bookmarks(spark, sf):
     s, k = V.table(spark, sf, "supplier"), F.col("s_suppkey").cast("string")
     tag = F.when(F.col("s_suppkey") % 2 == 0, "<ul class='tags'><li><a class='tag'>even</a></li></ul>").otherwise("")
     item = F.concat(F.lit("<li class='user short blurb'><h5 class='byline heading'><a href='/users/s"), k, F.lit("'>s"), k, F.lit("</a></h5>"), tag, F.lit("<blockquote class='userstuff'><p>"), k, F.lit("</p></blockquote></li>"))
-    pages = _page(s.withColumn("sourceWorkId", F.col("s_nationkey").cast("string")), ["sourceWorkId"], "s_suppkey", item, "<ol class='bookmark index'>", "</ol>").withColumn("origin", F.lit(ORIGIN))
+    pages = _page(s.withColumns({"sourceWorkId": F.col("s_nationkey").cast("string"), "n": F.floor(F.col("s_suppkey") / (25 * PAGE))}), ["sourceWorkId", "n"], "s_suppkey", item, "<ol class='bookmark index'>", "</ol>").withColumn("origin", F.lit(ORIGIN))
     tags = F.array_join(F.transform("tags", lambda t: t["name"]), ",")
     return extract.bookmarks(pages).select(F.col("sourceWorkId").alias("work"), F.col("sourceBookmarkId").alias("bookmark"), F.col("notesHtml").alias("notes"), tags.alias("tags"))
 

@@ -143,6 +143,18 @@ def test_export_leases(spark):
     assert queue.finish_export(writing, mine, 3, "u", now, 9)[0].filter("id = 3").first()["status"] == "writing"
 
 
+def test_import_status(spark):
+    runs = spark.createDataFrame([(1, "p", "not_imported", None, None, None), (2, "q", "not_imported", None, None, None)], "id long, package_id string, import_status string, import_started_at timestamp, imported_at timestamp, import_error string")
+    row = lambda df: tuple(df.filter("id = 1").first())[2:]
+    begun = queue.set_import_status(runs, "p", "importing", F.lit(NOW))
+    assert row(begun) == ("importing", NOW, None, None) and begun.filter("id = 2").collect() == runs.filter("id = 2").collect()
+    failed = queue.set_import_status(begun, "p", "failed", F.lit(at(1)))
+    assert row(failed) == ("failed", NOW, None, queue.IMPORT_FAILED) and row(queue.set_import_status(begun, "p", "failed", F.lit(at(1)), "why"))[3] == "why"
+    assert row(queue.set_import_status(failed, "p", "imported", F.lit(at(2)), "why")) == ("imported", NOW, at(2), None)
+    with pytest.raises(ValueError):
+        queue.set_import_status(runs, "p", "completed", F.lit(NOW))
+
+
 def log(n=40, seed=4):
     """Events of many tasks in order of time, a minute apart."""
     rng, rows = random.Random(seed), []
