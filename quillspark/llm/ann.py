@@ -3,7 +3,8 @@
 The tree is fitted on a bounded sample (SAMPLE_ROWS vectors, lowest hashes of the id first) by
 splitting nodes with spherical k-means until they hold LEAF_ROWS of the sample. Every vector is then filed in the leaf
 that it reaches from the root. A leaf that more than LEAF_LIMIT vectors reach is split further in the tasks, by a tree fitted on
-about SAMPLE_ROWS of its own vectors, until none is (copies of one vector excepted), so leaves do not grow with the table. A query walks the tree best bin first: a priority queue
+about SAMPLE_ROWS of its own vectors, until none is (copies of one vector excepted), so leaves do not grow with the table; only the vectors of split leaves are filed anew. What does grow is the
+tree, by a centre for some thousand vectors: it must fit into the driver and every task. A query walks the tree best bin first: a priority queue
 holds the branches not taken, and the most similar one is opened next, until enough leaves
 are visited. How many are enough is calibrated on the sample: visits are
 widened until queries from the sample find TARGET_RECALL of their true neighbours in it. A query goes on beyond
@@ -46,6 +47,8 @@ CALIBRATION_QUERIES = 256
 #: Vectors and queries in one block of a leaf.
 BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 512
+#: Leaves (24 bytes each) whose blocks are broadcast at most; beyond, they are joined by a shuffle.
+BROADCAST_LEAVES = 1_000_000
 #: Candidates beyond k that are scored exactly for every query; where more are nearly tied all of them are.
 SPARE = 8
 
@@ -57,10 +60,10 @@ class Tree:
         self.centers = centers
         self.children = children
 
-    def file(self, units: np.ndarray) -> np.ndarray:
-        """The leaf that each vector reaches from the root."""
-        node = np.zeros(len(units), np.int64)
-        todo = [0]
+    def file(self, units: np.ndarray, start: int = 0) -> np.ndarray:
+        """The leaf that each vector reaches from the root, or from the node ``start``."""
+        node = np.full(len(units), start, np.int64)
+        todo = [start]
         while todo:
             i = todo.pop()
             kids = self.children[i]
@@ -137,7 +140,12 @@ def calibrate(tree: Tree, units: np.ndarray, k: int, seed: int = 11) -> int:
         near = units @ units[q]
         near[q] = -2
         top = np.argsort(-near, kind="stable")[:k]
-        order = {x: n for n, x in enumerate(tree.walk(units[q]), 1)}
+        wanted, order = set(leaf[top].tolist()), {}
+        for n, x in enumerate(tree.walk(units[q]), 1):  # no further than to the last of them
+            if x in wanted:
+                order[x] = n
+                if len(order) == len(wanted):
+                    break
         need += [order[leaf[t]] for t in top]
     visits = 1
     while np.mean(np.array(need) <= visits) < TARGET_RECALL:
@@ -208,6 +216,22 @@ def _filer(tree: Tree):
     return work
 
 
+def _refiler(tree: Tree):
+    """Files vectors of leaves that have become nodes, from there on."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                units = _units(np.frombuffer(b"".join(b.column(1).to_pylist()), np.float64).reshape(b.num_rows, -1))
+                was = b.column(2).to_numpy()
+                leaf = was.copy()
+                for x in np.unique(was):
+                    leaf[was == x] = tree.file(units[was == x], int(x))
+                yield pa.record_batch([b.column(0), b.column(1), pa.array(leaf)], names=["vec_id", "vec", "leaf"])
+
+    return work
+
+
 def _leaf_counts(filed: DataFrame) -> dict[int, int]:
     """Vectors filed in each leaf; one row for each LEAF_ROWS to LEAF_LIMIT vectors, eight bytes of a vector's centre to a row."""
     return {r[0]: r[1] for r in filed.groupBy("leaf").count().collect()}
@@ -246,11 +270,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     own = own.filter(F.size("vec") == size)
     asked = usable(queries, id_col, vec_col).filter(F.size("vec") == size).groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
-    def filed_by(tree: Tree) -> DataFrame:
-        return cut(own.mapInArrow(_filer(tree), "vec_id long, vec binary, leaf long"), "ann-vectors")
-
-    filed = filed_by(tree)
+    kind = "vec_id long, vec binary, leaf long"
+    filed = cut(own.mapInArrow(_filer(tree), kind), "ann-vectors")
     counts = _leaf_counts(filed)
+    settled: list[DataFrame] = []
     for _ in range(SPLITS):
         over = {leaf: n for leaf, n in counts.items() if n > LEAF_LIMIT}
         trees = _split(filed, over)
@@ -258,8 +281,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
             break
         for leaf, centers, children in trees:
             tree.graft(leaf, centers, children)
-        filed = filed_by(tree)
-        counts = _leaf_counts(filed)
+        # only the vectors of these leaves are filed anew; the others stay where they are
+        split = spark.createDataFrame([(leaf,) for leaf, _, _ in trees], "leaf long")
+        settled.append(filed.join(F.broadcast(split), "leaf", "left_anti").select("vec_id", "vec", "leaf"))
+        filed = cut(filed.join(F.broadcast(split), "leaf", "left_semi").select("vec_id", "vec", "leaf").mapInArrow(_refiler(tree), kind), "ann-vectors")
+        counts = {leaf: n for leaf, n in counts.items() if leaf not in {x for x, _, _ in trees}} | _leaf_counts(filed)
+    for part in settled:
+        filed = filed.unionByName(part)
     visits = calibrate(tree, units, k)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,14 +305,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.int64()))], names=["query_id", "vec", "leaf"])
 
     probes = cut(asked.mapInArrow(probe, "query_id long, vec binary, leaf long"), "ann-probes")
-    # one row for each leaf of the tree: bounded by the sample
+    # one row for each leaf, so one for LEAF_LIMIT / 4 vectors or so
     blocks = filed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("nv")).join(
         probes.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("nq")), "leaf"
     )
-    parts = filed.join(F.broadcast(blocks), "leaf").select(
+    blocks = cut(blocks, "ann-blocks")
+    few = F.broadcast(blocks) if blocks.count() <= BROADCAST_LEAVES else blocks
+    parts = filed.join(few, "leaf").select(
         "leaf", "vec_id", "vec", F.pmod(F.xxhash64("vec_id"), F.col("nv")).cast("int").alias("bv"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("bq")
     )
-    sent = probes.join(F.broadcast(blocks), "leaf").select(
+    sent = probes.join(few, "leaf").select(
         "leaf", "query_id", "vec", F.pmod(F.xxhash64("query_id"), F.col("nq")).cast("int").alias("bq"), F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("bv")
     )
 

@@ -174,8 +174,11 @@ def test_neighbours_extreme_components(spark):
     assert set(got) == set(want) and all(abs(got[i] - want[i]) < 1e-12 for i in want)
 
 
-def test_neighbours_beyond_the_sample(spark, monkeypatch):
-    """A table larger than the sample: full leaves are split in the tasks, and recall holds."""
+@pytest.mark.parametrize("vectors, queries, leaves", [(4096, 512, 1_000_000), (7, 3, 0)])
+def test_neighbours_beyond_the_sample(spark, monkeypatch, vectors, queries, leaves):
+    """A table larger than the sample: full leaves are split in the tasks, and recall holds; also in small blocks, joined by a shuffle."""
+    for name, value in (("BLOCK_VECTORS", vectors), ("BLOCK_QUERIES", queries), ("BROADCAST_LEAVES", leaves)):
+        monkeypatch.setattr(ann, name, value)
     monkeypatch.setattr(ann, "SAMPLE_ROWS", 400)
     monkeypatch.setattr(ann, "LEAF_LIMIT", 80)
     rng = np.random.default_rng(5)
@@ -191,7 +194,10 @@ def test_neighbours_beyond_the_sample(spark, monkeypatch):
     want = brute_neighbours(rows[:6000], [rows[i] for i in range(50, 6000, 50)], 5)
     assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) / (5 * len(want)) >= 0.9
     assert all(len(got[q]) == 5 for q in want) and len(filed) > 1
-    assert sum(n > ann.LEAF_LIMIT for n in filed[len(filed) - 1].values()) <= 1  # the copies of one vector
+    last = {leaf: n for counts in filed.values() for leaf, n in counts.items()}
+    split = {leaf for k, counts in filed.items() for leaf, n in counts.items() if n > ann.LEAF_LIMIT and k < len(filed) - 1}
+    assert all(sum(filed[k].values()) <= sum(filed[k - 1].values()) for k in range(1, len(filed)))  # those of split leaves alone are filed anew
+    assert sum(n > ann.LEAF_LIMIT for leaf, n in last.items() if leaf not in split) <= 1  # the copies of one vector
 
 
 # Packing and the token store
