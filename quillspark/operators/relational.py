@@ -136,27 +136,30 @@ def thread_depth(df: DataFrame, key: Sequence[str], ident: str, parent: str) ->
     those are walked with their paths.
     """
     checkpoint_dir(df.sparkSession)
-    at = [*key, "__top"]
-    base = df.groupBy(*key, F.col(ident).alias("__id")).agg(F.min(parent).alias("__top"))
-    known = base.select(*key, F.col("__id").alias("__top"))
-    links = base.join(known, at, "left_semi").withColumns({"n": F.lit(1).cast("bigint"), "moved": F.lit(True)}).checkpoint()
-    sizes = base.groupBy(*key).agg(F.count("*").alias("rows"))
-    first = links.select(*key, "__id", "__top")
+    group = [f"__k{i}" for i in range(len(key))]  # own names, as a key may have any
+    at, one = [*group, "__top"], [*group, "__id"]
+    rows = df.select(*[F.col(f"`{k}`").alias(g) for k, g in zip(key, group)], F.col(f"`{ident}`").alias("__id"), F.col(f"`{parent}`").alias("__top"))
+    base = rows.groupBy(*one).agg(F.min("__top").alias("__top"))
+    known = base.select(*group, F.col("__id").alias("__top"))
+    links = base.join(known, at, "left_semi").withColumns({"__n": F.lit(1).cast("bigint"), "__moved": F.lit(True)}).checkpoint()
+    sizes = base.groupBy(*group).agg(F.count("*").alias("__rows"))
+    first = links.select(*one, "__top")
     while True:
-        ahead = links.select(*key, F.col("__id").alias("__top"), F.col("__top").alias("__next"), F.col("n").alias("more"))
-        grown = links.drop("moved").join(ahead, at, "left").select(*key, "__id", F.coalesce("__next", "__top").alias("__top"), (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"), F.col("__next").isNotNull().alias("moved"))
+        ahead = links.select(*group, F.col("__id").alias("__top"), F.col("__top").alias("__next"), F.col("__n").alias("__more"))
+        grown = links.drop("__moved").join(ahead, at, "left").select(*one, F.coalesce("__next", "__top").alias("__top"), (F.col("__n") + F.coalesce("__more", F.lit(0))).alias("__n"), F.col("__next").isNotNull().alias("__moved"))
         links = grown.checkpoint()
-        moving = links.filter("moved")
-        if moving.join(sizes, list(key)).filter("n <= rows").isEmpty():
+        moving = links.filter("__moved")
+        if moving.join(sizes, group).filter("__n <= __rows").isEmpty():
             break
-    depth = links.filter("not moved").select(*key, F.col("__id").alias(ident), F.col("n").alias("depth"))
+    depth = links.filter("not __moved").select(*one, F.col("__n").alias("__depth"))
     if not moving.isEmpty():
-        paths = first.join(moving.select(*key, "__id"), [*key, "__id"], "left_semi").select(*key, "__id", F.array("__top").alias("path")).checkpoint()
-        total, before = paths.agg(F.sum(F.size("path"))).first()[0], -1
+        paths = first.join(moving.select(*one), one, "left_semi").select(*one, F.array("__top").alias("__path")).checkpoint()
+        total, before = paths.agg(F.sum(F.size("__path"))).first()[0], -1
         while total != before:
-            ahead = paths.select(*key, F.col("__id").alias("__top"), F.col("path").alias("more"))
-            grown = paths.withColumn("__top", F.element_at("path", -1)).join(ahead, at, "left")
-            paths = grown.select(*key, "__id", F.array_distinct(F.concat("path", F.coalesce("more", F.slice("path", 1, 0)))).alias("path")).checkpoint()
-            total, before = paths.agg(F.sum(F.size("path"))).first()[0], total
-        depth = depth.unionByName(paths.select(*key, F.col("__id").alias(ident), F.size("path").cast("bigint").alias("depth")))
-    return df.join(depth, [*key, ident], "left").withColumn("depth", F.coalesce("depth", F.lit(0)).cast("int"))
+            ahead = paths.select(*group, F.col("__id").alias("__top"), F.col("__path").alias("__more"))
+            grown = paths.withColumn("__top", F.element_at("__path", -1)).join(ahead, at, "left")
+            paths = grown.select(*one, F.array_distinct(F.concat("__path", F.coalesce("__more", F.slice("__path", 1, 0)))).alias("__path")).checkpoint()
+            total, before = paths.agg(F.sum(F.size("__path"))).first()[0], total
+        depth = depth.unionByName(paths.select(*one, F.size("__path").cast("bigint").alias("__depth")))
+    named = depth.select(*[F.col(g).alias(k) for k, g in zip(key, group)], F.col("__id").alias(ident), "__depth")
+    return df.join(named, [*key, ident], "left").withColumn("depth", F.coalesce("__depth", F.lit(0)).cast("int")).drop("__depth")

@@ -26,7 +26,7 @@ _CTE = {
     "tasks": """SELECT o_orderkey AS id, o_custkey AS job_id, o_orderkey::VARCHAR AS source_work_id, CASE WHEN o_orderstatus = 'F' THEN CASE WHEN o_orderkey % 6 = 0 THEN 'terminal_failed' ELSE 'succeeded' END
         WHEN o_orderkey % 10 = 3 THEN 'leased' WHEN o_orderstatus = 'O' THEN 'queued' ELSE 'retryable_failed' END AS status, (o_orderkey % 8)::INT AS attempts, o_orderdate AS available_at,
         CASE WHEN o_orderstatus <> 'F' AND o_orderkey % 10 = 3 THEN o_orderdate + INTERVAL 120 SECOND END AS lease_expires_at, o_orderdate AS updated_at FROM orders""",
-    "works": "SELECT doc_id AS id, doc_id::VARCHAR AS source_work_id, source AS source_key, lang AS language, n_chars AS words, substr(text, 1, 40) AS title, 'sha256:' || sha256(text) AS content_hash FROM documents",
+    "works": "SELECT doc_id AS id, doc_id::VARCHAR AS source_work_id, source AS source_key, lang AS language, n_chars AS words, split_part(text, chr(10), 1) AS title, 'sha256:' || sha256(text) AS content_hash FROM documents",
     "obs": "SELECT event_id AS id, user_id::VARCHAR AS source_work_id, ts AS observed_at, CASE WHEN event_type = 'error' THEN 'not_found' ELSE 'public' END AS availability, event_type, value FROM events",
 }
 

@@ -48,7 +48,7 @@ def tasks(spark: SparkSession, sf: str) -> DataFrame:
 def works(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), F.lit(1).cast("bigint").alias("source_id"), F.col("doc_id").cast("string").alias("source_work_id"), F.col("source").alias("source_key"), F.col("lang").alias("language"),
-        F.col("n_chars").alias("words"), F.substring("text", 1, 40).alias("title"), F.concat(F.lit("sha256:"), F.sha2("text", 256)).alias("content_hash"),
+        F.col("n_chars").alias("words"), F.substring_index("text", "\n", 1).alias("title"), F.concat(F.lit("sha256:"), F.sha2("text", 256)).alias("content_hash"),
     )
 
 

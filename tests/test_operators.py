@@ -114,6 +114,8 @@ def test_thread_depth(spark):
     got = {(r["w"], r["id"]): r["depth"] for r in R.thread_depth(df, ["w"], "id", "up").collect()}
     assert all(got["t", str(i)] == i for i in range(40))
     assert (got["u", "1"], got["u", "2"], got["u", "3"]) == (2, 2, 0)
+    named = df.select(F.col("w").alias("n"), F.col("id").alias("rows"), F.col("up").alias("moved"), F.lit("own").alias("path"), F.lit(-1).alias("depth"))
+    assert {(r["n"], r["rows"]): r["depth"] for r in R.thread_depth(named, ["n"], "rows", "moved").collect()} == got
 
 
 def test_relational(spark):
