@@ -146,6 +146,7 @@ class Bundle:
         with pa.ipc.open_stream(zstandard.decompress(self.file.read_at(length, start + 8))) as r:
             self.index = r.read_all()
         self.frame_no, self.frame = -1, b""
+        self.rows: dict[str, int] | None = None
 
     def _frame(self, k: int) -> bytes:
         if k != self.frame_no:
@@ -158,11 +159,14 @@ class Bundle:
             yield self._frame(frame)[offset : offset + length]
 
     def read(self, own: str) -> bytes | None:
-        """One record by its id: its frame alone is read and decompressed."""
-        ids = self.index["record_id"].to_pylist()
-        if own not in ids:
+        """One record by its id, of several the first: its frame alone is read and decompressed. Ids are looked up in a table that is made at the first call."""
+        if self.rows is None:
+            ids = self.index["record_id"].to_pylist()
+            self.rows = {x: k for k, x in zip(range(len(ids) - 1, -1, -1), reversed(ids))}
+        at = self.rows.get(own)
+        if at is None:
             return None
-        row = self.index.slice(ids.index(own), 1).to_pylist()[0]
+        row = self.index.slice(at, 1).to_pylist()[0]
         return self._frame(row["frame"])[row["offset"] : row["offset"] + row["length"]]
 
 
