@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import html
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +25,8 @@ DEFAULT_LANGUAGE = "en"
 
 #: White space as browsers and scripts see it, no-break blanks and the byte order mark included.
 BLANK = r"(?U)[\s\x{FEFF}]"
+#: Bytes of text that a Python task makes objects of at a time.
+STRETCH_BYTES = 4 << 20
 
 
 def _col(x: Column | str) -> Column:
@@ -243,20 +249,41 @@ def _blocks(page: str | None) -> list[str]:
     return reader.blocks
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def html_paragraphs(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Texts of the paragraphs, list items, quotations and headings of pages."""
-    for s in pages:
-        yield s.map(_blocks)
+def stretches(texts: pa.Array, limit: int = STRETCH_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of an array of texts with about ``limit`` bytes each; one long text is whole."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield start, end
+        start = end
 
 
-@F.pandas_udf(T.StringType())
-def html_text(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in pages:
-        yield s.map(lambda p: " ".join(_blocks(p)))
+def by_stretches(of: Callable, kind: pa.DataType) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    """A function over batches of texts that gives each text's ``of``. Texts are made Python's, read and handed on a stretch at a time, so a task
+    needs the batch as Arrow holds it and a stretch's objects besides. Trees of elements refer to themselves: they are collected with their stretch."""
 
+    def work(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for b in batches:
+            for i, j in stretches(b):
+                found = pa.array([of(t) for t in b.slice(i, j - i).to_pylist()], kind)
+                gc.collect()
+                yield found
 
-@F.pandas_udf(T.StringType())
-def unescape_html(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in texts:
-        yield s.map(lambda t: None if t is None else html.unescape(t))
+    work.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return work
+
+
+def _joined(page: str | None) -> str:
+    return " ".join(_blocks(page))
+
+
+def _unescaped(text: str | None) -> str | None:
+    return None if text is None else html.unescape(text)
+
+
+#: Texts of the paragraphs, list items, quotations and headings of pages, and all of them as one text.
+html_paragraphs = F.arrow_udf(by_stretches(_blocks, pa.list_(pa.string())), T.ArrayType(T.StringType()))
+html_text = F.arrow_udf(by_stretches(_joined, pa.string()), T.StringType())
+unescape_html = F.arrow_udf(by_stretches(_unescaped, pa.string()), T.StringType())

@@ -1,7 +1,9 @@
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 
+from quillspark.functions import text as X
 from quillspark.operators import extract
 
 def tag_list(kind, *tags):
@@ -99,3 +101,19 @@ def test_kudos_bookmarks_next(spark):
     assert (b["sourceBookmarkId"], b["tags"][0]["name"], b["updatedAt"], b["notesHtml"]) == ("bookmark:12:c", "good", "1 Jan", "<p>n</p>")
     n = spark.createDataFrame([("https://a.example/w?page=1", "<ol class=pagination><li class=next><a href='?page=2'>x</a></li></ol>"), ("https://a.example/w", "<p>")], "url string, html string")
     assert [r["next_url"] for r in extract.next_page(n).collect()] == ["https://a.example/w?page=2", None]
+
+
+def test_pages_are_read_a_stretch_at_a_time():
+    big = pa.array(["<p>" + "x" * (1 << 20) + "</p>"] * 12 + [None, ""])
+    read = []
+    out = X.by_stretches(lambda page: read.append(page) or len(page or ""), pa.int64())(iter([big, big.slice(0, 0)]))
+    first = next(out)
+    assert 0 < len(first) == len(read) < 6
+    assert [*first.to_pylist(), *(n for a in out for n in a.to_pylist())] == [(1 << 20) + 7] * 12 + [0, 0]
+    assert list(X.stretches(pa.array(["a" * 9, "b", None, "c"]), 4)) == [(0, 1), (1, 4)]
+
+
+def test_text_of_large_pages_is_handed_on_in_stretches():
+    pages = pa.array(["<p>" + "y" * (1 << 20) + "</p>"] * 12)
+    sizes = [len(a) for a in X.html_text.func(iter([pages]))]
+    assert sum(sizes) == 12 and max(sizes) < 6
