@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, slices, table
+from ..functions.text import stretches
+from .common import cut, table
 from .words import encoder
 
 #: Documents are numbered in blocks of this many hash values.
@@ -108,10 +109,10 @@ def pieces(docs: DataFrame, path: str, end_id: int | None, capacity: int, id_col
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, j in slices(texts):
+            for i, j in stretches(b.column(1)):
+                ids, texts = (c.slice(i, j - i).to_pylist() for c in b.columns)
                 rows = []
-                for doc_id, packed in zip(ids[i:j], words.encode_packed(texts[i:j])):
+                for doc_id, packed in zip(ids, words.encode_packed(texts)):
                     packed += tail
                     for k, at in enumerate(range(0, len(packed), 4 * capacity)):
                         part = packed[at : at + 4 * capacity]

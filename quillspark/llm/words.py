@@ -19,9 +19,9 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Words and parts whose ids a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 1_000_000
-KEPT_PARTS = 1_000_000
+#: Words, and parts, whose ids a worker keeps in a newer and in an older table each. Once the newer one is full it becomes the older one; what is met
+#: again there moves to the newer one, so common words stay and a worker's memory does not grow with the input.
+KEPT = 200_000
 #: A full stop or comma that could be one token with what is before it.
 _JOINED_MARK = re.compile("[^0-9a-zªµºß-öø-ÿ][.,]")
 _PARTED = tuple((mark + blank, f" {mark}{blank}") for mark in ".," for blank in " \n")
@@ -55,33 +55,42 @@ class WordEncoder(dict):
         self.plain_special = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.parts: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
         packed = self.parts.get(part)
+        if packed is not None:
+            return packed
+        packed = self.older_parts.get(part)
         if packed is None:
             spelled = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.letters)
             packed = np.array([t.id for t in self.model.tokenize(spelled)], dtype="<u4").tobytes()
-            if len(self.parts) >= KEPT_PARTS:
-                self.parts.clear()
-            self.parts[part] = packed
+        if len(self.parts) >= KEPT:
+            self.parts, self.older_parts = {}, self.parts
+        self.parts[part] = packed
         return packed
 
     def __missing__(self, word: bytes) -> bytes:
+        packed = self.older.get(word)
+        if packed is None:
+            packed = self._word(word)
+        if len(self) >= KEPT:
+            self.older = dict(self)
+            self.clear()
+        self[word] = packed
+        return packed
+
+    def _word(self, word: bytes) -> bytes:
         text = word.decode()
         if self.known and (word.isascii() or max(text) < "\u0300"):
             text = text.lower()
             if text.isalpha():
-                packed = self._part(text)
-            elif text[-1] in ".," and text[:-1].isalpha():
-                packed = self._part(text[:-1]) + self._part(text[-1])
-            else:
-                packed = b"".join(map(self._part, self.find(text)))
-        else:
-            packed = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[word] = packed
-        return packed
+                return self._part(text)
+            if text[-1] in ".," and text[:-1].isalpha():
+                return self._part(text[:-1]) + self._part(text[-1])
+            return b"".join(map(self._part, self.find(text)))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _words(self, text: str) -> list[bytes]:
         """The words of a text, or of a text that has the same ids and repeats its words more: in

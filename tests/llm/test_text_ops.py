@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from quillspark.llm import bpe, repetition, toxicity
+from quillspark.llm import bpe, repetition, toxicity, words
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -145,3 +145,15 @@ def test_toxicity_edges(spark):
     got = toxicity.with_score(docs, model)
     assert got.count() == docs.count() and dict(got.dtypes)["score"] == "double" and got.filter("score is null").count() == 0
     assert toxicity.with_score(docs.limit(0), toxicity.train(docs.limit(0), labels.limit(0))).count() == 0
+
+
+def test_a_worker_keeps_a_bounded_number_of_words(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(words, "KEPT", 20)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library = words.WordEncoder(path), Tokenizer.from_file(path)
+    texts = [" ".join(f"the word{k * j}x is Ünlike {k}, {chr(0x4E00 + k)}." for k in range(40)) for j in range(1, 6)]
+    got = [np.frombuffer(x, "<u4").tolist() for t in texts for x in own.encode_packed([t])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(map(len, (own, own.older, own.parts, own.older_parts))) <= 20 and b"the" in own
