@@ -22,6 +22,8 @@ BROADCAST_EDGES = 200_000
 HUB_EDGES = 1_000_000
 #: Edges in one file of a round's table.
 FILE_EDGES = 100_000
+#: Edges (16 bytes each) up to which a round is one task without a shuffle; dealing so few out costs more than the round.
+TASK_EDGES = 50_000
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -46,11 +48,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if not state[0]:
             break
         small = state[0] <= BROADCAST_EDGES
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        near = (lambda df: df.coalesce(1)) if state[0] <= TASK_EDGES else (lambda df: df)
+        both = near(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
         large = _with_least(both.filter("v > u"), least, small).select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        hung = _with_least(large, least, small).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        hung = _with_least(large, least, small).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        hung = near(hung).distinct()
         e = cut(hung.coalesce(1 + state[0] // FILE_EDGES), "edges")  # a round never has more edges than the one before
         state, before = _state(e), state
         if state == before:

@@ -102,8 +102,8 @@ def _may(x: str, y: str, percent: int) -> Column:
 
 
 def _alike(x: Column, y: Column, percent: int) -> Column:
-    both = F.size(F.array_intersect(x, y))
-    return both * 100 >= (F.size(x) + F.size(y) - both) * percent
+    """100 * both >= percent * (x + y - both), written so that the intersection is made once: a join's condition would make it twice."""
+    return F.size(F.array_intersect(x, y)) * (100 + percent) >= (F.size(x) + F.size(y)) * percent
 
 
 def _verified(pairs: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -158,9 +158,7 @@ def alike_nodes(nodes: DataFrame, texts: DataFrame, percent: int, width: int) ->
     roots = components(links)
     for order in ROUNDS:
         more = _verified(_apart(met, roots, order()), marks, sets, percent)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = components(links)
+        roots = merged(roots, more)
     more = _in_blocks(met, roots, marks, sets, percent)
     return roots if more is None else merged(roots, _verified(more, marks, sets, percent))
 

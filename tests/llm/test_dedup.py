@@ -339,3 +339,29 @@ def test_pipeline_run(spark):
     assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(got.columns)
     assert got.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
     assert np.all([r["length"] > 0 for r in got.collect()])
+
+
+def test_small_and_large_rounds_of_union_find_agree(spark, monkeypatch):
+    from quillspark.llm import components as C
+
+    rng = random.Random(7)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    found = []
+    for most in (50_000, 0):
+        monkeypatch.setattr(C, "TASK_EDGES", most)
+        found.append({r["node"]: r["root"] for r in C.components(df).collect()})
+    least = {n: n for e in edges for n in e}
+    while any(least[a] != least[b] for a, b in edges):
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    assert found[0] == found[1] == {n: r for n, r in least.items() if n != r}
+
+
+def test_alike_sets_are_intersected_once(spark):
+    from quillspark.llm import minhash as M
+
+    condition = M._alike(F.col("x"), F.col("y"), 80)
+    assert str(condition).count("array_intersect") == 1
+    rows = spark.createDataFrame([([1, 2, 3, 4], [1, 2, 3, 4, 5]), ([1, 2, 3, 4], [1, 2, 3, 5]), ([], [1])], "x array<long>, y array<long>")
+    assert [r[0] for r in rows.select(condition).collect()] == [True, False, False]
