@@ -1,5 +1,6 @@
 """Components, SimHash, near copies, line dedup and the pipeline against brute force."""
 
+import os
 import random
 import re
 from itertools import combinations
@@ -279,6 +280,31 @@ def test_line_dedup_all_shingles(spark):
     assert gone <= want and len(gone) >= 0.98 * len(want) and 1 in gone
 
 
+def test_line_dedup_lean(spark, monkeypatch):
+    """Tables of lines take less than 0.65 of their bytes; two sets are intersected once, in generated code; ties at 0.8 count as alike."""
+    sizes, cut = {}, line_dedup.cut
+
+    def measured(df, name, *more):
+        table = cut(df, name, *more)
+        sizes[name] = sum(os.path.getsize(f.removeprefix("file://")) for f in table.inputFiles())
+        return table
+
+    monkeypatch.setattr(line_dedup, "cut", measured)
+    rng = random.Random(31)
+    words = ["".join(rng.choices("aeinorst", k=rng.randrange(2, 9))) for _ in range(3000)]
+    rows = [(i, "\n".join(" ".join(rng.choices(words, k=60)) for _ in range(20))) for i in range(400)]
+    line_dedup.classes_of(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "doc_id", "text", 1)
+    assert sizes["line-classes"] < 0.65 * sum(len(t) for _, t in rows)
+
+    # a line of n + 4 different characters has n shingles; cut off are as many as leave 0.8 of them, or one more
+    line = "".join(chr(0x4E00 + k) for k in range(104))
+    texts = spark.createDataFrame([(0, line), (1, line[:84]), (2, line[:83]), (3, line[:9]), (4, line[:8]), (5, line[:7])], "c long, line string")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (3, 4), (3, 5)], "a long, b long")
+    links = line_dedup.verified(pairs, texts)
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("array_intersect") == 1
+    assert sorted(map(tuple, links.collect())) == [(0, 1), (3, 4)]
+
+
 def test_op6_is_native(spark):
     got = line_dedup.op6_line_dedup(spark, SF)
     plan = got._jdf.queryExecution().toString()
