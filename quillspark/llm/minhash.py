@@ -9,8 +9,8 @@ all pairs within DISTANCE meet in a key, and others often do: a pair right at 0.
 right at 0.8 exceeds with a probability of about one in a million), and then by their full sets, in whole numbers.
 
 Equal sets are one node from the start. A key's nodes are compared with its pivot, the node of smallest number, and merged by the distributed
-union-find, and then with two more pivots where they still are in different components. Those that are still apart after that are compared with each other in blocks, within the
-join, which only lets pairs out that are alike by 32 bits of each shingle. A crowded key is neither cut off nor expanded in one task.
+union-find, and then with two more pivots where they still are in different components. Those that are still apart after that are compared with each other in blocks: the
+intersections of all pairs of two blocks are counted at once, and only links that join components leave the tasks. A crowded key is neither cut off nor expanded into its pairs.
 
 Edge cases: a text of fewer words than a shingle has is one shingle; null texts and texts without words have an empty set and are linked with nothing. Rows
 that repeat a doc_id are judged each, linked by their sets alone. Rows with a null doc_id belong to a component but never name it; where no other row has
@@ -23,6 +23,7 @@ import random
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,13 @@ BITS = 8
 DISTANCE = 2 * CHUNKS - 1
 FAR = 24
 WORDS = [f"w{k}" for k in range(SLOTS // 8)]
+#: Members and shingles of a block of a key's members, in the mean; two blocks are in a task's memory at a time.
+BLOCK = 2048
+BLOCK_SHINGLES = 1 << 21
+#: Shingles of the keys of one block that are one group, in the mean: most keys are small, and a group has a cost of its own.
+PACK_SHINGLES = 1 << 18
+#: Hashes whose members are multiplied at a time.
+COLUMNS = 1024
 #: Shingles hashed at a time, so that a very long text takes no more memory than its hashes.
 STRETCH = 1 << 13
 
@@ -126,24 +134,80 @@ def _apart(met: DataFrame, roots: DataFrame, order: Column) -> DataFrame:
     return own.join(first, "key").filter("root <> first.root").select(F.col("node").alias("a"), F.col("first.node").alias("b")).distinct()
 
 
+def alike_matrix(one: np.ndarray, other: np.ndarray, values: np.ndarray, offsets: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets ``one`` and ``other`` (numbers of sets) are alike, for all pairs; set k is values[offsets[k]:offsets[k + 1]], each value once.
+    Intersections are counted as products of the 0/1 matrices of members and hashes, COLUMNS hashes at a time."""
+    sizes = np.diff(offsets)
+    rows, (codes, seen) = np.repeat(np.arange(len(sizes)), sizes), pd.factorize(values)
+    shared = np.bincount(codes, minlength=len(seen)) > 1  # a hash that one member has alone is in no intersection
+    keep = shared[codes]
+    rows, column = rows[keep], (np.cumsum(shared) - 1)[codes[keep]]
+    order = np.argsort(column // COLUMNS, kind="stable")
+    rows, column = rows[order], column[order]
+    ends = np.searchsorted(column // COLUMNS, np.arange(shared.sum() // COLUMNS + 2))
+    both = np.zeros((len(one), len(other)), np.float32)  # whole numbers below 2 ** 24 are exact
+    for i, j in zip(ends[:-1], ends[1:]):
+        held = np.zeros((len(sizes), COLUMNS), np.float32)
+        held[rows[i:j], column[i:j] % COLUMNS] = 1
+        both += held[one] @ held[other].T
+    return both.astype(np.int64) * (100 + percent) >= (sizes[one][:, None] + sizes[other][None, :]) * percent
+
+
+def forest(like: np.ndarray, one: np.ndarray, other: np.ndarray, roots: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of members that join all components which alike pairs join: one fewer than components joined, however many pairs are alike.
+    like: whether members ``one`` and ``other`` are alike; roots: the component of each member."""
+    like = like & (roots[one][:, None] != roots[other][None, :])
+    rows, columns = like.any(axis=1), like.any(axis=0)
+    like, one, other = like[rows][:, columns], one[rows], other[columns]
+    members = np.unique(np.concatenate([one, other]))
+    links, unseen = [], np.zeros(len(roots), bool)
+    unseen[members] = True
+    for start in members.tolist():
+        todo = members[unseen[members] & (roots[members] == roots[start])].tolist()
+        unseen[todo] = False
+        while todo:
+            x = todo.pop()
+            near = np.concatenate([other[like[one == x].any(axis=0)], one[like[:, other == x].any(axis=1)]])
+            near = near[unseen[near]]
+            for y in near[np.unique(roots[near], return_index=True)[1]].tolist():
+                links.append((x, y))
+                more = members[unseen[members] & (roots[members] == roots[y])].tolist()
+                unseen[more] = False
+                todo += more
+    return links
+
+
 def _in_blocks(met: DataFrame, roots: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Pairs (a, b) of members of one key that are in different components and look alike by 32 bits of each shingle, which is looked at within the
-    join, so that no others leave it; None if there are no such keys. One side is dealt out in blocks, the other goes to all of them, and a pair is compared in the first of the
-    keys that it shares."""
+    """Links (a, b) that join the components of alike members of one key; None if no key has members in different components. A key's members are dealt
+    out in blocks bounded by members and by shingles, and each two blocks are compared in one group, by their full sets; keys of one block share groups.
+    A group gives at most one link a component, so no crowded key is expanded into its pairs."""
     own, open_ = open_members(met, roots)
     if open_.isEmpty():
         return None
-    own = cut(own.join(open_, "key"), "minhash-open")
-    all_ = own.groupBy("node").agg(F.collect_set("key").alias("keys"))  # SLOTS at most
-    short = F.transform("shingles", lambda h: F.shiftright(h, 32).cast("int"))
-    known = cut(all_.join(marks, "node").join(sets.select("node", short.alias("short")), "node").select("node", F.struct("x.*", "keys", "short").alias("x")), "minhash-members")
-    left = own.join(known, "node")
-    member = F.struct("node", "root", F.col("x"))
-    p = left.select("key", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), member.alias("p"))
-    q = left.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), member.alias("q"))
-    once = F.array_min(F.array_intersect("p.x.keys", "q.x.keys")) == F.col("key")
-    like = (F.col("p.root") < F.col("q.root")) & _may("p.x", "q.x", percent) & once & _alike(F.col("p.x.short"), F.col("q.x.short"), percent - 1)  # one less, as hashes of 32 bits may clash
-    return p.join(q, ["key", "block"]).filter(like).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+    own = own.join(open_.select("key"), "key").join(marks.select("node", F.col("x.size").alias("size")), "node")
+    own = cut(own, "minhash-open")
+    dealt = own.groupBy("key").agg(F.sum("size").alias("shingles"), F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    dealt = cut(dealt, "minhash-open-keys")
+    packs = 1 + (dealt.filter("blocks = 1").agg(F.sum("shingles")).first()[0] or 0) // PACK_SHINGLES
+    pack = F.when(F.col("blocks") == 1, -1 - F.pmod(F.xxhash64("key"), F.lit(packs))).otherwise(F.col("key"))  # no key is negative
+    block, with_ = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = own.join(dealt.select("key", "blocks", pack.alias("pack")), "key").select("key", "pack", "node", "root", block.alias("block"), with_.alias("with")).join(sets, "node")
+
+    def work(group: pa.Table) -> pa.Table:
+        group = group.sort_by("key").combine_chunks()
+        keys, nodes, roots, blocks = (group[c].to_numpy() for c in ("key", "node", "root", "block"))
+        sets = pa.concat_arrays(group["shingles"].chunks)
+        values, offsets = sets.flatten().to_numpy(), np.concatenate(([0], np.cumsum(sets.value_lengths().to_numpy())))
+        starts, found = np.flatnonzero(np.diff(keys, prepend=-1)), []
+        for i, j in zip(starts, [*starts[1:], len(keys)]):
+            one, other = (np.flatnonzero(blocks[i:j] == x) for x in (blocks[i:j].min(), blocks[i:j].max()))
+            like = alike_matrix(one, other, values[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], percent)
+            found += [sorted((nodes[i + x], nodes[i + y])) for x, y in forest(like, one, other, roots[i:j])]
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": a, "b": b})
+
+    groups = left.groupBy("pack", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
+    return cut(groups.applyInArrow(work, "a long, b long").distinct(), "minhash-links")
 
 
 def alike_nodes(nodes: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -160,7 +224,7 @@ def alike_nodes(nodes: DataFrame, texts: DataFrame, percent: int, width: int) ->
         more = _verified(_apart(met, roots, order()), marks, sets, percent)
         roots = merged(roots, more)
     more = _in_blocks(met, roots, marks, sets, percent)
-    return roots if more is None else merged(roots, _verified(more, marks, sets, percent))
+    return roots if more is None else merged(roots, more)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

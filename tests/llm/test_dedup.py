@@ -391,3 +391,43 @@ def test_alike_sets_are_intersected_once(spark):
     assert str(condition).count("array_intersect") == 1
     rows = spark.createDataFrame([([1, 2, 3, 4], [1, 2, 3, 4, 5]), ([1, 2, 3, 4], [1, 2, 3, 5]), ([], [1])], "x array<long>, y array<long>")
     assert [r[0] for r in rows.select(condition).collect()] == [True, False, False]
+
+
+@pytest.mark.parametrize("block, shingles, pack, columns", [(2048, 1 << 21, 1 << 18, 1024), (7, 1 << 21, 1 << 18, 16), (2048, 300, 1, 5), (3, 100, 1 << 18, 1)])
+def test_members_of_keys_are_compared_by_blocks(spark, monkeypatch, block, shingles, pack, columns):
+    """Keys of many sets: they join the components that brute force joins, whatever the blocks, by links of alike sets alone and by few of them."""
+    from quillspark.llm import minhash as M
+
+    for name, value in (("BLOCK", block), ("BLOCK_SHINGLES", shingles), ("PACK_SHINGLES", pack), ("COLUMNS", columns)):
+        monkeypatch.setattr(M, name, value)
+    rng = random.Random(6)
+    hashes = [rng.getrandbits(64) - (1 << 63) for _ in range(120)]
+    sets = {n: rng.sample(hashes[:40] if n % 3 else hashes, rng.randrange(28, 40)) for n in range(60)}
+    roots = {n: n - n % 4 for n in sets}
+    keys = {n: {n % 5, 7 + n % 2, 1 << 40} for n in sets}
+    like = {(a, b) for a, b in combinations(sets, 2) if 100 * (both := len(set(sets[a]) & set(sets[b]))) >= 80 * (len(sets[a]) + len(sets[b]) - both)}
+    want = {(a, b) for a, b in like if 0 not in (a, b) and keys[a] & keys[b]}
+    met = spark.createDataFrame([(k, n, 0) for n in sets for k in keys[n]], "key long, node long, pivot long")
+    marks = spark.createDataFrame([(n, (len(s),)) for n, s in sets.items()], "node long, x struct<size: long>")
+    found = M._in_blocks(met, spark.createDataFrame(list(roots.items()), "node long, root long"), marks, spark.createDataFrame(list(sets.items()), "node long, shingles array<long>"), 80)
+    got = [tuple(r) for r in found.collect()]
+    assert set(got) <= want and len(got) == len(set(got))
+    assert union(sets, [*roots.items(), *got]) == union(sets, [*roots.items(), *want]) != union(sets, roots.items())
+    if block == 2048 and shingles > 300:
+        assert len(got) < len(want) / 2
+
+
+def test_links_of_a_block_are_a_forest():
+    from quillspark.llm import minhash as M
+
+    n = 300
+    one, roots = np.arange(n), np.arange(n) // 3
+    sets = [np.arange(100) + k // 100 * 1000 for k in range(n)]  # three groups of equal sets
+    like = M.alike_matrix(one, one, np.concatenate(sets), np.arange(n + 1) * 100, 80)
+    assert (like == (one[:, None] // 100 == one[None, :] // 100)).all()
+    links = M.forest(like, one, one, roots)
+    assert all(like[x, y] for x, y in links) and len(links) == 99  # 100 components: two span two groups, so all are one
+    assert len(set(union(range(n), [*links, *((k, k // 3 * 3) for k in range(n))]).values())) == 1
+    half = one[:150], one[150:]
+    assert M.forest(M.alike_matrix(*half, np.concatenate(sets), np.arange(n + 1) * 100, 80), *half, roots)
+    assert M.forest(np.zeros((n, n), bool), one, one, roots) == []
